@@ -42,7 +42,7 @@ def parsed(staged: DataFrame) -> DataFrame:
     )
 
 
-def _row_checks(settings: Settings) -> list[tuple[str, Column, Column]]:
+def row_checks(settings: Settings) -> list[tuple[str, Column, Column]]:
     """(reason, failing test, message) of each check that needs only the row itself."""
     low, high = settings.key_range
     years = f"{settings.first_day[:4]}-{settings.last_day[:4]}"
@@ -90,7 +90,7 @@ def _row_checks(settings: Settings) -> list[tuple[str, Column, Column]]:
     ]
 
 
-def _match_checks() -> list[tuple[str, Column, Column]]:
+def match_checks() -> list[tuple[str, Column, Column]]:
     return [
         (
             "NO_DIM_AGENCY_MATCH",
@@ -124,7 +124,7 @@ def tag_rows(staged: DataFrame, dims: dict[str, DataFrame], settings: Settings)
 
     No row leaves the frame, and with broadcast dimensions nothing is shuffled.
     """
-    checks = _row_checks(settings) + _match_checks()
+    checks = row_checks(settings) + match_checks()
     matched = attach_dims(parsed(staged), dims)
     reason, message = first_error(checks)
     tagged = matched.withColumn("error_type", reason).withColumn("error_message", message)

@@ -31,12 +31,12 @@ def service_requests_mart(wh: Warehouse, as_of: str | Column | None = None) -> D
     )
 
 
-def _count(condition: Column) -> Column:
-    return F.count_if(condition)
+def closed() -> Column:
+    return F.col("status") == "Closed"
 
 
-CLOSED = F.col("status") == "Closed"
-BREACH = F.col("resolution_days") > F.col("sla_days")
+def breach() -> Column:
+    return F.col("resolution_days") > F.col("sla_days")
 
 
 def percent(part: str, whole: str, places: int = 1) -> Column:
@@ -51,11 +51,11 @@ def agency_summary(wh: Warehouse) -> DataFrame:
         rows.groupBy("agency_code", "agency_name", "sla_days", "year", "month", "month_name")
         .agg(
             F.count(F.lit(1)).alias("total_requests"),
-            _count(CLOSED).alias("total_closed"),
-            _count(~CLOSED).alias("total_open"),
+            F.count_if(closed()).alias("total_closed"),
+            F.count_if(~closed()).alias("total_open"),
             F.avg("resolution_days").alias("avg_resolution_days"),
             F.max("resolution_days").alias("max_resolution_days"),
-            _count(BREACH).alias("sla_breaches"),
+            F.count_if(breach()).alias("sla_breaches"),
         )
         .withColumn("sla_breach_pct", percent("sla_breaches", "total_closed"))
     )
@@ -66,9 +66,9 @@ def borough_summary(wh: Warehouse) -> DataFrame:
     rows = star(wh.fact, wh.dims())
     return rows.groupBy("borough", "year", "month", "category").agg(
         F.count(F.lit(1)).alias("total_requests"),
-        _count(CLOSED).alias("total_closed"),
+        F.count_if(closed()).alias("total_closed"),
         F.avg("resolution_days").alias("avg_resolution_days"),
-        _count(BREACH).alias("sla_breaches"),
+        F.count_if(breach()).alias("sla_breaches"),
     )
 
 

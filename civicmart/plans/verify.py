@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from civicmart.functions.rules import STATUSES
 from civicmart.operators.joins import star
 from civicmart.operators.sets import share_of_total, top_n, union_counts
-from civicmart.plans.mart import BREACH, CLOSED, percent
+from civicmart.plans.mart import breach, closed, percent
 from civicmart.plans.warehouse import Warehouse
 from civicmart.sources.tables import DIMENSIONS, FACT
 
@@ -74,8 +74,8 @@ def borough_volume(wh: Warehouse) -> DataFrame:
         .groupBy("borough")
         .agg(
             F.count(F.lit(1)).alias("total_requests"),
-            F.count_if(CLOSED).alias("closed"),
-            F.count_if(~CLOSED).alias("open"),
+            F.count_if(closed()).alias("closed"),
+            F.count_if(~closed()).alias("open"),
             F.avg("resolution_days").alias("avg_resolution_days"),
         )
         .orderBy(F.desc("total_requests"), "borough")
@@ -85,12 +85,12 @@ def borough_volume(wh: Warehouse) -> DataFrame:
 def agency_sla_performance(wh: Warehouse) -> DataFrame:
     """Closed requests per agency against its target, worst first."""
     return (
-        star(wh.fact.filter(CLOSED), wh.dims("dim_agency"))
+        star(wh.fact.filter(closed()), wh.dims("dim_agency"))
         .groupBy("agency_code", F.col("sla_days").alias("sla_threshold"))
         .agg(
             F.count(F.lit(1)).alias("total_closed"),
             F.avg("resolution_days").alias("avg_days"),
-            F.count_if(BREACH).alias("sla_breaches"),
+            F.count_if(breach()).alias("sla_breaches"),
         )
         .withColumn("breach_pct", percent("sla_breaches", "total_closed"))
         .orderBy(F.desc("breach_pct"), "agency_code")
@@ -102,7 +102,7 @@ def monthly_trend(wh: Warehouse, year: int) -> DataFrame:
     return (
         star(wh.fact.filter(F.col("year") == year), wh.dims("dim_date"))
         .groupBy("month", "month_short")
-        .agg(F.count(F.lit(1)).alias("request_count"), F.count_if(CLOSED).alias("closed_count"))
+        .agg(F.count(F.lit(1)).alias("request_count"), F.count_if(closed()).alias("closed_count"))
         .withColumn("closure_rate_pct", percent("closed_count", "request_count"))
         .orderBy("month")
     )

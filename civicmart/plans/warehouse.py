@@ -27,7 +27,7 @@ from civicmart.sources.tables import (
     create_tables,
     read_staging,
     read_table,
-    save_step_rows,
+    save_batch,
     save_table,
 )
 
@@ -98,7 +98,7 @@ def logged_step(wh: Warehouse, batch_id: int, name: str, fn: Callable[[int], Ste
         schema = T.StructType.fromDDL(SCHEMAS["etl_log"])
         rows = wh.spark.createDataFrame([row], schema)
         timed = rows.withColumn("duration_sec", duration_sec(F.col("start_time"), F.col("end_time")))
-        save_step_rows(timed.coalesce(1), wh.root, "etl_log", log_id)
+        save_batch(timed.coalesce(1), wh.root, "etl_log", "log_id", log_id)
 
     log("STARTED", None, None)
     try:
@@ -125,7 +125,7 @@ def _save_members(wh: Warehouse, name: str, key: str, fresh: DataFrame, order: l
 
 
 def _log_errors(wh: Warehouse, rejects: DataFrame, log_id: int, batch_id: int, step: str) -> None:
-    save_step_rows(FA.error_rows(rejects, log_id, batch_id, step), wh.root, "etl_errors", log_id)
+    save_batch(FA.error_rows(rejects, log_id, batch_id, step), wh.root, "etl_errors", "log_id", log_id)
 
 
 def load_dim_agency(wh: Warehouse, log_id: int, batch_id: int) -> StepCounts:

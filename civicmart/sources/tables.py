@@ -80,15 +80,15 @@ def save_table(df: DataFrame, root: str, name: str, mode: str = "append") -> Non
     (writer.partitionBy(*by) if by else writer).parquet(f"{root}/{name}")
 
 
-def save_step_rows(df: DataFrame, root: str, name: str, log_id: int) -> None:
-    """Rows one step logs, in the step's own partition of an audit table.
+def save_batch(df: DataFrame, root: str, name: str, by: str, value: int) -> None:
+    """One partition of a table, replaced as a whole.
 
-    Steps that run side by side never write to the same folder, and writing again replaces
-    what the same step wrote before.
+    Writers of different partitions never share a folder, so steps can run side by side, and
+    writing again replaces what the same step or micro-batch wrote before.
     """
     schema = T.StructType.fromDDL(SCHEMAS[name])
-    rows = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name != "log_id"])
-    rows.write.mode("overwrite").parquet(f"{root}/{name}/log_id={log_id}")
+    rows = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name != by])
+    rows.write.mode("overwrite").parquet(f"{root}/{name}/{by}={value}")
 
 
 def load_staging(df: DataFrame, root: str, batch_id: int, refresh: bool = True) -> dict[str, int]:
