@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicmart.functions.dates import date_key, parse_ts, resolution_days
+from civicmart.functions.dates import date_key, parse_coord, parse_ts, resolution_days
 from civicmart.functions.rules import Settings, in_calendar, normalise_status, valid_status
 from civicmart.functions.text import error_text, is_blank, norm_key
 from civicmart.operators.joins import attach_by_coords, attach_dims
@@ -151,39 +151,53 @@ def tag_rows(staged: DataFrame, dims: dict[str, DataFrame], settings: Settings)
 def repeated_keys(candidates: DataFrame, fact: DataFrame, n_rows: int) -> DataFrame:
     """Keys that need a decision: in the fact already, or more than once in the batch.
 
-    Each task first reduces its rows to one per key, so a crowded key costs one row per task in
-    the shuffle. `keep_row` is the row that stays, NULL for a key that is loaded already.
+    Only keys and counts are shuffled, and each task first counts its own rows, so a crowded
+    key costs one row per task.
     """
     per_key = candidates.groupBy(norm_key(F.col("unique_key")).alias("dedup_key")).agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.max(F.struct(*KEEP_ORDER)).getField("stg_row_id").alias("keep_row"),
+        F.count(F.lit(1)).alias("copies")
     )
-    loaded = fact.select(norm_key(F.col("unique_key")).alias("dedup_key"), F.lit(True).alias("is_loaded"))
-    flagged = per_key.join(loaded, "dedup_key", "left")
-    is_loaded = F.col("is_loaded").isNotNull()
-    return flagged.filter(is_loaded | (F.col("copies") > 1)).select(
-        "dedup_key",
-        F.when(~is_loaded, F.col("keep_row")).alias("keep_row"),
-        is_loaded.alias("is_loaded"),
-        (F.col("copies") * HOT_SHARE > n_rows).alias("is_hot"),
+    loaded = fact.select(norm_key(F.col("unique_key")).alias("dedup_key"), F.lit(True).alias("_loaded"))
+    is_loaded = F.col("_loaded").isNotNull()
+    flagged = per_key.join(loaded, "dedup_key", "left").filter(is_loaded | (F.col("copies") > 1))
+    return flagged.select(
+        "dedup_key", is_loaded.alias("is_loaded"), (F.col("copies") * HOT_SHARE > n_rows).alias("is_hot")
     )
 
 
-def drop_repeats(candidates: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Candidates with DUPLICATE_UNIQUE_KEY or DUPLICATE_IN_BATCH on the rows that must go.
+def meet_repeated(candidates: DataFrame, repeated: DataFrame, how: str) -> DataFrame:
+    """Candidates joined with a stored frame of repeated keys ('left' or 'inner').
 
-    `repeated` is a stored frame. Its crowded keys are fewer than HOT_SHARE by construction and
-    meet the rows by broadcast, so those rows are never shuffled; all other rows join normally.
+    The crowded keys are fewer than HOT_SHARE by construction and meet the rows by broadcast,
+    so those rows are never shuffled; all other rows join normally.
     """
     keyed = candidates.withColumn("dedup_key", norm_key(F.col("unique_key")))
     hot, rest = repeated.filter("is_hot").drop("is_hot"), repeated.filter("not is_hot").drop("is_hot")
     if hot.isEmpty():
-        judged = keyed.join(rest, "dedup_key", "left")
-    else:
-        few = F.broadcast(hot)
-        crowded = keyed.join(few, "dedup_key", "inner")
-        others = keyed.join(few.select("dedup_key"), "dedup_key", "left_anti")
-        judged = crowded.unionByName(others.join(rest, "dedup_key", "left"))
+        return keyed.join(rest, "dedup_key", how)
+    few = F.broadcast(hot)
+    crowded = keyed.join(few, "dedup_key", "inner")
+    others = keyed.join(few.select("dedup_key"), "dedup_key", "left_anti")
+    return crowded.unionByName(others.join(rest, "dedup_key", how))
+
+
+def kept_rows(candidates: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Repeated keys with the row that stays: `keep_row`, NULL for a key the fact has.
+
+    The full rows are compared only for keys that do repeat, again with one row per task and key
+    in the shuffle.
+    """
+    fresh = repeated.filter("not is_loaded")
+    winners = (
+        meet_repeated(candidates, fresh, "inner")
+        .groupBy("dedup_key")
+        .agg(F.max(F.struct(*KEEP_ORDER)).getField("stg_row_id").alias("keep_row"))
+    )
+    return repeated.join(winners, "dedup_key", "left")
+
+
+def drop_repeats(candidates: DataFrame, kept: DataFrame) -> DataFrame:
+    """Candidates with DUPLICATE_UNIQUE_KEY or DUPLICATE_IN_BATCH on the rows that must go."""
     loaded = F.coalesce(F.col("is_loaded"), F.lit(False))
     beaten = F.col("keep_row").isNotNull() & (F.col("keep_row") != F.col("stg_row_id"))
     reason = F.when(loaded, CHECK_ORDER[9]).when(beaten, CHECK_ORDER[10])
@@ -191,13 +205,17 @@ def drop_repeats(candidates: DataFrame, repeated: DataFrame) -> DataFrame:
         beaten, "unique_key occurs again in this batch — another row was kept"
     )
     # The log shows the mapped status for rows that reached this check.
-    return judged.withColumns(
-        {
-            "error_type": reason,
-            "error_message": message,
-            "raw_status": F.when(reason.isNotNull(), F.col("status")).otherwise(F.col("raw_status")),
-        }
-    ).drop("dedup_key", "keep_row", "is_loaded")
+    return (
+        meet_repeated(candidates, kept, "left")
+        .withColumns(
+            {
+                "error_type": reason,
+                "error_message": message,
+                "raw_status": F.when(reason.isNotNull(), F.col("status")).otherwise(F.col("raw_status")),
+            }
+        )
+        .drop("dedup_key", "keep_row", "is_loaded")
+    )
 
 
 def resolve(staged: DataFrame, dims: dict[str, DataFrame], fact: DataFrame, settings: Settings) -> DataFrame:
@@ -209,7 +227,8 @@ def resolve(staged: DataFrame, dims: dict[str, DataFrame], fact: DataFrame, sett
     checked = cut(tag_rows(staged, dims, settings), "checked")
     candidates, failed = split_by_tag(checked)
     repeated = cut(repeated_keys(candidates, fact, checked.count()), "repeated")
-    return drop_repeats(candidates, repeated).unionByName(failed)
+    kept = cut(kept_rows(candidates, repeated), "kept")
+    return drop_repeats(candidates, kept).unionByName(failed)
 
 
 def fact_rows(accepted: DataFrame, batch_id: int) -> DataFrame:
@@ -296,8 +315,6 @@ def loose_fact_rows(staged: DataFrame, dims: dict[str, DataFrame], fact: DataFra
 
 def staged_legacy_locations(staged: DataFrame) -> DataFrame:
     """Locations of the older load: one row per distinct place and position."""
-    from civicmart.functions.dates import parse_coord
-
     rows = staged.filter(F.col("borough").isNotNull() & (norm_key(F.col("borough")) != "UNSPECIFIED"))
     return rows.select(
         norm_key(F.col("borough")).alias("borough"),

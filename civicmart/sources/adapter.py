@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicmart.functions.rules import Settings
+from civicmart.session import spread
 from civicmart.sources.raw import RAW_COLUMNS
 
 # The calendar, the report date and the rules the order tables are loaded with.
@@ -39,6 +40,8 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     line, orders, customer, part, supplier, nation, region = read_tables(
         spark, folder, "lineitem", "orders", "customer", "part", "supplier", "nation", "region"
     )
+    used = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"]
+    line = line.select(*used)
     home = nation.select(
         F.col("n_nationkey").alias("c_nationkey"),
         F.col("n_name").alias("home_nation"),
@@ -46,7 +49,8 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
     seat = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("seat_nation"))
     return (
-        line.join(orders, line.l_orderkey == orders.o_orderkey)
+        spread(line)
+        .join(orders, line.l_orderkey == orders.o_orderkey)
         .join(customer, orders.o_custkey == customer.c_custkey)
         .join(home, "c_nationkey")
         .join(region, "r_regionkey")
