@@ -148,18 +148,24 @@ def tag_rows(staged: DataFrame, dims: dict[str, DataFrame], settings: Settings)
     )
 
 
-def repeated_keys(candidates: DataFrame, fact: DataFrame, n_rows: int) -> DataFrame:
+def key_counts(candidates: DataFrame) -> DataFrame:
+    """Rows per key. Each task first counts its own rows, so a crowded key costs one row per task."""
+    return candidates.groupBy(norm_key(F.col("unique_key")).alias("dedup_key")).agg(
+        F.count(F.lit(1)).alias("copies")
+    )
+
+
+def repeated_keys(counts: DataFrame, fact: DataFrame, n_rows: int) -> DataFrame:
     """Keys that need a decision: in the fact already, or more than once in the batch.
 
-    Only keys and counts are shuffled, and each task first counts its own rows, so a crowded
-    key costs one row per task.
+    `counts` is a stored frame of one row per key. The fact's keys are first reduced to those of
+    the batch: for a batch that is small enough to broadcast, the fact is scanned but not
+    shuffled.
     """
-    per_key = candidates.groupBy(norm_key(F.col("unique_key")).alias("dedup_key")).agg(
-        F.count(F.lit(1)).alias("copies")
-    )
-    loaded = fact.select(norm_key(F.col("unique_key")).alias("dedup_key"), F.lit(True).alias("_loaded"))
+    stored = fact.select(norm_key(F.col("unique_key")).alias("dedup_key"))
+    known = stored.join(counts.select("dedup_key"), "dedup_key", "left_semi").withColumn("_loaded", F.lit(True))
     is_loaded = F.col("_loaded").isNotNull()
-    flagged = per_key.join(loaded, "dedup_key", "left").filter(is_loaded | (F.col("copies") > 1))
+    flagged = counts.join(known, "dedup_key", "left").filter(is_loaded | (F.col("copies") > 1))
     return flagged.select(
         "dedup_key", is_loaded.alias("is_loaded"), (F.col("copies") * HOT_SHARE > n_rows).alias("is_hot")
     )
@@ -226,13 +232,17 @@ def resolve(staged: DataFrame, dims: dict[str, DataFrame], fact: DataFrame, sett
     """
     checked = cut(tag_rows(staged, dims, settings), "checked")
     candidates, failed = split_by_tag(checked)
-    repeated = cut(repeated_keys(candidates, fact, checked.count()), "repeated")
+    counts = cut(key_counts(candidates), "counts")
+    repeated = cut(repeated_keys(counts, fact, checked.count()), "repeated")
     kept = cut(kept_rows(candidates, repeated), "kept")
     return drop_repeats(candidates, kept).unionByName(failed)
 
 
 def fact_rows(accepted: DataFrame, batch_id: int) -> DataFrame:
-    """Accepted rows in the shape of the fact table."""
+    """Accepted rows in the shape of the fact table.
+
+    `request_key` is a hash of the business key, which stays the identity of a request.
+    """
     return accepted.select(
         F.xxhash64(norm_key(F.col("unique_key"))).alias("request_key"),
         F.trim(F.col("unique_key")).alias("unique_key"),

@@ -117,7 +117,8 @@ def read_staging(spark: SparkSession, root: str) -> DataFrame:
     The flag is kept per batch in a small table, so marking rows as processed never rewrites
     them; a filter on it becomes a filter on the partition column.
     """
-    done = [r[0] for r in read_table(spark, root, "processed_batches").distinct().collect()]
+    # One row per loaded batch.
+    done = sorted({r[0] for r in read_table(spark, root, "processed_batches").select("stg_batch_id").collect()})
     flag = F.col("stg_batch_id").isin(done) if done else F.lit(False)
     return read_table(spark, root, STAGING).withColumn("stg_is_processed", flag)
 

@@ -1,7 +1,7 @@
 """The warehouse load, check by check."""
 
 import pytest
-from conftest import column
+from conftest import GOOD, column
 from pyspark.sql import functions as F
 
 from civicmart.functions.rules import Settings
@@ -10,8 +10,9 @@ from civicmart.operators import fact as FA
 from civicmart.plans import verify as V
 from civicmart.plans import warehouse as W
 from civicmart.plans.mart import service_requests_mart
-from civicmart.session import cut
+from civicmart.session import cut, fresh_path
 from civicmart.sources import tables as T
+from civicmart.sources.raw import RAW_COLUMNS, RAW_SCHEMA
 
 BAD_ROWS = {
     "NULL_UNIQUE_KEY": {"unique_key": "  "},
@@ -36,66 +37,118 @@ def errors(wh):
     return dict(column(wh.table("etl_errors").filter(F.col("step_name") == T.FACT), "unique_key", "error_type"))
 
 
-def test_every_check_names_its_reason(spark, requests_of, folder):
-    rows = requests_of({}, *BAD_ROWS.values(), {"unique_key": "1", "status": "Open", "created_date": "2024-05-19T07:14:00.000"})
-    wh, counts = loaded(spark, folder, rows)
-    assert column(wh.fact, "unique_key") == ["1"]
-    expected = {change["unique_key"]: reason for reason, change in BAD_ROWS.items()} | {"1": "DUPLICATE_IN_BATCH"}
-    assert errors(wh) == expected
-    done = counts[T.FACT]
-    assert (done.read, done.inserted, done.rejected, done.skipped) == (11, 1, 10, 0)
-    assert done.read == done.inserted + done.rejected
+EVERY_FAULT = {"created_date": "x", "status": "Bogus", "agency": None, "borough": None}
+MORE_ROWS = [
+    {},
+    {"unique_key": "1", "status": "Open", "created_date": "2024-05-19T07:14:00.000"},
+    {**EVERY_FAULT, "unique_key": "20"},
+    {**EVERY_FAULT, "unique_key": "21", "created_date": "2024-05-20T07:14:00.000"},
+    {"unique_key": "22", "city": None, "latitude": None},
+    {"unique_key": "23", "closed_date": "soon"},
+    {
+        "unique_key": "24", "agency": " nypd ", "borough": "brooklyn ", "complaint_type": "NOISE - residential",
+        "descriptor": " banging/pounding", "community_board": "02 brooklyn",
+    },
+    {"unique_key": "25", "descriptor": None, "complaint_type": "Rodent"},
+    {"unique_key": "26", "descriptor": " ", "complaint_type": "rodent"},
+    {"unique_key": "27", "agency": "ZZ", "agency_name": "Zed B"},
+    {"unique_key": "28", "agency": "zz", "agency_name": "Zed A"},
+    {"unique_key": "29", "agency": "HPD", "status": "close", "borough": "QUEENS", "incident_zip": "1", "latitude": None},
+    {"unique_key": "30", "borough": "QUEENS", "incident_zip": "2", "latitude": "10"},
+    {"unique_key": "31", "closed_date": None, "status": "Open"},
+    {"unique_key": "32", "closed_date": "2024-05-20T23:00:00.000"},
+    {"unique_key": "33", "created_date": "05/20/2024 07:14:00 AM"},
+]
+REJECTED = {change["unique_key"]: reason for reason, change in BAD_ROWS.items()} | {
+    "1": "DUPLICATE_IN_BATCH", "20": "INVALID_CREATED_DATE", "21": "INVALID_STATUS",
+    "29": "NO_DIM_LOCATION_MATCH", "30": "NO_DIM_LOCATION_MATCH",
+}
+
+
+@pytest.fixture(scope="module")
+def mixed(spark):
+    """One load of every kind of row: the warehouse and its step counts."""
+    rows = [tuple({**GOOD, **change}[n] for n in RAW_COLUMNS) for change in [*BAD_ROWS.values(), *MORE_ROWS]]
+    return loaded(spark, fresh_path(spark, "mixed"), spark.createDataFrame(rows, RAW_SCHEMA))
 
 
-def test_first_failing_check_wins(spark, requests_of, folder):
-    every_fault = {"unique_key": "9", "created_date": "x", "status": "Bogus", "agency": None, "borough": None}
-    wh, _ = loaded(spark, folder, requests_of({}, every_fault, {**every_fault, "unique_key": "8", "created_date": "2024-05-20T07:14:00.000"}))
-    assert errors(wh) == {"9": "INVALID_CREATED_DATE", "8": "INVALID_STATUS"}
+def fact_row(wh, key):
+    return wh.fact.filter(F.col("unique_key") == key).first()
 
 
-def test_city_check_needs_a_full_location(spark, requests_of, folder):
-    wh, _ = loaded(spark, folder, requests_of({}, {"unique_key": "2", "city": None, "latitude": None}))
-    assert sorted(column(wh.fact, "unique_key")) == ["1", "2"]
+def test_every_check_names_its_reason(mixed):
+    wh, counts = mixed
+    assert errors(wh) == REJECTED
+    assert sorted(column(wh.fact, "unique_key")) == ["1", "22", "23", "24", "25", "26", "27", "28", "31", "32", "33"]
+    assert counts[T.FACT] == W.StepCounts(25, 11, 14, 0)
 
 
-def test_bad_closing_date_keeps_the_row_open(spark, requests_of, folder):
-    wh, _ = loaded(spark, folder, requests_of({"closed_date": "soon"}))
-    row = wh.fact.first()
+def test_later_created_row_stays(mixed):
+    assert fact_row(mixed[0], "1").status == "Closed"
+
+
+def test_bad_closing_date_keeps_the_row_open(mixed):
+    row = fact_row(mixed[0], "23")
     assert (row.closed_date, row.resolution_days) == (None, None)
 
 
-def test_messages_show_the_raw_text(spark, requests_of, folder):
-    wh, _ = loaded(
-        spark, folder,
-        requests_of({}, BAD_ROWS["NO_DIM_AGENCY_MATCH"] | {"status": "close"}, BAD_ROWS["INVALID_STATUS"], BAD_ROWS["DATE_OUT_OF_RANGE"]),
-    )
-    got = {r.unique_key: (r.error_message, r.raw_status) for r in wh.table("etl_errors").filter("unique_key > '1'").filter("step_name = 'fact_service_requests'").collect()}
+def test_both_date_forms_load(mixed):
+    assert fact_row(mixed[0], "33").created_date == fact_row(mixed[0], "1").created_date
+
+
+def test_messages_show_the_raw_text(mixed):
+    logged = mixed[0].table("etl_errors").filter(F.col("step_name") == T.FACT)
+    got = {r.unique_key: (r.error_message, r.raw_status) for r in logged.collect()}
     assert got["15"] == ("agency code [NULL] not found in dim_agency", "Closed")
+    assert got["29"][1] == "Closed"
     assert got["14"][0].startswith("status value [Bogus] not in allowed list")
+    assert got["11"][0] == "created_date cannot be parsed as DATETIME: [not a date]"
     assert got["12"][0] == "created_date 2019-12-31T00:00:00.000 produces date_key 20191231 not in dim_date (2020-2030)"
 
 
-def test_matching_ignores_case_and_blanks(spark, requests_of, folder):
-    odd = {
-        "unique_key": "2", "agency": " nypd ", "borough": "brooklyn ", "complaint_type": "NOISE - residential",
-        "descriptor": " banging/pounding", "community_board": "02 brooklyn",
+def test_matching_ignores_case_and_blanks(mixed):
+    wh, _ = mixed
+    odd, plain = fact_row(wh, "24"), fact_row(wh, "1")
+    for key in ("agency_key", "location_key", "complaint_key"):
+        assert odd[key] == plain[key]
+    assert wh.table("dim_location").count() == 1
+
+
+def test_null_and_empty_descriptor_are_one_member(mixed):
+    wh, _ = mixed
+    assert column(wh.table("dim_complaint_type").filter("complaint_type = 'RODENT'"), "descriptor", "category") == [("", "Environment")]
+
+
+def test_one_agency_row_for_two_spellings(mixed):
+    zed = mixed[0].table("dim_agency").filter("agency_code = 'ZZ'")
+    assert column(zed, "agency_name", "sla_days") == [("Zed A", 10)]
+
+
+def test_rejected_areas_are_logged(mixed):
+    wh, counts = mixed
+    logged = wh.table("etl_errors").filter("step_name = 'dim_location'")
+    assert sorted(column(logged, "error_type")) == ["NULL_AVG_COORDINATES", "OUT_OF_RANGE_AVG_COORDINATES"]
+    assert "avg_lat=10.000000" in "".join(column(logged, "error_message"))
+    assert counts["dim_location"] == W.StepCounts(3, 1, 2, 0)
+
+
+def test_mart_rows(mixed):
+    mart = service_requests_mart(mixed[0], "2024-06-20").filter(F.col("unique_key").isin("1", "31", "32"))
+    got = {r.unique_key: (r.is_sla_breach, r.days_open_if_pending, r.resolution_bucket, r.category) for r in mart.collect()}
+    assert got == {
+        "1": (1, None, "4-7 Days", "Noise"), "31": (0, 31, "Open", "Noise"), "32": (0, None, "Same Day", "Noise"),
     }
-    wh, _ = loaded(spark, folder, requests_of({}, odd))
-    assert wh.fact.count() == 2
-    for name in ("dim_agency", "dim_location", "dim_complaint_type"):
-        assert wh.table(name).count() == 1
 
 
-def test_null_and_empty_descriptor_are_one_member(spark, requests_of, folder):
-    wh, _ = loaded(spark, folder, requests_of({"descriptor": None}, {"unique_key": "2", "descriptor": " "}))
-    assert column(wh.table("dim_complaint_type"), "descriptor") == [""]
-    assert wh.fact.count() == 2
+def test_quality_checks_hold(mixed):
+    wh, _ = mixed
+    for report in (V.orphan_counts(wh), V.uniqueness(wh), V.required_values(wh)):
+        assert {r.violations for r in report.collect()} == {0}
 
 
-def test_one_agency_row_for_two_spellings(spark, requests_of, folder):
-    wh, _ = loaded(spark, folder, requests_of({"agency": "ZZ", "agency_name": "Zed B"}, {"unique_key": "2", "agency": "zz", "agency_name": "Zed A"}))
-    row = wh.table("dim_agency").first()
-    assert (row.agency_code, row.agency_name, row.sla_days) == ("ZZ", "Zed A", 10)
+def test_sla_targets_apply_to_stored_agencies(spark, mixed):
+    later = W.Warehouse(spark, mixed[0].root, Settings(sla_days={"NYPD": 9}))
+    assert column(later.table("dim_agency").filter("agency_code = 'NYPD'"), "sla_days") == [9]
 
 
 def test_zero_coordinates_enter_the_mean_unless_switched_off(spark, requests_of):
@@ -106,18 +159,6 @@ def test_zero_coordinates_enter_the_mean_unless_switched_off(spark, requests_of)
     assert (float(nulled.latitude), float(nulled.longitude)) == (40.0, -74.0)
 
 
-def test_rejected_areas_are_logged(spark, requests_of, folder):
-    wh, counts = loaded(
-        spark, folder,
-        requests_of({}, {"unique_key": "2", "incident_zip": "1", "latitude": None}, {"unique_key": "3", "incident_zip": "2", "latitude": "10"}),
-    )
-    logged = wh.table("etl_errors").filter("step_name = 'dim_location'")
-    assert sorted(column(logged, "error_type")) == ["NULL_AVG_COORDINATES", "OUT_OF_RANGE_AVG_COORDINATES"]
-    assert "avg_lat=10.000000" in "".join(column(logged, "error_message"))
-    assert errors(wh) == {"2": "NO_DIM_LOCATION_MATCH", "3": "NO_DIM_LOCATION_MATCH"}
-    assert counts["dim_location"] == W.StepCounts(3, 1, 2, 0)
-
-
 def test_error_cap_limits_the_log_and_not_the_count(spark, requests_of):
     rejects = D.agency_rejects(requests_of(*[{"unique_key": str(i), "agency": None} for i in range(7)]))
     assert D.cap_errors(rejects, 3).count() == 3
@@ -136,24 +177,10 @@ def test_incremental_loads(spark, requests_of, folder):
     assert sorted(column(wh.fact, "unique_key", "dw_batch_id")) == [("1", 1), ("2", 1), ("3", 2)]
     assert sorted(column(wh.table("dim_agency"), "agency_key", "agency_code")) == [(1, "NYPD"), (2, "HPD")]
     assert errors(wh) == {"1": "DUPLICATE_UNIQUE_KEY"}
-    assert {r.violations for r in V.orphan_counts(wh).collect()} == {0}
-    assert {r.violations for r in V.uniqueness(wh).collect()} == {0}
-    assert {r.violations for r in V.required_values(wh).collect()} == {0}
-
-
-def test_run_after_a_lost_run_adds_nothing_twice(spark, requests_of, folder):
-    wh, _ = loaded(spark, folder, requests_of({}, {"unique_key": "2"}), batch=1)
-    # The job died after the insert: the batch was never marked as processed.
     T._write_empty(spark, folder, "processed_batches", "overwrite")
-    counts = W.run_all(wh, 1)
-    assert counts[T.FACT] == W.StepCounts(2, 0, 2, 2)
-    assert wh.fact.count() == 2
-
-
-def test_sla_targets_apply_to_stored_agencies(spark, requests_of, folder):
-    wh, _ = loaded(spark, folder, requests_of({}))
-    later = W.Warehouse(spark, folder, Settings(sla_days={"NYPD": 9}))
-    assert column(later.table("dim_agency"), "sla_days") == [9]
+    # The job died after the insert: no batch was marked as processed.
+    assert W.run_all(wh, 3)[T.FACT] == W.StepCounts(4, 0, 4, 4)
+    assert wh.fact.count() == 3
 
 
 def test_failed_step_is_logged_and_raised(spark, folder):
@@ -180,12 +207,6 @@ def test_reset_clears_and_reload_fills(spark, requests_of, folder):
     assert wh.pending.count() == 0
 
 
-def test_reset_without_flag_keeps_rows_processed(spark, requests_of, folder):
-    wh, _ = loaded(spark, folder, requests_of({}), batch=1)
-    T.reset_warehouse(spark, folder)
-    assert W.run_all(wh, 2)[T.FACT].read == 0
-
-
 def test_loose_load(spark, requests_of, folder):
     wh = W.create_warehouse(spark, folder)
     rows = requests_of(
@@ -200,16 +221,6 @@ def test_loose_load(spark, requests_of, folder):
     assert sorted(column(loose, "unique_key", "status")) == [("1", "Unknown"), ("5", "Closed")]
 
 
-def brute_force_winners(rows):
-    best = {}
-    for r in rows:
-        key = r["unique_key"].strip().upper()
-        rank = tuple((r[c] is not None, r[c]) if r[c] is not None else (False, "") for c in ("created_date", "status", "agency"))
-        if key not in best or rank > best[key][0]:
-            best[key] = (rank, r)
-    return {k: v[1]["status"] for k, v in best.items()}
-
-
 @pytest.mark.parametrize("share", [1000, 2])
 def test_crowded_key_resolves_as_brute_force(spark, requests_of, folder, monkeypatch, share):
     """A third of all rows share one key; with share 2 no key counts as crowded."""
@@ -246,15 +257,3 @@ def test_keys_number_alike_in_one_task_and_in_many(spark):
     many = D.assign_keys(rows, "k", ["code"], 10, 500, one_task=5)
     assert sorted(column(one, "k", "code")) == sorted(column(many, "k", "code"))
     assert column(one.orderBy("code"), "k")[:3] == [11, 12, 13]
-
-
-def test_mart_row(spark, requests_of, folder):
-    wh, _ = loaded(
-        spark, folder,
-        requests_of({}, {"unique_key": "2", "closed_date": None, "status": "Open"}, {"unique_key": "3", "closed_date": "2024-05-20T23:00:00.000"}),
-    )
-    mart = service_requests_mart(wh, "2024-06-20")
-    got = {r.unique_key: (r.is_sla_breach, r.days_open_if_pending, r.resolution_bucket, r.category) for r in mart.collect()}
-    assert got == {
-        "1": (1, None, "4-7 Days", "Noise"), "2": (0, 31, "Open", "Noise"), "3": (0, None, "Same Day", "Noise"),
-    }
