@@ -136,7 +136,7 @@ _ONLY_DATED = f"SELECT * FROM raw_landed WHERE {_CREATED} IS NOT NULL"
     O.over("untidy", f"SELECT * REPLACE (nullif(city, '') AS city), year({_CREATED}) AS source_year FROM ({_ONLY_DATED})"),
 )
 def raw_request_files(spark, sf):
-    return RW.select_known(RW.read_raw(spark, csv_folder(spark, sf, "untidy")))
+    return RW.read_raw(spark, csv_folder(spark, sf, "untidy"))
 
 
 @query(
@@ -649,25 +649,21 @@ def dimension_matches(spark, sf):
 
 
 @query(
-    "new_and_known_complaints",
-    "known:i n_types:i",
-    "SELECT CAST(p_type IN (SELECT p_type FROM part JOIN lineitem ON p_partkey = l_partkey WHERE l_quantity >= 50"
-    " GROUP BY p_type HAVING count(*) > 0) AS INTEGER) AS known, count(DISTINCT p_name || p_brand) AS n_types"
-    " FROM part WHERE p_type IS NOT NULL GROUP BY 1",
+    "known_and_new_customers",
+    "c_mktsegment:s known:i n_customers:i",
+    "SELECT c_mktsegment, CAST(c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000) AS INTEGER) AS known,"
+    " count(*) AS n_customers FROM customer GROUP BY 1, 2",
 )
-def new_and_known_complaints(spark, sf):
-    part, line = A.read_tables(spark, sf, "part", "lineitem")
-    bulk = part.join(line.filter(c("l_quantity") >= 50), c("p_partkey") == c("l_partkey")).select("p_type").distinct()
+def known_and_new_customers(spark, sf):
+    customer, orders = A.read_tables(spark, sf, "customer", "orders")
+    big = orders.filter(c("o_totalprice") > 450000).select(c("o_custkey").alias("c_custkey"))
 
-    def n_types(rows: DataFrame, known: int) -> DataFrame:
-        return rows.agg(F.countDistinct(F.concat("p_name", "p_brand")).alias("n_types")).select(
-            F.lit(known).alias("known"), "n_types"
-        )
+    def counted(rows: DataFrame, known: int) -> DataFrame:
+        return rows.groupBy("c_mktsegment", F.lit(known).alias("known")).agg(F.count(F.lit(1)).alias("n_customers"))
 
-    both = n_types(J.already_loaded(part, bulk, ["p_type"]), 1).unionByName(
-        n_types(J.only_new(part, bulk, ["p_type"]), 0)
+    return counted(J.already_loaded(customer, big, ["c_custkey"]), 1).unionByName(
+        counted(J.only_new(customer, big, ["c_custkey"]), 0)
     )
-    return both.filter(c("n_types") > 0)
 
 
 @query(

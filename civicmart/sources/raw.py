@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import warnings
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,39 +41,35 @@ def pick_years(years: int | tuple[int, int] | list[int] | None, latest: int | No
     return wanted
 
 
-def source_year(path: Column) -> Column:
-    """The year in a path such as …/requests_2024.csv; NULL for other names."""
-    return F.regexp_extract(path, r"_(\d{4})\.csv(/|$)", 1).try_cast("int")
+def years_present(spark: SparkSession, folder: str) -> list[int]:
+    """Years that have a `…_YYYY.csv`, a file or a folder of part files. Only names are read."""
+    files = spark.read.format("binaryFile").load(f"{folder}/*_[0-9][0-9][0-9][0-9].csv")
+    year = F.regexp_extract("path", r"_(\d{4})\.csv(/[^/]*)?$", 1).cast("int")
+    return sorted(r[0] for r in files.select(year.alias("y")).distinct().collect())
 
 
 def read_raw(
-    spark: SparkSession,
-    folder: str,
-    years: list[int] | None = None,
-    header: list[str] | None = None,
-    multiline: bool = True,
+    spark: SparkSession, folder: str, years: list[int] | None = None, multiline: bool = True
 ) -> DataFrame:
-    """Per-year CSVs of a folder, as text, with a `source_year` column.
+    """Per-year CSVs of a folder with a `source_year`: known columns by name, text, empty as NULL.
 
-    A year may be one file or a folder of part files. The years are part of the path glob, so
-    the others are never opened, and a year that is absent adds nothing. `header` names the
-    columns when they are not the known ones. With `multiline` a quoted value may hold line
-    breaks, and a file is read by one task; pass False for files known to hold none, which then
-    split.
+    Each year goes by its own header, so years may order their columns differently or lack
+    some; other years' files are never opened, and a wanted year without a file adds nothing.
+    With `multiline` a quoted value may hold line breaks, and a file is read by one task; pass
+    False for files known to hold none, which then split.
     """
-    names = header or RAW_COLUMNS
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
-    pattern = "{" + ",".join(str(y) for y in years) + "}" if years else "[0-9][0-9][0-9][0-9]"
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", multiline)
-        .option("escape", '"')
-        .csv(f"{folder}/*_{pattern}.csv")
-        .select("*", source_year(F.col("_metadata.file_path")).alias("source_year"))
-    )
-    text = [F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in names]
-    return rows.select(*text, "source_year")
+    found = years_present(spark, folder)
+    wanted = [y for y in found if years is None or y in years]
+    if not wanted:
+        raise FileNotFoundError(f"no request file in {folder} for years {years or 'of any kind'}")
+    reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
+
+    def one(year: int) -> DataFrame:
+        known = select_known(reader.csv(f"{folder}/*_{year}.csv"))
+        text = [F.nullif(F.col(c), F.lit("")).alias(c) for c in RAW_COLUMNS]
+        return known.select(*text, F.lit(year).alias("source_year"))
+
+    return reduce(DataFrame.unionByName, [one(y) for y in wanted])
 
 
 def select_known(df: DataFrame) -> DataFrame:

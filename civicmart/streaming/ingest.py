@@ -18,11 +18,13 @@ def read_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -
     """Request files of a folder as a stream; empty fields are NULL.
 
     The progress of the read lives in the query's checkpoint, so a stopped run goes on with the
-    first file it has not finished.
+    first file it has not finished. A stream has one schema: a file whose header differs from it
+    stops the query instead of being misread.
     """
     rows = (
         spark.readStream.schema(RAW_SCHEMA)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("multiLine", True)
         .option("escape", '"')
         .option("recursiveFileLookup", True)

@@ -28,6 +28,20 @@ def test_files_are_text_and_empty_is_null(spark, tmp_path):
     assert (row.unique_key, row.closed_date, row.incident_zip, row.source_year) == ("007", None, "01234", 2023)
 
 
+def test_columns_go_by_name_per_year(spark, tmp_path):
+    write_text(tmp_path / "requests_2022.csv", "\n".join([HEADER, line(unique_key="a")]) + "\n")
+    write_text(tmp_path / "requests_2023.csv", "status,unique_key,extra\nOpen,b,x\n")
+    with pytest.warns(UserWarning, match="missing columns"):
+        got = R.read_raw(spark, str(tmp_path))
+    assert sorted(column(got, "unique_key", "status", "agency")) == [("a", "Closed", "NYPD"), ("b", "Open", None)]
+
+
+def test_no_file_is_an_error_before_staging_is_touched(spark, tmp_path):
+    write_text(tmp_path / "requests_2022.csv", "\n".join([HEADER, line()]) + "\n")
+    with pytest.raises(FileNotFoundError):
+        R.read_raw(spark, str(tmp_path), [2019])
+
+
 def test_quotes_commas_and_line_breaks_inside_a_value(spark, tmp_path):
     note = 'He said "no",\nthen left'
     write_text(tmp_path / "requests_2023.csv", "\n".join([HEADER, line(resolution_description=note), line(unique_key="2")]) + "\n")

@@ -1,6 +1,8 @@
 """Files arriving over time."""
 
+import pytest
 from conftest import column
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from civicmart.plans import warehouse as W
@@ -47,3 +49,13 @@ def test_checks_on_a_stream(spark, requests_of, folder):
     ).start().awaitTermination()
     got = spark.read.schema("unique_key string, error_type string").parquet(out)
     assert set(column(got, "unique_key", "error_type")) == {("1", None), ("2", "INVALID_CREATED_DATE"), (None, "NULL_UNIQUE_KEY")}
+
+
+def test_other_header_stops_the_stream(spark, requests_of, folder):
+    inbox, progress = fresh_path(spark, "inbox"), fresh_path(spark, "progress")
+    wh = W.create_warehouse(spark, folder)
+    rows = requests_of({})
+    deliver(rows.select(*reversed(rows.columns)), inbox)
+    with pytest.raises(StreamingQueryException):
+        I.ingest_stream(wh, inbox, progress).awaitTermination()
+    assert wh.staging.count() == 0
