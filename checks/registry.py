@@ -213,16 +213,14 @@ def staged_rows(spark, sf):
     "table_name:s total_rows:i",
     O.over(
         "clean",
-        "SELECT 'fact_service_requests' AS table_name, count(*) AS total_rows FROM fact"
-        " UNION ALL SELECT 'dim_date', count(*) FROM dim_date WHERE year BETWEEN 1997 AND 1999"
-        " UNION ALL SELECT 'dim_agency', count(*) FROM dim_agency"
-        " UNION ALL SELECT 'dim_location', count(*) FROM dim_location"
-        " UNION ALL SELECT 'dim_complaint_type', count(*) FROM dim_complaint_type",
+        "SELECT 'requests' AS table_name, count(*) AS total_rows FROM mart"
+        " UNION ALL SELECT 'calendar', count(*) FROM dim_date WHERE year BETWEEN 1997 AND 1999"
+        " UNION ALL SELECT 'agency_summary', count(DISTINCT (agency_code, year, month)) FROM mart"
+        " UNION ALL SELECT 'borough_summary', count(DISTINCT (borough, year, month, category)) FROM mart",
     ),
 )
 def report_model_tables(spark, sf):
-    wh = warehouse(spark, sf)
-    return S.union_counts(T.report_tables(spark, wh.root, wh.settings.report_years))
+    return S.union_counts(PM.report_model(warehouse(spark, sf), A.AS_OF))
 
 
 # ---- scalar functions -------------------------------------------------------------------------
@@ -675,10 +673,9 @@ def known_and_new_customers(spark, sf):
     ),
 )
 def requests_by_report_year(spark, sf):
-    wh = warehouse(spark, sf)
-    days = T.report_tables(spark, wh.root, wh.settings.report_years)["dim_date"]
-    named = days.select("full_date", c("year").alias("report_year"))
-    return J.attach_calendar(wh.fact, named).groupBy("report_year").agg(F.count(F.lit(1)).alias("n_requests"))
+    model = PM.report_model(warehouse(spark, sf), A.AS_OF)
+    named = model["calendar"].select("full_date", c("year").alias("report_year"))
+    return J.attach_calendar(model["requests"], named).groupBy("report_year").agg(F.count(F.lit(1)).alias("n_requests"))
 
 
 @query(

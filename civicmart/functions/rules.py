@@ -98,6 +98,20 @@ class Settings:
         return int(self.first_day.replace("-", "")), int(self.last_day.replace("-", ""))
 
 
+# The agencies the older load names, and those it has targets for.
+LEGACY_NAMED = ["NYPD", "HPD", "DOT", "DSNY", "DEP", "DPR", "DOB", "TLC", "FDNY", "DOE"]
+LEGACY_TARGETS = ["NYPD", "HPD", "DOT", "DSNY", "DEP", "DPR", "DOB", "TLC"]
+
+
+def legacy_settings() -> Settings:
+    """Rules of the older load: fewer names and targets, the shorter classifier."""
+    return Settings(
+        agency_names={code: AGENCY_NAMES[code] for code in LEGACY_NAMED},
+        sla_days={code: AGENCY_SLA_DAYS[code] for code in LEGACY_TARGETS},
+        category_rules=list(LEGACY_CATEGORY_RULES),
+    )
+
+
 def lookup(key: Column, table: dict) -> Column:
     """Value of a small fixed table, NULL for an unknown key."""
     if not table:

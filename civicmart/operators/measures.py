@@ -148,8 +148,11 @@ def needed_parts(names: list[str]) -> list[str]:
     return list(seen)
 
 
-def reduce_rows(rows: DataFrame, parts: list[str], by: list[str], where: dict[str, object]) -> DataFrame:
-    """Parts per group. Filters no part replaces are applied to the scan; the others per part."""
+def reduce_rows(
+    rows: DataFrame, parts: list[str], by: list[str], where: dict[str, object], more: list[Column] | None = None
+) -> DataFrame:
+    """Parts per group, and `more` aggregates. Filters no part replaces are applied to the scan;
+    the others per part."""
     replaced = set().union(*[PARTS[p].replaces for p in parts])
     for column, wanted in where.items():
         if column not in replaced:
@@ -162,12 +165,13 @@ def reduce_rows(rows: DataFrame, parts: list[str], by: list[str], where: dict[st
             if column in replaced and column not in p.replaces:
                 value = F.when(condition(column, wanted), value)
         aggregates.append(_again(p.kind, value).alias(f"_{name}"))
+    aggregates += more or []
     return rows.groupBy(*by).agg(*aggregates) if by else rows.agg(*aggregates)
 
 
-def combine(df: DataFrame, parts: list[str], by: list[str]) -> DataFrame:
-    """Parts of finer groups put together to coarser ones."""
-    aggregates = [_again(PARTS[p].kind, part(p)).alias(f"_{p}") for p in parts]
+def combine(df: DataFrame, parts: list[str], by: list[str], more: list[Column] | None = None) -> DataFrame:
+    """Parts of finer groups put together to coarser ones, with `more` aggregates."""
+    aggregates = [_again(PARTS[p].kind, part(p)).alias(f"_{p}") for p in parts] + (more or [])
     return df.groupBy(*by).agg(*aggregates) if by else df.agg(*aggregates)
 
 
@@ -343,35 +347,43 @@ def vs_citywide(rows: DataFrame, by: list[str], over: str = "borough", where: di
     )
 
 
+OLDEST = {
+    "created_date": "created_date", "department": "agency_name", "agency_code": "agency_code",
+    "complaint_type": "complaint_type",
+}
+
+
+def first_of_open() -> list[Column]:
+    """Least creation day, agency and complaint of the open rows of a group."""
+    return [F.min(F.when(_open(), F.col(source))).alias(f"_{name}") for name, source in OLDEST.items()]
+
+
+def pick_oldest() -> Column:
+    """The values of the greatest age, from groups that each hold one age."""
+    age = F.when(F.col("_created_date").isNotNull(), _days())
+    shown = [_days().alias("days_open_if_pending"), *[F.col(f"_{n}").alias(n) for n in OLDEST]]
+    return F.max_by(F.struct(*shown), age)
+
+
+def case_summary(case: str = "") -> Column:
+    day = fmt_month_day_year(F.to_date(f"{case}created_date"))
+    return F.concat_ws(" | ", f"{case}agency_code", f"{case}complaint_type", day)
+
+
 def oldest_case(rows: DataFrame, by: list[str] | None = None, where: dict | None = None) -> DataFrame:
     """The longest-open requests: creation day, first agency and first complaint among ties.
 
     Rows are reduced to one per age before the oldest is picked, so ties never gather.
     """
     by = by or []
-    kept = rows
+    kept = rows.filter(_open() & _days().isNotNull())
     for column, wanted in (where or {}).items():
         if column != "days_open_if_pending":
             kept = kept.filter(condition(column, wanted))
-    per_age = (
-        kept.filter((F.col("status") != "Closed") & _days().isNotNull())
-        .groupBy(*by, "days_open_if_pending")
-        .agg(
-            F.min("created_date").alias("created_date"),
-            F.min("agency_name").alias("department"),
-            F.min("agency_code").alias("agency_code"),
-            F.min("complaint_type").alias("complaint_type"),
-        )
-    )
-    shown = F.struct("days_open_if_pending", "created_date", "department", "agency_code", "complaint_type")
-    oldest = F.max_by(shown, F.col("days_open_if_pending")).alias("o")
+    per_age = kept.groupBy(*by, "days_open_if_pending").agg(*first_of_open())
+    oldest = pick_oldest().alias("o")
     top = (per_age.groupBy(*by).agg(oldest) if by else per_age.agg(oldest)).select(*by, "o.*")
-    return top.withColumn(
-        "summary",
-        F.concat_ws(
-            " | ", "agency_code", "complaint_type", fmt_month_day_year(F.to_date("created_date"))
-        ),
-    )
+    return top.withColumn("summary", case_summary())
 
 
 def display_columns() -> list[Column]:

@@ -79,6 +79,18 @@ def register_views(wh: Warehouse, as_of: str | None = None) -> None:
     borough_summary(wh).createOrReplaceTempView("vw_borough_summary")
 
 
+def report_model(wh: Warehouse, as_of: str | Column | None = None) -> dict[str, DataFrame]:
+    """Tables as the report takes them in: requests by creation day, the calendar of the report
+    years, and both summaries."""
+    requests = service_requests_mart(wh, as_of).withColumn("created_date", F.to_date("created_date"))
+    return {
+        "requests": requests,
+        "calendar": wh.table("dim_date").filter(F.col("year").between(*wh.settings.report_years)),
+        "agency_summary": agency_summary(wh),
+        "borough_summary": borough_summary(wh),
+    }
+
+
 def write_summaries(wh: Warehouse) -> None:
     """Store both summaries, so that reports read a few rows per group instead of the fact."""
     agency_summary(wh).write.mode("overwrite").parquet(f"{wh.root}/agency_summary")

@@ -198,21 +198,22 @@ def open_by_day(mart: DataFrame, where: Where = None) -> DataFrame:
 
 
 def open_cards(mart: DataFrame, where: Where = None) -> DataFrame:
-    """Backlog cards: one row with counts, ages, stale bands and the oldest case."""
+    """Backlog cards: one row with counts, ages, stale bands and the oldest case.
+
+    One pass over the requests to one row per age, from which cards and oldest case follow.
+    """
     scope = {**(where or {}), "status": F.col("status") != "Closed"}
     names = [
         "total_open", "avg_days_open", "stale_over_90", "stale_over_90_rate", "oldest_open_case", "within_sla_count",
         "sla_breach_rate_open", "avg_days_waiting_vs_sla", "stale_90_to_180", "stale_180_to_365",
         "stale_over_365",
     ]
-    cards = M.measures(mart, names, where=scope)
-    texts = cards.select(
-        *names,
+    parts = M.needed_parts(names)
+    per_age = M.reduce_rows(mart, parts, ["days_open_if_pending"], scope, M.first_of_open())
+    cards = M.combine(per_age, parts, [], [M.pick_oldest().alias("oldest")])
+    return cards.select(*M.formulas(names), M.case_summary("oldest.").alias("oldest_case_summary")).select(
+        "*",
         fmt_days(F.col("avg_days_open")).alias("avg_open_days_display"),
         fmt_days(F.col("oldest_open_case"), 0).alias("oldest_open_display"),
         M.waiting_label(F.col("avg_days_waiting_vs_sla")).alias("avg_days_waiting_label"),
     )
-    oldest = M.oldest_case(mart, where=scope).select(F.col("summary").alias("oldest_case_summary"))
-    # Two frames of one row each are merged by column.
-    both = texts.unionByName(oldest, allowMissingColumns=True)
-    return both.agg(*[F.max(c).alias(c) for c in both.columns])

@@ -178,8 +178,11 @@ def load_fact(wh: Warehouse, log_id: int, batch_id: int, strict: bool = True) ->
     the older load, which leaves rows out without logging them.
     """
     pending = wh.pending
+    read = pending.count()
+    if not read:
+        return StepCounts()
     done = cut(pending.select("stg_batch_id", F.lit(log_id).alias("log_id")).distinct(), "batches")
-    before, read = wh.fact.count(), pending.count()
+    before = wh.fact.count()
     if strict:
         resolved = FA.resolve(pending, wh.dims(*DIMENSIONS[1:]), wh.fact, wh.settings)
         accepted, rejected = split_by_tag(resolved)

@@ -137,9 +137,3 @@ def table_counts(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
     from civicmart.operators.sets import union_counts
 
     return union_counts({n: read_table(spark, root, n) for n in names})
-
-
-def report_tables(spark: SparkSession, root: str, years: tuple[int, int]) -> dict[str, DataFrame]:
-    """Tables as the report model takes them in: the calendar keeps only the report years."""
-    calendar = read_table(spark, root, "dim_date").filter(F.col("year").between(*years))
-    return {n: read_table(spark, root, n) for n in [FACT, *DIMENSIONS[1:]]} | {"dim_date": calendar}

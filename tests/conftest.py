@@ -14,7 +14,7 @@ DATA = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = get_session(
-        "tests", "local[4]", spark__sql__shuffle__partitions=4, spark__driver__memory="6g",
+        "tests", "local[8]", spark__sql__shuffle__partitions=4, spark__driver__memory="6g",
         spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
     )
     session.sparkContext.setLogLevel("ERROR")

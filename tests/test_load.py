@@ -4,12 +4,12 @@ import pytest
 from conftest import GOOD, column
 from pyspark.sql import functions as F
 
-from civicmart.functions.rules import Settings
+from civicmart.functions.rules import Settings, legacy_settings
 from civicmart.operators import dims as D
 from civicmart.operators import fact as FA
 from civicmart.plans import verify as V
 from civicmart.plans import warehouse as W
-from civicmart.plans.mart import service_requests_mart
+from civicmart.plans.mart import register_views, service_requests_mart, write_summaries
 from civicmart.session import cut, fresh_path
 from civicmart.sources import tables as T
 from civicmart.sources.raw import RAW_COLUMNS, RAW_SCHEMA
@@ -140,6 +140,25 @@ def test_mart_rows(mixed):
     }
 
 
+def test_views_and_stored_summaries(spark, mixed):
+    wh, _ = mixed
+    register_views(wh, "2024-06-20")
+    assert spark.sql("SELECT count(*) FROM vw_service_requests WHERE is_sla_breach = 1").first()[0] == 6
+    write_summaries(wh)
+    stored = spark.read.parquet(f"{wh.root}/agency_summary")
+    assert sorted(column(stored, "agency_code", "total_requests")) == [("NYPD", 9), ("ZZ", 2)]
+    assert spark.sql("SELECT sum(total_requests) FROM vw_borough_summary").first()[0] == 11
+
+
+def test_older_rules(spark, requests_of, folder):
+    rules = legacy_settings()
+    rows = requests_of({"agency": "DCAS", "agency_name": "Citywide", "complaint_type": "Water System"})
+    agency = D.new_agencies(D.staged_agencies(rows), rules, spark.createDataFrame([], "agency_code string")).first()
+    assert (agency.agency_name, agency.sla_days) == ("Citywide", 10)
+    none = spark.createDataFrame([], "complaint_type string, descriptor string")
+    assert D.new_complaints(D.staged_complaints(rows), rules, none).first().category == "Housing"
+
+
 def test_quality_checks_hold(mixed):
     wh, _ = mixed
     for report in (V.orphan_counts(wh), V.uniqueness(wh), V.required_values(wh)):
