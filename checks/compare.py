@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -67,6 +68,7 @@ def main(args: list[str]) -> int:
     spark = get_session(
         master="local[8]", spark__sql__shuffle__partitions=8, spark__driver__memory="16g",
         spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="run-", dir="/tmp"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)

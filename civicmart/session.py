@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_WORK: dict[str, str] = {}
+_CHOSEN: dict[str, str] = {}
 
 
 def get_session(app: str = "civicmart", master: str | None = None, **conf: object) -> SparkSession:
@@ -27,21 +26,21 @@ def get_session(app: str = "civicmart", master: str | None = None, **conf: objec
     return builder.getOrCreate()
 
 
+def use_work_dir(spark: SparkSession, path: str) -> None:
+    """Name the work folder of a session that has no `spark.checkpoint.dir`, as tests do."""
+    _CHOSEN[spark.sparkContext.applicationId] = path.rstrip("/")
+
+
 def work_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the cluster (or `use_work_dir`) names it.
 
-    A local session without the setting gets a fresh folder of its own; a cluster session
-    without it is refused, because a machine-local folder would not survive a lost executor.
+    A session without one is refused, local or not: a machine-local folder would not survive
+    a lost executor.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _CHOSEN.get(spark.sparkContext.applicationId)
+    if not shared:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_WORK:
-        _LOCAL_WORK[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return _LOCAL_WORK[app]
+    return shared.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -16,6 +17,7 @@ def spark():
     session = get_session(
         "tests", "local[8]", spark__sql__shuffle__partitions=4, spark__driver__memory="6g",
         spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="run-", dir="/tmp"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
