@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicmart.llm.columns import distinct, flat, ragged, slices
+from civicmart.llm.columns import distinct, flat, ragged, send, slices
 from civicmart.session import fresh_path
 
 WINDOW = 1024
@@ -27,7 +27,7 @@ END = 0
 #: Pieces of one length that are ranked together, on average.
 RANKED_TOGETHER = 1000
 #: Distinct pre-tokens whose ids a task remembers at a time.
-REMEMBERED = 200_000
+REMEMBERED = 500_000
 
 # fixed values of the vocabulary's pre-tokenizer: contractions that are cut off, and white space
 SHORT = ("s", "t", "m", "d")
@@ -37,14 +37,19 @@ SPACES = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x202
 
 def character_kinds() -> np.ndarray:
     """1 letter, 2 number, 3 white space, 0 anything else, by code point."""
-    kinds = np.zeros(0x110000, np.uint8)
-    for c in range(0x110000):
-        head = unicodedata.category(chr(c))[0]
-        kinds[c] = 1 if head == "L" else 2 if head == "N" else 0
+    heads = np.frombuffer("".join(unicodedata.category(chr(c))[0] for c in range(0x110000)).encode(), np.uint8)
+    kinds = np.where(heads == ord("L"), 1, np.where(heads == ord("N"), 2, 0)).astype(np.uint8)
     kinds[SPACES] = 3
     return kinds
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable bytes as they are, the others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
 def pre_tokens(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where pre-tokens begin in the bytes of all texts, and how many lie before each text.
 
@@ -85,25 +90,25 @@ def pre_tokens(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray) -> tupl
 class ByteEncoder:
     """Ids of whole texts as the vocabulary's own library gives them, looked up once per distinct pre-token."""
 
-    def __init__(self, vocabulary: str, remembered: int = REMEMBERED):
+    def __init__(self, vocabulary: str, kinds: np.ndarray, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(vocabulary)
         self.model.no_truncation()
         self.model.no_padding()
         self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
-        self.kinds = character_kinds()
+        self.kinds = kinds
+        self.letters = byte_letters()
         self.known: dict[bytes, list[int]] = {}
         self.remembered = remembered
 
     def look_up(self, tokens: list[bytes]) -> list[list[int]]:
         if len(self.known) > self.remembered:
             self.known.clear()
-        new = [t for t in tokens if t not in self.known]
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for t, e in zip(part, self.model.encode_batch([t.decode() for t in part], add_special_tokens=False), strict=True):
-                self.known[t] = e.ids
+        cut = self.model.model.tokenize
+        for t in tokens:
+            if t not in self.known:
+                self.known[t] = [x.id for x in cut(t.decode("latin-1").translate(self.letters))]
         return [self.known[t] for t in tokens]
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
@@ -133,14 +138,11 @@ class ByteEncoder:
 def cut_pieces(docs: DataFrame, vocabulary: str, window: int = WINDOW) -> DataFrame:
     """Whole windows and one rest per document: doc_id, start, length, ids_crc32, doc_tokens."""
     with open(vocabulary, encoding="utf-8") as f:
-        held = docs.sparkSession.sparkContext.broadcast(f.read())
+        held = send(docs.sparkSession, (f.read(), character_kinds()))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = ByteEncoder(held.value)
+        encoder = ByteEncoder(*held())
         for batch in batches:
             for part in slices(batch):
                 rows, out = [], []
