@@ -126,7 +126,7 @@ class Spans:
         self.total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:-1])])
 
     def of(self, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
-        h = (self.total[ends] - self.total[starts]) * self.inverse[starts] + np.uint64(salt) * ODD
+        h = (self.total[ends] - self.total[starts]) * self.inverse[starts] + np.uint64(salt * int(ODD) % (1 << 64))
         h ^= h >> np.uint64(31)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         return h ^ (h >> np.uint64(29))

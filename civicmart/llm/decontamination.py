@@ -172,7 +172,7 @@ def _merge(a: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows of `docs` with `_n_words`, `_hits` (begin and end of hit word ranges, in order), `_spans`
+    """The rows of `docs` (`text` and columns without these names) with `_n_words`, `_hits` (begin and end of hit word ranges, in order), `_spans`
     (the same as bytes of the text) and `_items` (ids of the items whose windows occur).
 
     Null texts and items have no words and hit nothing; an item of fewer words than a window is a
@@ -266,7 +266,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
     Text outside the spans stays as it is, null and empty texts stay, as do all other columns.
     """
-    found = find_hits(docs, benchmark, window)
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    found = find_hits(docs.select("text", F.struct("doc_id", *others).alias("_row")), benchmark, window)
     hit = F.aggregate("_hits", F.lit(0).cast("bigint"), lambda n, h: n + h["end"] - h["begin"])
     clean = found.filter((hit == 0) | (share * hit < F.col("_n_words")))
     raw = F.encode(F.col("text"), "UTF-8")
@@ -274,4 +275,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     begins = F.concat(F.array(F.lit(0).cast("bigint")), F.transform("_spans", lambda s: s["end"]))
     kept = F.zip_with(begins, ends, lambda b, e: F.decode(F.substring(raw, (b + 1).cast("int"), (e - b).cast("int")), "UTF-8"))
     text = F.when(F.size("_spans") == 0, F.col("text")).otherwise(F.array_join(kept, ""))
-    return clean.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    return clean.select(*[text.alias(c) if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civicmart.llm import decontamination, interpolation, packing, simhash, tokens
+from civicmart.llm import decontamination, interpolation, packing, pii, quality, secret_scan, simhash, tokens, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -27,16 +27,41 @@ def op1_token_counts(spark, sf_dir):
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op2_quality(spark, sf_dir):
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_toxicity(spark, sf_dir):
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_simhash_near_duplicates(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_top_neighbours(spark, sf_dir):
+    return topk.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op6_language_model(spark, sf_dir):
     return interpolation.scores(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_personal_data(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_secret_scans(spark, sf_dir):
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_decontamination(spark, sf_dir):
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -5,10 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civicmart.llm import decontamination, packing, simhash
+from civicmart.llm import decontamination, packing, secret_scan, simhash, toxicity
 from civicmart.session import fresh_path
 
 
+def toxicity_filtered(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go."""
+    return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays."""
     return simhash.keep_one(docs)
@@ -19,12 +24,20 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the text."""
+    return secret_scan.redact(docs)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("near_duplicates", near_duplicates), ("decontaminated", decontaminated), ("packed", packed)]
+STAGES = [
+    ("toxicity", toxicity_filtered), ("near_duplicates", near_duplicates), ("decontamination", decontaminated), ("secret_scans", secrets_masked),
+    ("packing", packed),
+]
 
 #: No stage can be told in SQL: they hash by XXH64, stream an automaton, or tokenize.
 ORACLE_SQL = None
