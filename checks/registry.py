@@ -30,6 +30,7 @@ from civicmart.streaming import ingest as I
 c = F.col
 MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 YEARS = list(range(1995, 2002))
+UNDATED = 1990
 BATCH = 20020101
 
 
@@ -85,6 +86,18 @@ def load(spark: SparkSession, sf: str, form: str) -> W.Warehouse:
     return wh
 
 
+def unloaded(spark: SparkSession, sf: str, form: str) -> W.Warehouse:
+    """A warehouse with staged requests and dimensions, before its first load of the fact."""
+    key = (spark.sparkContext.applicationId, sf, form, "unloaded")
+    if key not in _LOADED:
+        wh = W.create_warehouse(spark, fresh_path(spark, f"unloaded-{form}"), A.order_settings())
+        T.load_staging(FORMS[form](spark, sf), wh.root, BATCH)
+        for number, name in enumerate(W.STEPS[:-1]):
+            W.LOADERS[name](wh, number, BATCH)
+        _LOADED[key] = wh
+    return _LOADED[key]
+
+
 def warehouse(spark: SparkSession, sf: str, form: str = "clean") -> W.Warehouse:
     key = (spark.sparkContext.applicationId, sf, form)
     if key not in _LOADED:
@@ -111,7 +124,10 @@ def _write_files(rows: DataFrame, path: str) -> None:
 
 
 def csv_folder(spark: SparkSession, sf: str, form: str) -> str:
-    """Request files, one folder of part files per creation year, as a source system leaves them."""
+    """Request files, one folder of part files per creation year, as a source system leaves them.
+
+    Requests without a readable creation date lie in a file of their own, under `UNDATED`.
+    """
     key = (spark.sparkContext.applicationId, sf, form, "csv")
     if key not in _LOADED:
         rows = FORMS[form](spark, sf)
@@ -119,6 +135,8 @@ def csv_folder(spark: SparkSession, sf: str, form: str) -> str:
         for year in YEARS:
             part = rows.filter(F.year(FD.parse_ts(c("created_date"))) == year)
             _write_files(part, f"{root}/requests_{year}.csv")
+        undated = rows.filter(FD.parse_ts(c("created_date")).isNull() | ~F.year(FD.parse_ts(c("created_date"))).isin(YEARS))
+        _write_files(undated, f"{root}/requests_{UNDATED}.csv")
         _LOADED[key] = root
     return _LOADED[key]
 
@@ -127,18 +145,42 @@ def csv_folder(spark: SparkSession, sf: str, form: str) -> str:
 
 RAW_TEXT = " ".join(f"{n}:s" for n in RW.RAW_COLUMNS)
 _CREATED = O.ts("created_date")
-_ONLY_DATED = f"SELECT * FROM raw_landed WHERE {_CREATED} IS NOT NULL"
 
 
 @query(
     "raw_request_files",
     RAW_TEXT + " source_year:i",
-    O.over("untidy", f"SELECT * REPLACE (nullif(city, '') AS city), year({_CREATED}) AS source_year FROM ({_ONLY_DATED})"),
+    O.over(
+        "untidy",
+        "SELECT * REPLACE (nullif(city, '') AS city),"
+        f" CASE WHEN year({_CREATED}) BETWEEN 1995 AND 2001 THEN year({_CREATED}) ELSE 1990 END AS source_year FROM raw_landed",
+    ),
 )
 def raw_request_files(spark, sf):
     return RW.read_raw(spark, csv_folder(spark, sf, "untidy"))
 
 
+@query(
+    "raw_files_by_own_header",
+    "unique_key:s status:s agency:s source_year:i",
+    O.over("clean", "SELECT unique_key, status, CASE WHEN hash_part = 2 THEN NULL ELSE agency END AS agency, 1998 AS source_year FROM ("
+           "SELECT *, CAST(unique_key AS BIGINT) % 3 AS hash_part FROM raw_landed)"),
+)
+def raw_files_by_own_header(spark, sf):
+    """Three files of one year: columns in order, in reverse, and without one."""
+    import warnings
+
+    rows = A.clean_requests(spark, sf).withColumn("part", c("unique_key").cast("bigint") % 3)
+    root = fresh_path(spark, "files-headers")
+    columns = RW.RAW_COLUMNS
+    shapes = [columns, columns[::-1], [n for n in columns if n != "agency"]]
+    for number, names in enumerate(shapes):
+        _write_files(rows.filter(c("part") == number).select(*names), f"{root}/{number}_1998.csv")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        return RW.read_raw(spark, root)
+
+
 @query(
     "request_files_by_year",
     "source_year:i n_rows:i n_open:i",
@@ -150,7 +192,11 @@ def raw_request_files(spark, sf):
     ),
 )
 def request_files_by_year(spark, sf):
-    files = RW.read_raw(spark, csv_folder(spark, sf, "clean"), years=[1997, 1998, 1999, 2009])
+    import warnings
+
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        files = RW.read_raw(spark, csv_folder(spark, sf, "clean"), (1997, 1999), first_year=1995)
     return files.groupBy("source_year").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(c("closed_date").isNull()).alias("n_open")
     )
@@ -318,6 +364,24 @@ def status_mapping(spark, sf):
     ).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+# The rules as the twin knows them, in the order in which they are tried.
+TWIN_RULES = [
+    ("NOISE", "Noise"), ("ILLEGAL PARKING", "Vehicle"), ("VEHICLE", "Vehicle"), ("TRAFFIC", "Vehicle"),
+    ("HEAT", "Housing"), ("HOT WATER", "Housing"), ("PLUMBING", "Housing"), ("PAINT", "Housing"),
+    ("MOLD", "Housing"), ("ELEVATOR", "Housing"), ("HOUSING", "Housing"), ("STREET LIGHT", "Infrastructure"),
+    ("STREET CONDITION", "Infrastructure"), ("SEWER", "Infrastructure"), ("POTHOLE", "Infrastructure"),
+    ("SIDEWALK", "Infrastructure"), ("WATER SYSTEM", "Infrastructure"), ("TREE", "Environment"),
+    ("LITTER", "Environment"), ("DIRTY", "Environment"), ("SANITATION", "Environment"), ("RODENT", "Environment"),
+    ("PEST", "Environment"), ("FIRE", "Safety"), ("HAZARD", "Safety"), ("DRUG", "Safety"), ("WEAPON", "Safety"),
+    ("ASSAULT", "Safety"),
+]
+TWIN_OLDER_RULES = [
+    ("NOISE", "Noise"), ("PARK", "Vehicle"), ("VEHICLE", "Vehicle"), ("HEAT", "Housing"), ("PLUMB", "Housing"),
+    ("PAINT", "Housing"), ("WATER", "Housing"), ("LIGHT", "Infrastructure"), ("STREET", "Infrastructure"),
+    ("SEWER", "Infrastructure"), ("TREE", "Environment"), ("LITTER", "Environment"), ("DIRTY", "Environment"),
+]
+
+
 def _like_case(text: str, rules: list[tuple[str, str]]) -> str:
     return "CASE " + " ".join(f"WHEN {text} LIKE '%{k}%' THEN '{v}'" for k, v in rules) + " ELSE 'Other' END"
 
@@ -325,8 +389,8 @@ def _like_case(text: str, rules: list[tuple[str, str]]) -> str:
 @query(
     "text_categories",
     "doc_id:i category:s legacy_category:s",
-    f"SELECT doc_id, {_like_case('upper(text)', FR.CATEGORY_RULES)} AS category,"
-    f" {_like_case('upper(text)', FR.LEGACY_CATEGORY_RULES)} AS legacy_category FROM documents",
+    f"SELECT doc_id, {_like_case('upper(text)', TWIN_RULES)} AS category,"
+    f" {_like_case('upper(text)', TWIN_OLDER_RULES)} AS legacy_category FROM documents",
 )
 def text_categories(spark, sf):
     return A.read_tables(spark, sf, "documents")[0].select(
@@ -520,9 +584,8 @@ def load_errors(spark, sf):
     O.over("untidy", "SELECT coalesce(error_type, 'LOADED') AS outcome, count(*) AS row_count FROM judged GROUP BY 1"),
 )
 def stage_row_counts(spark, sf):
-    wh = warehouse(spark, sf, "untidy")
-    nothing = wh.fact.limit(0)
-    return FA.stage_counts(FA.resolve(wh.staging, wh.dims(*T.DIMENSIONS[1:]), nothing, wh.settings))
+    wh = unloaded(spark, sf, "untidy")
+    return FA.stage_counts(FA.resolve(wh.staging, wh.dims(*T.DIMENSIONS[1:]), wh.fact_keys, wh.settings))
 
 
 @query(
@@ -536,20 +599,25 @@ def stage_row_counts(spark, sf):
 )
 def reload_rejects_loaded_keys(spark, sf):
     wh = warehouse(spark, sf, "untidy")
-    return FA.stage_counts(FA.resolve(wh.staging, wh.dims(*T.DIMENSIONS[1:]), wh.fact, wh.settings))
+    return FA.stage_counts(FA.resolve(wh.staging, wh.dims(*T.DIMENSIONS[1:]), wh.fact_keys, wh.settings))
 
 
 @query(
     "load_error_summary",
-    "step_name:s error_type:s error_count:i",
+    "step_name:s error_type:s error_count:i example_message:s",
     O.over(
         "untidy",
-        "SELECT 'fact_service_requests' AS step_name, error_type, count(*) AS error_count FROM judged"
-        " WHERE error_type IS NOT NULL GROUP BY 2"
-        " UNION ALL SELECT 'dim_location', error_type, count(*) FROM judged_locations WHERE error_type IS NOT NULL GROUP BY 2"
-        " UNION ALL SELECT 'dim_agency', 'NULL_AGENCY_CODE', least(count(*), 1000) FROM raw"
+        "SELECT 'fact_service_requests' AS step_name, error_type, count(*) AS error_count, min(error_message) AS example_message"
+        f" FROM (SELECT error_type, {_MESSAGE} FROM judged WHERE error_type IS NOT NULL) GROUP BY 2"
+        " UNION ALL SELECT 'dim_location', error_type, count(*), min('borough=' || coalesce(borough, 'NULL') || ' zip=' ||"
+        " coalesce(zip_code, 'NULL') || ' board=' || coalesce(community_board, 'NULL') || ' avg_lat=' ||"
+        " coalesce(CAST(latitude AS VARCHAR), 'NULL') || ' avg_long=' || coalesce(CAST(longitude AS VARCHAR), 'NULL'))"
+        " FROM judged_locations WHERE error_type IS NOT NULL GROUP BY 2"
+        " UNION ALL SELECT 'dim_agency', 'NULL_AGENCY_CODE', count(*),"
+        " 'Agency code is NULL or blank — cannot load to dim_agency' FROM raw"
         " WHERE coalesce(trim(agency), '') = '' HAVING count(*) > 0"
-        " UNION ALL SELECT 'dim_complaint_type', 'NULL_COMPLAINT_TYPE', least(count(*), 1000) FROM raw"
+        " UNION ALL SELECT 'dim_complaint_type', 'NULL_COMPLAINT_TYPE', count(*),"
+        " 'complaint_type is NULL or blank — cannot load to dim_complaint_type' FROM raw"
         " WHERE coalesce(trim(complaint_type), '') = '' HAVING count(*) > 0",
     ),
 )
@@ -588,7 +656,8 @@ legacy_location AS (
 ),
 legacy_fact AS (
   SELECT CAST(strftime(p.created, '%Y%m%d') AS INTEGER) AS date_key, trim(coalesce(p.status, 'Unknown')) AS status,
-    p.closed AS closed_date
+    p.closed AS closed_date, row_number() OVER (PARTITION BY upper(trim(p.unique_key))
+      ORDER BY p.created DESC, p.closed DESC NULLS LAST, trim(coalesce(p.status, 'Unknown')) DESC) AS place
   FROM parsed p
   JOIN dim_agency a ON upper(trim(p.agency)) = a.agency_code
   JOIN legacy_location l ON upper(trim(p.borough)) = l.borough
@@ -608,18 +677,18 @@ legacy_fact AS (
     "date_key:i status:s n_rows:i n_closed:i",
     O.over(
         "untidy",
-        "SELECT date_key, status, count(*) AS n_rows, count(closed_date) AS n_closed FROM legacy_fact GROUP BY 1, 2",
+        "SELECT date_key, status, count(*) AS n_rows, count(closed_date) AS n_closed FROM legacy_fact WHERE place = 1 GROUP BY 1, 2",
         _LEGACY,
     ),
 )
 def loose_load(spark, sf):
-    wh = warehouse(spark, sf, "untidy")
-    places = FA.staged_legacy_locations(wh.staging)
-    dims = wh.dims("dim_agency", "dim_complaint_type") | {
-        "dim_location": places.withColumn("location_key", F.xxhash64(*places.columns))
-    }
-    rows = FA.loose_fact_rows(wh.staging, dims, wh.fact.limit(0))
-    return rows.groupBy("date_key", "status").agg(
+    """The older load as a whole, in a warehouse of its own; a second run adds nothing."""
+    wh = W.create_warehouse(spark, fresh_path(spark, "warehouse-older"), A.order_settings())
+    T.load_staging(A.untidy_requests(spark, sf), wh.root, BATCH)
+    for number, name in enumerate(W.STEPS[:-1]):
+        W.LOADERS[name](wh, number, BATCH)
+    W.load_fact(wh, 5, BATCH, strict=False)
+    return wh.fact.groupBy("date_key", "status").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("closed_date").alias("n_closed")
     )
 
@@ -649,12 +718,12 @@ def dimension_matches(spark, sf):
 @query(
     "known_and_new_customers",
     "c_mktsegment:s known:i n_customers:i",
-    "SELECT c_mktsegment, CAST(c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000) AS INTEGER) AS known,"
+    "SELECT c_mktsegment, CAST(c_custkey IN (SELECT o_custkey FROM orders) AS INTEGER) AS known,"
     " count(*) AS n_customers FROM customer GROUP BY 1, 2",
 )
 def known_and_new_customers(spark, sf):
     customer, orders = A.read_tables(spark, sf, "customer", "orders")
-    big = orders.filter(c("o_totalprice") > 450000).select(c("o_custkey").alias("c_custkey"))
+    big = orders.select(c("o_custkey").alias("c_custkey"))
 
     def counted(rows: DataFrame, known: int) -> DataFrame:
         return rows.groupBy("c_mktsegment", F.lit(known).alias("known")).agg(F.count(F.lit(1)).alias("n_customers"))
@@ -875,7 +944,7 @@ def newest_requests(spark, sf):
 @query(
     "repeated_request_keys",
     "unique_key:s n_rows:i",
-    O.over("untidy", "SELECT unique_key, count(*) AS n_rows FROM raw GROUP BY 1 HAVING count(*) > 1"),
+    O.over("untidy", "SELECT upper(trim(unique_key)) AS unique_key, count(*) AS n_rows FROM raw GROUP BY 1 HAVING count(*) > 1"),
 )
 def repeated_request_keys(spark, sf):
     return V.repeated_members(untidy(spark, sf), ["unique_key"])
@@ -892,7 +961,7 @@ def repeated_request_keys(spark, sf):
         " count(*) - count(DISTINCT (complaint_type, descriptor)) FROM dim_complaint_type"
         " UNION ALL SELECT 'dim_location(borough, zip_code, community_board)',"
         " count(*) - count(DISTINCT (borough, zip_code, community_board)) FROM dim_location"
-        " UNION ALL SELECT 'fact_service_requests(unique_key)', count(*) - count(DISTINCT unique_key) FROM fact",
+        " UNION ALL SELECT 'fact_service_requests(unique_key)', count(*) - count(DISTINCT upper(trim(unique_key))) FROM fact",
     ),
 )
 def unique_members(spark, sf):
@@ -961,6 +1030,16 @@ def missing_values(spark, sf):
     return V.count_violations(untidy(spark, sf), V.not_null_rules(names))
 
 
+TWIN_REQUIRED = {
+    "dim_date": "date_key full_date year quarter quarter_name month month_name month_short week_of_year day_of_month"
+    " day_of_week day_name is_weekend is_holiday",
+    "dim_agency": "agency_key agency_code agency_name sla_days is_active", "dim_location": "location_key borough",
+    "dim_complaint_type": "complaint_key complaint_type category",
+    "fact_service_requests": "request_key unique_key date_key agency_key location_key complaint_key created_date status"
+    " dw_created_date",
+}
+
+
 @query(
     "required_values",
     "check_name:s violations:i",
@@ -969,8 +1048,8 @@ def missing_values(spark, sf):
         " UNION ALL ".join(
             f"SELECT '{t}.{n}_is_null' AS check_name, count(*) FILTER ({source} IS NULL) AS violations"
             f" FROM {'fact' if t == T.FACT else t}"
-            for t, names in V.REQUIRED.items()
-            for n in names
+            for t, names in TWIN_REQUIRED.items()
+            for n in names.split()
             for source in ["unique_key" if n in ("request_key", "dw_created_date") else n]
         ),
     ),
@@ -1559,6 +1638,100 @@ def open_case_cards(spark, sf):
     return R.open_cards(mart(spark, sf, "untidy"))
 
 
+# ---- several writes into one warehouse ---------------------------------------------------------
+
+_WRITES = "writes:s year:i n_rows:i n_keys:i n_rejected:i n_pending:i"
+_ONCE = "SELECT '{}' AS writes, year, count(*) AS n_rows, count(DISTINCT unique_key) AS n_keys, {} AS n_rejected, 0 AS n_pending FROM fact GROUP BY 2"
+
+
+def halves(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """The clean requests in two parts by their key."""
+    rows = A.clean_requests(spark, sf)
+    return [rows.filter(c("unique_key").cast("bigint") % 2 == n) for n in (0, 1)]
+
+
+def new_warehouse(spark: SparkSession, name: str) -> W.Warehouse:
+    return W.create_warehouse(spark, fresh_path(spark, f"warehouse-{name}"), A.order_settings())
+
+
+def written(wh: W.Warehouse, name: str) -> DataFrame:
+    """What is in the fact, what was rejected by reason, and what is left unread."""
+    rejected = wh.table("etl_errors").filter(c("step_name") == T.FACT).groupBy("error_type").count()
+    per_year = wh.fact.groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("unique_key").alias("n_keys"))
+    lost = {r[0]: r[1] for r in rejected.collect()}  # one row per reason
+    assert set(lost) <= {"DUPLICATE_IN_BATCH"}
+    return per_year.withColumns({
+        "writes": F.lit(name), "n_rejected": F.lit(sum(lost.values())), "n_pending": F.lit(wh.pending.count()),
+    })
+
+
+@query("refreshed_twice", _WRITES, O.over("clean", _ONCE.format("refreshed", 0)))
+def refreshed_twice(spark, sf):
+    """Two refreshes of staging under one batch number, each loaded."""
+    wh = new_warehouse(spark, "refreshed")
+    for part in halves(spark, sf):
+        T.load_staging(part, wh.root, BATCH)
+        W.run_all(wh, BATCH)
+    return written(wh, "refreshed")
+
+
+@query("appended_twice", _WRITES, O.over("clean", _ONCE.format("appended", 0)))
+def appended_twice(spark, sf):
+    """Two writes to staging under one batch number, then one load."""
+    wh = new_warehouse(spark, "appended")
+    for part in halves(spark, sf):
+        T.load_staging(part, wh.root, BATCH, refresh=False)
+    W.run_all(wh, BATCH)
+    return written(wh, "appended")
+
+
+@query("pending_batches_share_keys", _WRITES, O.over("clean", _ONCE.format("shared", "(SELECT count(*) FROM fact)")))
+def pending_batches_share_keys(spark, sf):
+    """Two pending batches that both hold every key."""
+    wh = new_warehouse(spark, "shared")
+    for batch in (BATCH, BATCH + 1):
+        T.load_staging(A.clean_requests(spark, sf), wh.root, batch, refresh=False)
+    W.run_all(wh, BATCH + 1)
+    return written(wh, "shared")
+
+
+@query("two_streams", _WRITES, O.over("clean", _ONCE.format("two streams", 0)))
+def two_streams(spark, sf):
+    """Two streams with progress of their own into one warehouse."""
+    wh = new_warehouse(spark, "streams")
+    for part in halves(spark, sf):
+        inbox = fresh_path(spark, "inbox")
+        _write_files(part, f"{inbox}/a")
+        I.load_stream(wh, inbox, fresh_path(spark, "progress")).awaitTermination()
+    return written(wh, "two streams")
+
+
+@query("ingested_then_loaded", _WRITES, O.over("clean", _ONCE.format("ingested", "(SELECT count(*) FROM fact WHERE year = 1997)")))
+def ingested_then_loaded(spark, sf):
+    """Files landed in several micro-batches, the second repeating a year, then one load."""
+    wh = new_warehouse(spark, "ingested")
+    inbox, progress = fresh_path(spark, "inbox"), fresh_path(spark, "progress")
+    rows = A.clean_requests(spark, sf)
+    for name, part in {"a": rows.filter(c("created_date") < "1998"), "b": rows.filter(c("created_date") >= "1997")}.items():
+        _write_files(part, f"{inbox}/{name}")
+        I.ingest_stream(wh, inbox, progress).awaitTermination()
+    W.run_all(wh, BATCH)
+    return written(wh, "ingested")
+
+
+@query(
+    "cleared_warehouse",
+    "table_name:s total_rows:i",
+    "SELECT unnest(['dim_date', 'dim_agency', 'dim_location', 'dim_complaint_type', 'fact_service_requests']) AS table_name, 0 AS total_rows",
+)
+def cleared_warehouse(spark, sf):
+    """Clearing a loaded warehouse; what was staged can be loaded again."""
+    wh = new_warehouse(spark, "cleared")
+    T.load_staging(halves(spark, sf)[0], wh.root, BATCH)
+    W.run_all(wh, BATCH)
+    return T.reset_warehouse(spark, wh.root, reset_flag=True)
+
+
 # ---- files that arrive over time --------------------------------------------------------------
 
 

@@ -8,27 +8,17 @@ from pyspark.sql import functions as F
 from civicmart.functions.dates import calendar_columns, parse_coord
 from civicmart.functions.rules import DEPARTMENT, Settings, agency_name, categorise, in_bbox, sla_days
 from civicmart.functions.text import blank_key, blank_norm_key, error_text, is_blank, norm_key
+from civicmart.operators.joins import only_new
 from civicmart.operators.sets import date_spine, distinct_by
 from civicmart.session import cut
 
-# Fixed value: how many rejected rows a dimension step logs.
-ERROR_CAP = 1000
-# Above this many new members, keys are dealt out by range partition and not by one task.
-ONE_TASK_MEMBERS = 1_000_000
 
-
-def assign_keys(
-    df: DataFrame, key: str, order: list[str], start: int, at_most: int, one_task: int = ONE_TASK_MEMBERS
-) -> DataFrame:
+def assign_keys(df: DataFrame, key: str, order: list[str], start: int) -> DataFrame:
     """Consecutive numbers after `start`, in the order of the business key.
 
-    A set of a counted size (`at_most` rows) is numbered in one task while that is small. A
-    larger one is range-partitioned on the business key and stored; a row's number is then its
-    place in its own partition plus the rows of the partitions before it.
+    The set is range-partitioned on the business key and stored; a row's number is its place in
+    its own partition plus the rows of the partitions before it.
     """
-    if at_most <= one_task:
-        numbered = df.withColumn("_row", F.row_number().over(Window.orderBy(*order)))
-        return numbered.select((F.col("_row") + F.lit(start)).cast("int").alias(key), *df.columns)
     ranged = cut(
         df.repartitionByRange(*[F.col(c) for c in order]).withColumn("_part", F.spark_partition_id()), "members"
     )
@@ -52,7 +42,7 @@ def build_dim_date(spark: SparkSession, settings: Settings, existing: DataFrame)
     """Calendar days that are not stored yet."""
     days = date_spine(spark, settings.first_day, settings.last_day)
     calendar = days.select(*calendar_columns(F.col("full_date")))
-    return calendar.join(existing.select("date_key"), "date_key", "left_anti")
+    return only_new(calendar, existing, ["date_key"])
 
 
 def staged_agencies(staged: DataFrame) -> DataFrame:
@@ -65,7 +55,7 @@ def staged_agencies(staged: DataFrame) -> DataFrame:
 
 def new_agencies(agencies: DataFrame, settings: Settings, existing: DataFrame) -> DataFrame:
     code = F.col("agency_code")
-    fresh = agencies.join(existing.select("agency_code"), "agency_code", "left_anti")
+    fresh = only_new(agencies, existing, ["agency_code"])
     return fresh.select(
         code,
         agency_name(code, F.col("raw_name"), settings.agency_names).alias("agency_name"),
@@ -95,19 +85,28 @@ def staged_locations(staged: DataFrame, settings: Settings) -> DataFrame:
         lat, lon = F.nullif(lat, F.lit(0).cast("decimal(9,6)")), F.nullif(lon, F.lit(0).cast("decimal(9,6)"))
     borough = norm_key(F.col("borough"))
     rows = staged.filter(F.col("borough").isNotNull() & ~borough.isin("UNSPECIFIED", ""))
-    grouped = rows.groupBy(
+    # First one row per spelling, by hash; the least spelling is then taken of that small frame.
+    spelled = rows.groupBy(
         borough.alias("borough"),
-        blank_norm_key(F.col("community_board")).alias("_board"),
-        blank_norm_key(F.col("incident_zip")).alias("_zip"),
+        blank_key(F.col("community_board")).alias("community_board"),
+        blank_key(F.col("incident_zip")).alias("zip_code"),
+    ).agg(F.sum(lat).alias("_lat"), F.count(lat).alias("_n_lat"), F.sum(lon).alias("_lon"), F.count(lon).alias("_n_lon"))
+    mean = lambda total, n: _mean(F.sum(total), F.sum(n))
+    grouped = spelled.groupBy(
+        "borough", blank_norm_key(F.col("community_board")).alias("_board"), blank_norm_key(F.col("zip_code")).alias("_zip")
     ).agg(
-        F.min(blank_key(F.col("community_board"))).alias("community_board"),
-        F.min(blank_key(F.col("incident_zip"))).alias("zip_code"),
-        F.avg(lat).cast("decimal(9,6)").alias("latitude"),
-        F.avg(lon).cast("decimal(9,6)").alias("longitude"),
+        F.min("community_board").alias("community_board"), F.min("zip_code").alias("zip_code"),
+        mean("_lat", "_n_lat").alias("latitude"), mean("_lon", "_n_lon").alias("longitude"),
     )
     return grouped.drop("_board", "_zip")
 
 
+def _mean(total: Column, n: Column) -> Column:
+    """A mean of six-place decimals, in the two roundings of an average: ten places, then six."""
+    exact = total.cast("decimal(27,6)") / F.nullif(n, F.lit(0)).cast("decimal(15,0)")
+    return F.round(exact, 10).cast("decimal(20,10)").cast("decimal(9,6)")
+
+
 def location_error(settings: Settings) -> Column:
     """NULL for a usable mean position, else the reject reason."""
     lat, lon = F.col("latitude"), F.col("longitude")
@@ -142,7 +141,7 @@ def staged_complaints(staged: DataFrame) -> DataFrame:
 
 def new_complaints(complaints: DataFrame, settings: Settings, existing: DataFrame) -> DataFrame:
     stored = existing.select("complaint_type", blank_norm_key(F.col("descriptor")).alias("_descriptor"))
-    fresh = complaints.join(stored, ["complaint_type", "_descriptor"], "left_anti")
+    fresh = only_new(complaints, stored, ["complaint_type", "_descriptor"])
     return fresh.select(
         "complaint_type",
         "descriptor",
@@ -195,16 +194,8 @@ def location_rejects(locations: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def cap_errors(rejects: DataFrame, cap: int = ERROR_CAP) -> DataFrame:
-    """The first rows of the error log of one step, in a fixed order.
-
-    The cap is the log's own feature; the step still counts every rejected row.
-    """
-    return rejects.orderBy([F.col(c).asc_nulls_first() for c in rejects.columns]).limit(cap)
-
-
 def dim_rejects(staged: DataFrame, settings: Settings) -> DataFrame:
-    """Count of rejected rows (or areas) per dimension error type, uncapped."""
+    """Count of rejected rows (or areas) per dimension error type."""
     found = (
         agency_rejects(staged).select("error_type")
         .unionByName(location_rejects(staged_locations(staged, settings), settings).select("error_type"))

@@ -19,17 +19,21 @@ CHECK_ORDER = [
     "NO_DIM_COMPLAINT_MATCH", "DUPLICATE_UNIQUE_KEY", "DUPLICATE_IN_BATCH",
 ]
 STAGED_COLUMNS = [
-    "stg_row_id", "unique_key", "created_date", "closed_date", "agency", "borough", "incident_zip",
+    "load_id", "stg_row_id", "unique_key", "created_date", "closed_date", "agency", "borough", "incident_zip",
     "complaint_type", "descriptor", "latitude", "longitude", "status", "city", "community_board",
 ]
 # Of two rows with one key, the later created one stays; these settle ties, greatest value first.
 KEEP_ORDER = [
     "created", "closed", "raw_status", "raw_agency", "raw_borough", "raw_zip", "raw_complaint",
-    "raw_descriptor", "raw_latitude", "raw_longitude", "raw_board", "stg_row_id",
+    "raw_descriptor", "raw_latitude", "raw_longitude", "raw_board", "load_id", "stg_row_id",
 ]
-# A key holding more than this share of a batch is resolved apart, so there are fewer than
-# HOT_SHARE such keys in any batch.
-HOT_SHARE = 1000
+# The fact's keys are stored in this many buckets of their hash.
+BUCKETS = 64
+# Messages of the two checks of repeats.
+REPEAT_MESSAGES = {
+    "DUPLICATE_UNIQUE_KEY": "unique_key already exists in fact_service_requests — skipped",
+    "DUPLICATE_IN_BATCH": "unique_key occurs again in this batch — another row was kept",
+}
 
 
 def parsed(staged: DataFrame) -> DataFrame:
@@ -130,7 +134,7 @@ def tag_rows(staged: DataFrame, dims: dict[str, DataFrame], settings: Settings)
     tagged = matched.withColumn("error_type", reason).withColumn("error_message", message)
     mapped = F.col("error_type").isin(CHECK_ORDER[6:9])
     return tagged.select(
-        "stg_row_id", "unique_key", "created", "closed", "date_key",
+        "load_id", "stg_row_id", "unique_key", "created", "closed", "date_key",
         "agency_key", "location_key", "complaint_key",
         F.col("norm_status").alias("status"),
         F.col("agency").alias("raw_agency"),
@@ -148,94 +152,70 @@ def tag_rows(staged: DataFrame, dims: dict[str, DataFrame], settings: Settings)
     )
 
 
-def key_counts(candidates: DataFrame) -> DataFrame:
-    """Rows per key. Each task first counts its own rows, so a crowded key costs one row per task."""
-    return candidates.groupBy(norm_key(F.col("unique_key")).alias("dedup_key")).agg(
-        F.count(F.lit(1)).alias("copies")
-    )
+def key_bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
 
-def repeated_keys(counts: DataFrame, fact: DataFrame, n_rows: int) -> DataFrame:
-    """Keys that need a decision: in the fact already, or more than once in the batch.
+def key_counts(keyed: DataFrame) -> DataFrame:
+    """Rows per key. Each task first counts its own rows, so a crowded key costs one row per task."""
+    counts = keyed.groupBy("dedup_key").agg(F.count(F.lit(1)).alias("copies"))
+    return counts.withColumn("bucket", key_bucket(F.col("dedup_key")))
 
-    `counts` is a stored frame of one row per key. The fact's keys are first reduced to those of
-    the batch: for a batch that is small enough to broadcast, the fact is scanned but not
-    shuffled.
-    """
-    stored = fact.select(norm_key(F.col("unique_key")).alias("dedup_key"))
-    known = stored.join(counts.select("dedup_key"), "dedup_key", "left_semi").withColumn("_loaded", F.lit(True))
-    is_loaded = F.col("_loaded").isNotNull()
-    flagged = counts.join(known, "dedup_key", "left").filter(is_loaded | (F.col("copies") > 1))
-    return flagged.select(
-        "dedup_key", is_loaded.alias("is_loaded"), (F.col("copies") * HOT_SHARE > n_rows).alias("is_hot")
-    )
 
+def known_keys(counts: DataFrame, keys: DataFrame) -> DataFrame:
+    """Keys of the batch that the fact has. Of the stored keys only the buckets of the batch are read."""
+    buckets = [r[0] for r in counts.select("bucket").distinct().collect()]  # at most BUCKETS
+    near = keys.filter(F.col("bucket").isin(buckets)).select("dedup_key")
+    return near.join(counts.select("dedup_key"), "dedup_key", "left_semi").distinct()
 
-def meet_repeated(candidates: DataFrame, repeated: DataFrame, how: str) -> DataFrame:
-    """Candidates joined with a stored frame of repeated keys ('left' or 'inner').
 
-    The crowded keys are fewer than HOT_SHARE by construction and meet the rows by broadcast,
-    so those rows are never shuffled; all other rows join normally.
-    """
-    keyed = candidates.withColumn("dedup_key", norm_key(F.col("unique_key")))
-    hot, rest = repeated.filter("is_hot").drop("is_hot"), repeated.filter("not is_hot").drop("is_hot")
-    if hot.isEmpty():
-        return keyed.join(rest, "dedup_key", how)
-    few = F.broadcast(hot)
-    crowded = keyed.join(few, "dedup_key", "inner")
-    others = keyed.join(few.select("dedup_key"), "dedup_key", "left_anti")
-    return crowded.unionByName(others.join(rest, "dedup_key", how))
+def repeated_keys(counts: DataFrame, keys: DataFrame) -> DataFrame:
+    """Keys that need a decision: in the fact already, or more than once in the batch."""
+    known = known_keys(counts, keys).withColumn("_loaded", F.lit(True))
+    is_loaded = F.col("_loaded").isNotNull()
+    flagged = counts.join(known, "dedup_key", "left").filter(is_loaded | (F.col("copies") > 1))
+    return flagged.select("dedup_key", is_loaded.alias("is_loaded"))
 
 
-def kept_rows(candidates: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Repeated keys with the row that stays: `keep_row`, NULL for a key the fact has.
+def verdicts(met: DataFrame) -> DataFrame:
+    """The rows that must go, by their identity, with the reason.
 
-    The full rows are compared only for keys that do repeat, again with one row per task and key
-    in the shuffle.
+    `met` holds only rows of repeated keys, and of them only what the decision needs. A key the fact
+    has loses all its rows, any other key keeps the greatest.
     """
-    fresh = repeated.filter("not is_loaded")
-    winners = (
-        meet_repeated(candidates, fresh, "inner")
-        .groupBy("dedup_key")
-        .agg(F.max(F.struct(*KEEP_ORDER)).getField("stg_row_id").alias("keep_row"))
-    )
-    return repeated.join(winners, "dedup_key", "left")
+    fresh = met.filter(~F.col("is_loaded"))
+    winners = fresh.groupBy("dedup_key").agg(F.max(F.struct(*KEEP_ORDER)).alias("w"))
+    winners = winners.select("dedup_key", F.col("w.load_id").alias("_load"), F.col("w.stg_row_id").alias("_row"))
+    kept = (F.col("load_id") == F.col("_load")) & (F.col("stg_row_id") == F.col("_row"))
+    beaten = fresh.join(winners, "dedup_key").filter(~kept)
+    mark = lambda rows, reason: rows.select("load_id", "stg_row_id", F.lit(reason).alias("mark"))
+    return mark(met.filter("is_loaded"), "DUPLICATE_UNIQUE_KEY").unionByName(mark(beaten, "DUPLICATE_IN_BATCH"))
 
 
-def drop_repeats(candidates: DataFrame, kept: DataFrame) -> DataFrame:
-    """Candidates with DUPLICATE_UNIQUE_KEY or DUPLICATE_IN_BATCH on the rows that must go."""
-    loaded = F.coalesce(F.col("is_loaded"), F.lit(False))
-    beaten = F.col("keep_row").isNotNull() & (F.col("keep_row") != F.col("stg_row_id"))
-    reason = F.when(loaded, CHECK_ORDER[9]).when(beaten, CHECK_ORDER[10])
-    message = F.when(loaded, "unique_key already exists in fact_service_requests — skipped").when(
-        beaten, "unique_key occurs again in this batch — another row was kept"
-    )
-    # The log shows the mapped status for rows that reached this check.
-    return (
-        meet_repeated(candidates, kept, "left")
-        .withColumns(
-            {
-                "error_type": reason,
-                "error_message": message,
-                "raw_status": F.when(reason.isNotNull(), F.col("status")).otherwise(F.col("raw_status")),
-            }
-        )
-        .drop("dedup_key", "keep_row", "is_loaded")
-    )
-
-
-def resolve(staged: DataFrame, dims: dict[str, DataFrame], fact: DataFrame, settings: Settings) -> DataFrame:
+def resolve(staged: DataFrame, dims: dict[str, DataFrame], keys: DataFrame, settings: Settings) -> DataFrame:
     """All staged rows, each with its final verdict in `error_type` (NULL: goes to the fact).
 
-    The checked rows and the repeated keys are stored once, since both the fact and the error
-    log are made from them, and the fact read here must be the one before the load.
+    `keys` are the fact's keys with their buckets, from before the load. Decisions are made on narrow rows of the
+    repeated keys and come back to the full rows by row identity, which no two rows share. The
+    result is stored once, since both the fact and the error log are made from it.
     """
     checked = cut(tag_rows(staged, dims, settings), "checked")
-    candidates, failed = split_by_tag(checked)
-    counts = cut(key_counts(candidates), "counts")
-    repeated = cut(repeated_keys(counts, fact, checked.count()), "repeated")
-    kept = cut(kept_rows(candidates, repeated), "kept")
-    return drop_repeats(candidates, kept).unionByName(failed)
+    candidates, _ = split_by_tag(checked)
+    keyed = candidates.select(norm_key(F.col("unique_key")).alias("dedup_key"), *KEEP_ORDER)
+    counts = cut(key_counts(keyed), "counts")
+    repeated = cut(repeated_keys(counts, keys), "repeated")
+    marks = cut(verdicts(keyed.join(repeated, "dedup_key")), "marks")
+    mark = F.col("mark")
+    message = F.coalesce(*[F.when(mark == reason, F.lit(text)) for reason, text in REPEAT_MESSAGES.items()])
+    # The log shows the mapped status for rows that reached the check of repeats.
+    judged = checked.join(marks, ["load_id", "stg_row_id"], "left").withColumns(
+        {
+            "error_type": F.coalesce(F.col("error_type"), mark),
+            "error_message": F.coalesce(F.col("error_message"), message),
+            "raw_status": F.when(mark.isNotNull(), F.col("status")).otherwise(F.col("raw_status")),
+        }
+    )
+    return cut(judged.drop("mark"), "judged")
 
 
 def fact_rows(accepted: DataFrame, batch_id: int) -> DataFrame:
@@ -280,11 +260,12 @@ def stage_counts(resolved: DataFrame) -> DataFrame:
     return resolved.groupBy(tag.alias("outcome")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def loose_fact_rows(staged: DataFrame, dims: dict[str, DataFrame], fact: DataFrame) -> DataFrame:
-    """The older one-pass load: inner joins by coordinates, guards, no error log.
+def loose_fact_rows(staged: DataFrame, dims: dict[str, DataFrame], keys: DataFrame) -> DataFrame:
+    """The older one-pass load: inner joins by coordinates, guards, no error log, one row per key.
 
-    Rows that miss a guard or a dimension are left out without a reason, the status is only
-    trimmed with 'Unknown' for a missing one, and copies inside the batch are kept.
+    Rows that miss a guard or a dimension are left out without a reason, and so are keys the fact
+    has. The status is only trimmed, with 'Unknown' for a missing one. Of copies of a key the latest
+    created stays, whatever number of positions it matches.
     """
     day = F.datediff(F.to_date(parse_ts(F.col("closed_date"))), F.to_date(parse_ts(F.col("created_date"))))
     guarded = staged.filter(
@@ -313,6 +294,8 @@ def loose_fact_rows(staged: DataFrame, dims: dict[str, DataFrame], fact: DataFra
     )
     created = parse_ts(F.col("created_date"))
     rows = matched.select(
+        norm_key(F.col("unique_key")).alias("dedup_key"),
+        "load_id", "stg_row_id",
         F.col("unique_key"),
         date_key(created).alias("date_key"),
         "agency_key", "location_key", "complaint_key",
@@ -320,7 +303,25 @@ def loose_fact_rows(staged: DataFrame, dims: dict[str, DataFrame], fact: DataFra
         parse_ts(F.col("closed_date")).alias("closed_date"),
         F.trim(F.coalesce(F.col("status"), F.lit("Unknown"))).alias("status"),
     )
-    return rows.join(fact.select("unique_key"), "unique_key", "left_anti")
+    fresh = cut(rows.join(keys.select("dedup_key"), "dedup_key", "left_anti"), "loose")
+    order = ["created_date", "closed_date", "status", "load_id", "stg_row_id"]
+    place = (-F.col("location_key")).alias("_place")
+    columns = [c for c in fresh.columns if c not in ("dedup_key", "load_id", "stg_row_id")]
+    best = fresh.groupBy("dedup_key").agg(F.max(F.struct(*order, place, F.struct(*columns).alias("row"))).alias("b"))
+    return best.select("b.row.*")
+
+
+LEGACY_PLACE = ["borough", "community_board", "zip_code", "city", "latitude", "longitude"]
+
+
+def new_legacy_locations(staged: DataFrame, existing: DataFrame) -> DataFrame:
+    """Places of staged rows that the older load's own location table does not have."""
+    fresh = staged_legacy_locations(staged)
+    known = existing.select(*[F.col(c).alias(f"_{c}") for c in LEGACY_PLACE])
+    same = F.lit(True)
+    for c in LEGACY_PLACE:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return fresh.join(known, same, "left_anti")
 
 
 def staged_legacy_locations(staged: DataFrame) -> DataFrame:

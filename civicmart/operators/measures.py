@@ -9,6 +9,7 @@ that small frame.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -238,22 +239,45 @@ def same_period_last_year(ctx: DataFrame, by: list[str], calendar: DataFrame) ->
     return _in_calendar(first.unionByName(ends).distinct(), calendar)
 
 
-def dates_to_date(ctx: DataFrame, by: list[str], calendar: DataFrame, unit: str) -> DataFrame:
-    """Days from the start of the last day's month or year up to that day."""
-    last = ctx.groupBy(*by).agg(F.max("day").alias("_last"))
-    span = F.sequence(F.trunc("_last", unit).cast("date"), F.col("_last"))
-    return _in_calendar(last.select(*by, F.explode(span).alias("day")), calendar)
+def last_days(ctx: DataFrame, by: list[str]) -> DataFrame:
+    """The last day of each context."""
+    return ctx.groupBy(*by).agg(F.max("day").alias("day"))
 
 
-PERIODS: dict[str, Callable[[DataFrame, list[str], DataFrame], DataFrame]] = {
-    "": lambda ctx, by, cal: ctx,
-    "_ly": same_period_last_year,
-    "_mtd": lambda ctx, by, cal: dates_to_date(ctx, by, cal, "month"),
-    "_ytd": lambda ctx, by, cal: dates_to_date(ctx, by, cal, "year"),
-    "_mtd_ly": lambda ctx, by, cal: dates_to_date(same_period_last_year(ctx, by, cal), by, cal, "month"),
+# Period -> (the days of its contexts, what is read at those days: the day itself or the running month or year).
+PERIODS: dict[str, tuple[Callable[[DataFrame, list[str], DataFrame], DataFrame], str]] = {
+    "": (lambda ctx, by, cal: ctx, "day"),
+    "_ly": (same_period_last_year, "day"),
+    "_mtd": (lambda ctx, by, cal: last_days(ctx, by), "month"),
+    "_ytd": (lambda ctx, by, cal: last_days(ctx, by), "year"),
+    "_mtd_ly": (lambda ctx, by, cal: last_days(same_period_last_year(ctx, by, cal), by), "month"),
 }
 
 
+def values_at_days(daily: DataFrame, parts: list[str], by: list[str], calendar: DataFrame, units: list[str]) -> DataFrame:
+    """Parts per group, day and `_unit`: those of the day itself, or running from the start of its month or year.
+
+    Each group and period is summed once in the order of its days, and a day without requests
+    shows the one before it: as many rows as days, however long the period.
+    """
+    def of(unit: str) -> Column:
+        if unit == "day":
+            until, shown = F.col("day"), [part(p) for p in parts]
+        else:
+            start = F.trunc("day", unit)
+            days = Window.partitionBy(*by, start).orderBy("day")
+            so_far = days.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            shown = [_again(PARTS[p].kind, part(p)).over(so_far) for p in parts]
+            end = F.date_sub(F.add_months(start, {"month": 1, "year": 12}[unit]), 1)
+            until = F.coalesce(F.date_sub(F.lead("day").over(days), 1), end)
+        return F.struct(F.lit(unit).alias("_unit"), until.alias("_until"), *[c.alias(f"_{p}") for c, p in zip(shown, parts, strict=True)])
+
+    each = _in_calendar(daily, calendar).select(*by, "day", *[of(u).alias(f"_{u}") for u in units])
+    spread = each.select(*by, "day", F.explode(F.array(*[f"_{u}" for u in units])).alias("v"))
+    every = F.explode(F.sequence("day", "v._until")).alias("day")
+    return spread.select(*by, "v._unit", *[f"v._{p}" for p in parts], every)
+
+
 def daily_parts(rows: DataFrame, parts: list[str], by: list[str], where: dict[str, object]) -> DataFrame:
     """Parts per group and creation day: the one pass over the requests."""
     dated = rows.withColumn("_day", F.to_date("created_date"))
@@ -272,9 +296,10 @@ def period_measures(
     """Measures over periods, one row per calendar context and group.
 
     `wanted` maps a period ('', '_ly', '_mtd', '_ytd', '_mtd_ly') to measures; the output
-    columns carry the period as suffix. The requests are reduced once to groups and days; the
-    days of all periods meet that frame in one join and one aggregate. As in a report, a context
-    shows when any of its periods has requests.
+    columns carry the period as suffix. The requests are reduced once to groups and days, and
+    that frame to running months and years where a period asks for them; the days of all periods
+    meet these in one join and one aggregate. As in a report, a context shows when any of its
+    periods has requests.
     """
     by_date, by, where = by_date or [], by or [], where or {}
     parts = needed_parts([m for names in wanted.values() for m in names])
@@ -282,18 +307,19 @@ def period_measures(
     ctx = contexts(calendar, by_date, where_date)
     keys = [*by_date, *by]
     days = [
-        PERIODS[suffix](ctx, by_date, calendar).select(*by_date, "day", F.lit(suffix).alias("_period"))
+        PERIODS[suffix][0](ctx, by_date, calendar)
+        .select(*by_date, "day", F.lit(suffix).alias("_period"), F.lit(PERIODS[suffix][1]).alias("_unit"))
         for suffix in wanted
     ]
-    tagged = days[0]
-    for more in days[1:]:
-        tagged = tagged.unionByName(more)
+    units = sorted({PERIODS[suffix][1] for suffix in wanted})
+    values = daily.withColumn("_unit", F.lit("day")) if units == ["day"] else values_at_days(daily, parts, by, calendar, units)
+    tagged = reduce(DataFrame.unionByName, days)
     aggregates = [
         _again(PARTS[p].kind, F.when(F.col("_period") == suffix, part(p))).alias(f"_{p}{suffix}")
         for suffix, names in wanted.items()
         for p in needed_parts(names)
     ]
-    met = tagged.join(daily, "day")
+    met = tagged.join(values, ["day", "_unit"])
     out = met.groupBy(*keys).agg(*aggregates) if keys else met.agg(*aggregates)
     for suffix, names in wanted.items():
         own = needed_parts(names)
@@ -371,18 +397,27 @@ def case_summary(case: str = "") -> Column:
 
 
 def oldest_case(rows: DataFrame, by: list[str] | None = None, where: dict | None = None) -> DataFrame:
-    """The longest-open requests: creation day, first agency and first complaint among ties.
-
-    Rows are reduced to one per age before the oldest is picked, so ties never gather.
-    """
+    """The longest-open requests: creation day, first agency and first complaint among ties."""
     by = by or []
     kept = rows.filter(_open() & _days().isNotNull())
     for column, wanted in (where or {}).items():
         if column != "days_open_if_pending":
             kept = kept.filter(condition(column, wanted))
-    per_age = kept.groupBy(*by, "days_open_if_pending").agg(*first_of_open())
-    oldest = pick_oldest().alias("o")
-    top = (per_age.groupBy(*by).agg(oldest) if by else per_age.agg(oldest)).select(*by, "o.*")
+    days = _days().alias("days_open_if_pending")
+    sources = [F.col(source).alias(name) for name, source in OLDEST.items()]
+    # By hash: the greatest age per group, then one row per case of that age; only those are sorted for the least.
+    ages = kept.select(*by, days).groupBy(*by).agg(F.max("days_open_if_pending").alias("_age"))
+    same = F.col("days_open_if_pending") == F.col("_age")
+    of_age = kept.select(*by, days, *sources)
+    if by:
+        named = ages.select(*[F.col(c).alias(f"_by_{c}") for c in by], "_age")
+        for c in by:
+            same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+        met = of_age.join(named, same)
+    else:
+        met = of_age.join(ages, same)
+    cases = met.select(*by, "days_open_if_pending", *OLDEST).distinct()
+    top = cases.groupBy(*by).agg(F.max("days_open_if_pending").alias("days_open_if_pending"), *[F.min(n).alias(n) for n in OLDEST])
     return top.withColumn("summary", case_summary())
 
 

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from civicmart.functions.text import norm_key
 
 
 def union_counts(tables: dict[str, DataFrame], flag: str | None = None) -> DataFrame:
@@ -42,13 +41,12 @@ def split_by_tag(df: DataFrame, tag: str = "error_type") -> tuple[DataFrame, Dat
 def distinct_by(df: DataFrame, keys: dict[str, Column], keep: dict[str, Column] | None = None) -> DataFrame:
     """One row per combination of `keys`; `keep` columns take their least value in the group.
 
-    An aggregate, not a window: each task reduces its own rows before the shuffle.
+    An aggregate, not a window. The least of a text needs a sort, so the rows are first reduced
+    by hash to distinct combinations, and only those few are sorted.
     """
-    named = [c.alias(n) for n, c in keys.items()]
-    kept = [F.min(c).alias(n) for n, c in (keep or {}).items()]
-    if not kept:
-        return df.select(*named).distinct()
-    return df.groupBy(*named).agg(*kept)
+    every = {**keys, **(keep or {})}
+    distinct = df.select(*[c.alias(n) for n, c in every.items()]).distinct()
+    return distinct.groupBy(*keys).agg(*[F.min(n).alias(n) for n in keep]) if keep else distinct
 
 
 def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
@@ -70,7 +68,3 @@ def share_of_total(df: DataFrame, measure: str, out: str = "pct_of_total", place
     total = F.sum(measure).over(Window.partitionBy())
     exact = F.col(measure).cast("decimal(18,0)") * 100 / F.nullif(total, F.lit(0))
     return df.withColumn(out, exact.cast(f"decimal(5,{places})"))
-
-
-def same_text(left: Column, right: Column) -> Column:
-    return norm_key(left) == norm_key(right)

@@ -113,9 +113,8 @@ def top_zips(mart: DataFrame, n: int = 20, where: Where = None) -> DataFrame:
     scoped = mart
     for column, wanted in (where or {}).items():
         scoped = scoped.filter(M.condition(column, wanted))
-    grouped = scoped.groupBy("zip_code").agg(
-        F.count(F.lit(1)).alias("total_requests"), F.min("borough").alias("first_borough")
-    )
+    spelled = scoped.groupBy("zip_code", "borough").agg(F.count(F.lit(1)).alias("n"))
+    grouped = spelled.groupBy("zip_code").agg(F.sum("n").alias("total_requests"), F.min("borough").alias("first_borough"))
     return top_n_with_ties(grouped, "total_requests", n).orderBy("rank", "zip_code")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicmart.functions.rules import STATUSES
+from civicmart.functions.text import norm_key
 from civicmart.operators.joins import star
 from civicmart.operators.sets import share_of_total, top_n, union_counts
 from civicmart.plans.mart import breach, closed, percent
@@ -118,8 +119,9 @@ def newest_requests(mart: DataFrame, n: int = 5) -> DataFrame:
 
 
 def repeated_members(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Key combinations that occur more than once."""
-    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Key combinations that occur more than once; texts that are one key to the load are one key here."""
+    named = [norm_key(F.col(k)).alias(k) if dict(df.dtypes)[k] == "string" else F.col(k) for k in keys]
+    grouped = df.groupBy(*named).agg(F.count(F.lit(1)).alias("n_rows"))
     return grouped.filter(F.col("n_rows") > 1)
 
 

@@ -16,15 +16,18 @@ from pyspark.sql import types as T
 
 from civicmart.functions.dates import duration_sec
 from civicmart.functions.rules import Settings
+from civicmart.functions.text import norm_key
 from civicmart.operators import dims as D
 from civicmart.operators import fact as FA
+from civicmart.operators.joins import already_loaded
 from civicmart.operators.sets import split_by_tag
-from civicmart.session import cut
+from civicmart.session import cut, scratch
 from civicmart.sources.tables import (
     DIMENSIONS,
     FACT,
     SCHEMAS,
     create_tables,
+    read_pending,
     read_staging,
     read_table,
     save_batch,
@@ -54,13 +57,19 @@ class Warehouse:
     def fact(self) -> DataFrame:
         return self.table(FACT)
 
+    @property
+    def fact_keys(self) -> DataFrame:
+        """Normalised keys of the requests in the fact, with their bucket, from the table kept beside it."""
+        done = self.table("fact_loads").filter("state = 'DONE'").select("log_id").distinct()
+        return self.table("fact_keys").join(done, "log_id", "left_semi").select("dedup_key", "bucket")
+
     @property
     def staging(self) -> DataFrame:
         return read_staging(self.spark, self.root)
 
     @property
     def pending(self) -> DataFrame:
-        return self.staging.filter(~F.col("stg_is_processed"))
+        return read_pending(self.spark, self.root)
 
 
 def create_warehouse(spark: SparkSession, root: str, settings: Settings | None = None) -> Warehouse:
@@ -104,7 +113,7 @@ def logged_step(wh: Warehouse, batch_id: int, name: str, fn: Callable[[int], Ste
     try:
         counts = fn(log_id)
     except Exception as e:
-        log("FAILED", None, str(e)[:4000])
+        log("FAILED", None, str(e))
         raise
     log("SUCCESS", counts, None)
     return counts
@@ -117,28 +126,27 @@ def load_dim_date(wh: Warehouse, log_id: int, batch_id: int) -> StepCounts:
     return StepCounts(inserted=wh.table("dim_date").count() - before, skipped=before)
 
 
-def _save_members(wh: Warehouse, name: str, key: str, fresh: DataFrame, order: list[str], at_most: int) -> int:
+def _save_members(wh: Warehouse, name: str, key: str, fresh: DataFrame, order: list[str]) -> int:
     """Number the new members, append them, and count what the table gained."""
     before, last = D.rows_and_max_key(wh.table(name), key)
-    save_table(D.assign_keys(fresh, key, order, last, at_most), wh.root, name)
+    save_table(D.assign_keys(fresh, key, order, last), wh.root, name)
     return wh.table(name).count() - before
 
 
-def _log_errors(wh: Warehouse, rejects: DataFrame, log_id: int, batch_id: int, step: str) -> None:
+def _log_errors(wh: Warehouse, rejects: DataFrame, log_id: int, batch_id: int, step: str) -> int:
+    """Log every rejected row, and how many there were."""
     save_batch(FA.error_rows(rejects, log_id, batch_id, step), wh.root, "etl_errors", "log_id", log_id)
+    return wh.table("etl_errors").filter(F.col("log_id") == log_id).count()
 
 
 def load_dim_agency(wh: Warehouse, log_id: int, batch_id: int) -> StepCounts:
     pending, existing = wh.pending, wh.table("dim_agency")
     staged = cut(D.staged_agencies(pending), "agencies")
     read = staged.count()
-    skipped = staged.join(existing.select("agency_code"), "agency_code", "left_semi").count()
-    rejects = D.agency_rejects(pending)
-    rejected = rejects.count()
+    skipped = already_loaded(staged, existing, ["agency_code"]).count()
     fresh = D.new_agencies(staged, wh.settings, existing)
-    added = _save_members(wh, "dim_agency", "agency_key", fresh, ["agency_code"], read)
-    if rejected:
-        _log_errors(wh, D.cap_errors(rejects), log_id, batch_id, "dim_agency")
+    added = _save_members(wh, "dim_agency", "agency_key", fresh, ["agency_code"])
+    rejected = _log_errors(wh, D.agency_rejects(pending), log_id, batch_id, "dim_agency")
     return StepCounts(read, added, rejected, skipped)
 
 
@@ -146,13 +154,12 @@ def load_dim_location(wh: Warehouse, log_id: int, batch_id: int) -> StepCounts:
     grouped = D.staged_locations(wh.pending, wh.settings)
     tagged = cut(grouped.withColumn("error_type", D.location_error(wh.settings)), "locations")
     valid, failed = split_by_tag(tagged)
-    read, rejected = tagged.count(), failed.count()
+    read = tagged.count()
     fresh = D.new_locations(valid.drop("error_type"), wh.table("dim_location"))
     order = ["borough", "community_board", "zip_code"]
-    added = _save_members(wh, "dim_location", "location_key", fresh, order, read)
-    if rejected:
-        rejects = D.location_rejects(failed.drop("error_type"), wh.settings)
-        _log_errors(wh, D.cap_errors(rejects), log_id, batch_id, "dim_location")
+    added = _save_members(wh, "dim_location", "location_key", fresh, order)
+    rejects = D.location_rejects(failed.drop("error_type"), wh.settings)
+    rejected = _log_errors(wh, rejects, log_id, batch_id, "dim_location")
     return StepCounts(read, added, rejected, read - added - rejected)
 
 
@@ -160,13 +167,10 @@ def load_dim_complaint_type(wh: Warehouse, log_id: int, batch_id: int) -> StepCo
     pending, existing = wh.pending, wh.table("dim_complaint_type")
     staged = cut(D.staged_complaints(pending), "complaints")
     read = staged.count()
-    rejects = D.complaint_rejects(pending)
-    rejected = rejects.count()
     fresh = D.new_complaints(staged, wh.settings, existing)
     order = ["complaint_type", "descriptor"]
-    added = _save_members(wh, "dim_complaint_type", "complaint_key", fresh, order, read)
-    if rejected:
-        _log_errors(wh, D.cap_errors(rejects), log_id, batch_id, "dim_complaint_type")
+    added = _save_members(wh, "dim_complaint_type", "complaint_key", fresh, order)
+    rejected = _log_errors(wh, D.complaint_rejects(pending), log_id, batch_id, "dim_complaint_type")
     return StepCounts(read, added, rejected, read - added)
 
 
@@ -175,36 +179,67 @@ def load_fact(wh: Warehouse, log_id: int, batch_id: int, strict: bool = True) ->
 
     Rows already in the fact count both as skipped and as rejected. If the job dies after the
     insert, the next run finds the keys in the fact and adds nothing twice. `strict=False` is
-    the older load, which leaves rows out without logging them.
+    the older load, which leaves rows out without logging them; they count as rejected.
     """
-    pending = wh.pending
-    read = pending.count()
-    if not read:
-        return StepCounts()
-    done = cut(pending.select("stg_batch_id", F.lit(log_id).alias("log_id")).distinct(), "batches")
-    before = wh.fact.count()
+    settle_keys(wh, log_id)
+    done = cut(wh.pending.select("load_id", "stg_batch_id", F.lit(log_id).alias("log_id")).distinct(), "loads")
+    pending = wh.staging.join(done.select("load_id"), "load_id", "left_semi")
     if strict:
-        resolved = FA.resolve(pending, wh.dims(*DIMENSIONS[1:]), wh.fact, wh.settings)
+        resolved = FA.resolve(pending, wh.dims(*DIMENSIONS[1:]), wh.fact_keys, wh.settings)
         accepted, rejected = split_by_tag(resolved)
+        found = {r[0]: r[1] for r in resolved.groupBy("error_type").count().collect()}  # one row per reason
+        inserted = found.pop(None, 0)
+        read, left_out = inserted + sum(found.values()), sum(found.values())
+    else:
+        places = wh.table("legacy_location")
+        _, last = D.rows_and_max_key(places, "location_key")
+        fresh = FA.new_legacy_locations(pending, places)
+        save_table(D.assign_keys(fresh, "location_key", FA.LEGACY_PLACE, last), wh.root, "legacy_location")
+        dims = wh.dims("dim_agency", "dim_complaint_type") | {"dim_location": wh.table("legacy_location")}
+        loose = cut(FA.loose_fact_rows(pending, dims, wh.fact_keys), "loose-rows")
+        accepted = loose.withColumnsRenamed({"created_date": "created", "closed_date": "closed"})
+        read, inserted, found = pending.count(), loose.count(), {}
+        left_out = read - inserted
+    if inserted:
+        keys = accepted.select(norm_key(F.col("unique_key")).alias("dedup_key"), F.lit(log_id).alias("log_id"))
+        _save_keys(wh, keys, log_id)
         save_table(FA.fact_rows(accepted, batch_id), wh.root, FACT)
+        _mark(wh, log_id, "DONE")
+    if strict and left_out:
         _log_errors(wh, rejected, log_id, batch_id, FACT)
-        found = _error_counts(wh, log_id)
-    else:
-        loose = FA.loose_fact_rows(pending, wh.dims(*DIMENSIONS[1:]), wh.fact)
-        renamed = loose.withColumnsRenamed({"created_date": "created", "closed_date": "closed"})
-        save_table(FA.fact_rows(renamed, batch_id), wh.root, FACT)
-        found = {}
-    counts = StepCounts(
-        read, wh.fact.count() - before, sum(found.values()), found.get("DUPLICATE_UNIQUE_KEY", 0)
-    )
-    save_table(done.coalesce(1), wh.root, "processed_batches")
-    return counts
+    save_table(done.coalesce(1), wh.root, "processed_loads")
+    return StepCounts(read, inserted, left_out, found.get("DUPLICATE_UNIQUE_KEY", 0))
 
 
-def _error_counts(wh: Warehouse, log_id: int) -> dict[str, int]:
-    """Rows logged per reason by one step; there are about a dozen reasons."""
-    rows = wh.table("etl_errors").filter(F.col("log_id") == log_id).groupBy("error_type").count().collect()
-    return {r["error_type"]: r["count"] for r in rows}
+def _mark(wh: Warehouse, log_id: int, state: str) -> None:
+    """One more state of a load of the fact: KEYS written, rows DONE as well, or DROPPED."""
+    save_table(wh.spark.createDataFrame([(log_id, state)], SCHEMAS["fact_loads"]).coalesce(1), wh.root, "fact_loads")
+
+
+def _save_keys(wh: Warehouse, keys: DataFrame, log_id: int) -> None:
+    """Keys are marked before and written before the rows they stand for."""
+    _mark(wh, log_id, "KEYS")
+    save_table(keys.withColumn("bucket", FA.key_bucket(F.col("dedup_key"))), wh.root, "fact_keys")
+
+
+def settle_keys(wh: Warehouse, log_id: int) -> None:
+    """After a load that died between its keys and its mark: its keys that the fact has are kept, the others go.
+
+    Only then is the fact scanned.
+    """
+    ended = wh.table("fact_loads").filter("state <> 'KEYS'").select("log_id")
+    broken = wh.table("fact_loads").join(ended, "log_id", "left_anti").select("log_id").distinct()
+    ids = [r[0] for r in broken.collect()]  # loads that died since the last one that ended
+    if not ids:
+        return
+    keys = wh.table("fact_keys").filter(F.col("log_id").isin(ids)).select("dedup_key")
+    stored = wh.fact.select(norm_key(F.col("unique_key")).alias("dedup_key"))
+    held = cut(stored.join(keys, "dedup_key", "left_semi").distinct(), "held-keys")
+    own = log_id * 10  # a load of its own, apart from the one that follows
+    _save_keys(wh, held.withColumn("log_id", F.lit(own)), own)
+    _mark(wh, own, "DONE")
+    for broken_id in ids:
+        _mark(wh, broken_id, "DROPPED")
 
 
 LOADERS = {
@@ -224,10 +259,10 @@ def run_all(wh: Warehouse, batch_id: int | None = None) -> dict[str, StepCounts]
     def run(name: str) -> StepCounts:
         return logged_step(wh, batch, name, lambda log_id: LOADERS[name](wh, log_id, batch))
 
-    with ThreadPoolExecutor(len(STEPS) - 1) as pool:
+    with scratch(wh.spark), ThreadPoolExecutor(len(STEPS) - 1) as pool:
         started = {name: pool.submit(run, name) for name in STEPS[:-1]}
         counts = {name: done.result() for name, done in started.items()}
-    return counts | {STEPS[-1]: run(STEPS[-1])}
+        return counts | {STEPS[-1]: run(STEPS[-1])}
 
 
 def run_summary(log: DataFrame, batch_id: int | None = None) -> DataFrame:
@@ -243,8 +278,9 @@ def run_summary(log: DataFrame, batch_id: int | None = None) -> DataFrame:
 def error_summary(errors: DataFrame, batch_id: int | None = None) -> DataFrame:
     """Rejected rows per step and reason with one example message."""
     rows = errors if batch_id is None else errors.filter(F.col("batch_id") == batch_id)
+    per_message = rows.groupBy("step_name", "error_type", "error_message").agg(F.count(F.lit(1)).alias("n"))
     return (
-        rows.groupBy("step_name", "error_type")
-        .agg(F.count(F.lit(1)).alias("error_count"), F.min("error_message").alias("example_message"))
+        per_message.groupBy("step_name", "error_type")
+        .agg(F.sum("n").alias("error_count"), F.min("error_message").alias("example_message"))
         .orderBy("step_name", F.desc("error_count"), "error_type")
     )

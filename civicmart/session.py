@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHOSEN: dict[str, str] = {}
+_RUNS: dict[str, list] = {}
+_LOCK = threading.Lock()
 
 
 def get_session(app: str = "civicmart", master: str | None = None, **conf: object) -> SparkSession:
@@ -44,8 +49,36 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared work folder that no other run uses."""
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A path in the work folder (in the run's own one inside `scratch`) that no other run uses."""
+    run = _RUNS.get(_key(spark))
+    return f"{run[0] if run else work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _key(spark: SparkSession) -> str:
+    return spark.sparkContext.applicationId
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """One folder for all frames that a run cuts; it is dropped when the last run using it ends.
+
+    Nothing that leaves the run may still read from it.
+    """
+    key = _key(spark)
+    with _LOCK:
+        run = _RUNS.setdefault(key, [f"{work_dir(spark)}/run-{uuid.uuid4().hex[:12]}", 0])
+        run[1] += 1
+    try:
+        yield
+    finally:
+        with _LOCK:
+            run[1] -= 1
+            ended = not run[1]
+            if ended:
+                del _RUNS[key]
+        if ended:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run[0])
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -58,12 +91,3 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than the session has cores, dealt out over all cores.
-
-    Large inputs have far more splits than cores and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

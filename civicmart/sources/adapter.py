@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicmart.functions.rules import Settings
-from civicmart.session import spread
 from civicmart.sources.raw import RAW_COLUMNS
 
 # The calendar, the report date and the rules the order tables are loaded with.
@@ -49,7 +48,7 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
     seat = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("seat_nation"))
     return (
-        spread(line)
+        line
         .join(orders, line.l_orderkey == orders.o_orderkey)
         .join(customer, orders.o_custkey == customer.c_custkey)
         .join(home, "c_nationkey")
@@ -154,7 +153,3 @@ def untidy_requests(spark: SparkSession, folder: str) -> DataFrame:
         "community_board": F.when(customer % 43 == 0, F.lit(None)).otherwise(c("c_mktsegment")),
     }
     return order_lines(spark, folder).select(*[e.cast("string").alias(n) for n, e in fields.items()])
-
-
-def request_columns() -> list[str]:
-    return list(RAW_COLUMNS)

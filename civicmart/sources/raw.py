@@ -21,7 +21,9 @@ FIRST_YEAR = 2010
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])
 
 
-def pick_years(years: int | tuple[int, int] | list[int] | None, latest: int | None = None) -> list[int] | None:
+def pick_years(
+    years: int | tuple[int, int] | list[int] | None, latest: int | None = None, first: int = FIRST_YEAR
+) -> list[int] | None:
     """One year, a (first, last) range or a list, checked against the years on offer."""
     if years is None:
         return None
@@ -29,47 +31,76 @@ def pick_years(years: int | tuple[int, int] | list[int] | None, latest: int | No
     if isinstance(years, int):
         wanted = [years]
     elif isinstance(years, tuple):
-        first, last = years
-        if first > last:
-            raise ValueError(f"start year {first} must be <= end year {last}")
-        wanted = list(range(first, last + 1))
+        begin, end = years
+        if begin > end:
+            raise ValueError(f"start year {begin} must be <= end year {end}")
+        wanted = list(range(begin, end + 1))
     else:
         wanted = sorted(set(years))
-    outside = [y for y in wanted if not FIRST_YEAR <= y <= latest]
+    outside = [y for y in wanted if not first <= y <= latest]
     if outside:
-        raise ValueError(f"years {outside} must be between {FIRST_YEAR} and {latest}")
+        raise ValueError(f"years {outside} must be between {first} and {latest}")
     return wanted
 
 
-def years_present(spark: SparkSession, folder: str) -> list[int]:
-    """Years that have a `…_YYYY.csv`, a file or a folder of part files. Only names are read."""
+def files_of_years(spark: SparkSession, folder: str) -> dict[int, list[str]]:
+    """Files per year of every `…_YYYY.csv`, a file or a folder of part files. Only names are read."""
     files = spark.read.format("binaryFile").load(f"{folder}/*_[0-9][0-9][0-9][0-9].csv")
     year = F.regexp_extract("path", r"_(\d{4})\.csv(/[^/]*)?$", 1).cast("int")
-    return sorted(r[0] for r in files.select(year.alias("y")).distinct().collect())
+    found: dict[int, list[str]] = {}
+    for y, path in files.select(year, "path").collect():  # one row per file
+        found.setdefault(y, []).append(path)
+    return {y: sorted(paths) for y, paths in sorted(found.items())}
+
+
+def header_of(spark: SparkSession, path: str) -> str:
+    """The first line of a file; no more of it is read."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    opened = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(where)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(opened, "UTF-8"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
 
 
 def read_raw(
-    spark: SparkSession, folder: str, years: list[int] | None = None, multiline: bool = True
+    spark: SparkSession, folder: str, years: int | tuple[int, int] | list[int] | None = None, multiline: bool = False,
+    first_year: int = FIRST_YEAR,
 ) -> DataFrame:
     """Per-year CSVs of a folder with a `source_year`: known columns by name, text, empty as NULL.
 
-    Each year goes by its own header, so years may order their columns differently or lack
-    some; other years' files are never opened, and a wanted year without a file adds nothing.
-    With `multiline` a quoted value may hold line breaks, and a file is read by one task; pass
-    False for files known to hold none, which then split.
+    `years` is one year, a (first, last) range, a list or everything; a wanted year without a file
+    adds nothing and is warned of. Every file goes by its own header: files with the same header are
+    read together, others may order their columns differently or lack some. Other years' files are
+    never opened. With `multiline` a quoted value may hold line breaks, and a file is read by one
+    task; without it files split.
     """
-    found = years_present(spark, folder)
-    wanted = [y for y in found if years is None or y in years]
-    if not wanted:
+    found = files_of_years(spark, folder)
+    wanted = pick_years(years, first=first_year) or list(found)
+    absent = [y for y in wanted if y not in found]
+    if len(absent) == len(wanted):
         raise FileNotFoundError(f"no request file in {folder} for years {years or 'of any kind'}")
-    reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
-
-    def one(year: int) -> DataFrame:
-        known = select_known(reader.csv(f"{folder}/*_{year}.csv"))
+    if absent:
+        warnings.warn(f"no request file for years {absent}", stacklevel=2)
+    groups: dict[tuple[int, str], list[str]] = {}
+    for year in wanted:
+        for path in found.get(year, []):
+            groups.setdefault((year, header_of(spark, path)), []).append(path)
+    reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"').option("enforceSchema", False)
+
+    def one(year: int, header: str, paths: list[str]) -> DataFrame | None:
+        if not header:
+            return None
+        known = select_known(reader.csv(paths))
         text = [F.nullif(F.col(c), F.lit("")).alias(c) for c in RAW_COLUMNS]
         return known.select(*text, F.lit(year).alias("source_year"))
 
-    return reduce(DataFrame.unionByName, [one(y) for y in wanted])
+    parts = [p for p in (one(year, header, paths) for (year, header), paths in groups.items()) if p is not None]
+    if not parts:
+        return spark.createDataFrame([], RAW_SCHEMA).withColumn("source_year", F.lit(None).cast("int"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def select_known(df: DataFrame) -> DataFrame:
@@ -98,11 +129,12 @@ def trim_all(df: DataFrame) -> DataFrame:
     return df.select([F.trim(F.col(c)).alias(c) if c in text else F.col(c) for c in df.columns])
 
 
-def with_audit(df: DataFrame, batch_id: int) -> DataFrame:
-    """Staging columns: load time, batch, processed flag, error text, and a row number.
+def with_audit(df: DataFrame, batch_id: int, load_id: str) -> DataFrame:
+    """Staging columns: load time, batch, processed flag, error text, load and row number.
 
-    `stg_row_id` is unique across the write and, once written, never changes; later steps use
-    it to tell exact copies apart.
+    `load_id` belongs to one write and is never used again; `stg_row_id` is unique inside it and,
+    once written, never changes. Together they are the identity of a staged row. The batch is a
+    label that several writes may share.
     """
     return df.withColumns(
         {
@@ -111,5 +143,6 @@ def with_audit(df: DataFrame, batch_id: int) -> DataFrame:
             "stg_is_processed": F.lit(False),
             "stg_error_message": F.lit(None).cast("string"),
             "stg_row_id": F.monotonically_increasing_id(),
+            "load_id": F.lit(load_id),
         }
     )

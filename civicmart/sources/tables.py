@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,8 +21,8 @@ _ERROR_TEXT = ", ".join(
 SCHEMAS = {
     "raw_requests": ", ".join(f"{c} string" for c in RAW_COLUMNS)
     + ", source_year int, stg_load_date timestamp, stg_error_message string, stg_row_id bigint,"
-    " stg_batch_id bigint",
-    "processed_batches": "stg_batch_id bigint, log_id bigint",
+    " stg_batch_id bigint, load_id string",
+    "processed_loads": "load_id string, stg_batch_id bigint, log_id bigint",
     "dim_date": "date_key int, full_date date, year int, quarter int, quarter_name string, month int,"
     " month_name string, month_short string, week_of_year int, day_of_month int, day_of_week int,"
     " day_name string, is_weekend boolean, is_holiday boolean",
@@ -33,6 +34,10 @@ SCHEMAS = {
     "fact_service_requests": "request_key bigint, unique_key string, date_key int, agency_key int,"
     " location_key int, complaint_key int, created_date timestamp_ntz, closed_date timestamp_ntz,"
     " status string, resolution_days int, dw_created_date timestamp, dw_batch_id bigint, year int",
+    "fact_keys": "dedup_key string, log_id bigint, bucket int",
+    "fact_loads": "log_id bigint, state string",
+    "legacy_location": "location_key int, borough string, community_board string, zip_code string, city string,"
+    " latitude decimal(9,6), longitude decimal(9,6)",
     "etl_log": "log_id bigint, batch_id bigint, step_name string, step_number int, status string,"
     " rows_read bigint, rows_inserted bigint, rows_rejected bigint, rows_skipped bigint,"
     " start_time timestamp, end_time timestamp, duration_sec bigint, error_message string,"
@@ -44,7 +49,7 @@ SCHEMAS = {
 DIMENSIONS = ["dim_date", "dim_agency", "dim_location", "dim_complaint_type"]
 FACT = "fact_service_requests"
 STAGING = "raw_requests"
-PARTITIONS = {FACT: ["year"], STAGING: ["stg_batch_id"], "etl_log": ["log_id"], "etl_errors": ["log_id"]}
+PARTITIONS = {FACT: ["year"], "fact_keys": ["bucket"], STAGING: ["load_id"], "etl_log": ["log_id"], "etl_errors": ["log_id"]}
 
 
 def create_tables(spark: SparkSession, root: str) -> None:
@@ -74,13 +79,13 @@ def save_table(df: DataFrame, root: str, name: str, mode: str = "append") -> Non
     schema = T.StructType.fromDDL(SCHEMAS[name])
     rows = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     by = PARTITIONS.get(name, [])
-    if name == FACT:
+    if name in (FACT, "fact_keys"):
         rows = rows.hint("rebalance", *by)
     writer = rows.write.mode(mode)
     (writer.partitionBy(*by) if by else writer).parquet(f"{root}/{name}")
 
 
-def save_batch(df: DataFrame, root: str, name: str, by: str, value: int) -> None:
+def save_batch(df: DataFrame, root: str, name: str, by: str, value: int | str) -> None:
     """One partition of a table, replaced as a whole.
 
     Writers of different partitions never share a folder, so steps can run side by side, and
@@ -92,41 +97,48 @@ def save_batch(df: DataFrame, root: str, name: str, by: str, value: int) -> None
 
 
 def load_staging(df: DataFrame, root: str, batch_id: int, refresh: bool = True) -> dict[str, int]:
-    """Write request rows to staging and reconcile: rows that landed against rows read.
+    """Write request rows to staging under a load id of their own and reconcile: rows that landed against rows read.
 
-    `refresh` clears what was staged before, as one overwrite; otherwise the batch is added.
+    `refresh` clears what was staged before, as one overwrite; otherwise the rows are added. Either
+    way they are unread, whatever their batch number.
     """
+    load_id = uuid.uuid4().hex
     spark = df.sparkSession
     known = select_known(df)
     if "source_year" not in known.columns:
         known = known.withColumn("source_year", F.lit(None).cast("int"))
     counted = Observation()
-    staged = with_audit(known, batch_id).observe(counted, F.count(F.lit(1)).alias("n"))
+    staged = with_audit(known, batch_id, load_id).observe(counted, F.count(F.lit(1)).alias("n"))
     save_table(staged, root, STAGING, "overwrite" if refresh else "append")
-    landed = read_table(spark, root, STAGING).filter(F.col("stg_batch_id") == batch_id).count()
+    landed = read_table(spark, root, STAGING).filter(F.col("load_id") == load_id).count()
     # A source without rows is optimised away with its counter, and is cheap to count.
     read = counted.get["n"] if landed else known.count()
     if landed != read:
-        raise RuntimeError(f"staging holds {landed} rows of batch {batch_id}, {read} were read")
+        raise RuntimeError(f"{landed} rows of batch {batch_id} landed, {read} were read")
     return {"rows_read": read, "rows_landed": landed}
 
 
 def read_staging(spark: SparkSession, root: str) -> DataFrame:
     """Staged rows with the processed flag.
 
-    The flag is kept per batch in a small table, so marking rows as processed never rewrites
-    them; a filter on it becomes a filter on the partition column.
+    The flag is kept per load in a small table of its own, so marking rows as processed never
+    rewrites them, and that table is joined, not collected.
     """
-    # One row per loaded batch.
-    done = sorted({r[0] for r in read_table(spark, root, "processed_batches").select("stg_batch_id").collect()})
-    flag = F.col("stg_batch_id").isin(done) if done else F.lit(False)
-    return read_table(spark, root, STAGING).withColumn("stg_is_processed", flag)
+    done = read_table(spark, root, "processed_loads").select("load_id", F.lit(True).alias("_done")).distinct()
+    rows = read_table(spark, root, STAGING).join(done, "load_id", "left")
+    return rows.withColumn("stg_is_processed", F.col("_done").isNotNull()).drop("_done")
+
+
+def read_pending(spark: SparkSession, root: str) -> DataFrame:
+    """Staged rows of loads that are not marked as processed."""
+    done = read_table(spark, root, "processed_loads").select("load_id")
+    return read_table(spark, root, STAGING).join(done, "load_id", "left_anti").withColumn("stg_is_processed", F.lit(False))
 
 
 def reset_warehouse(spark: SparkSession, root: str, reset_flag: bool = False, clear_log: bool = False) -> DataFrame:
     """Empty the fact, then the dimensions; on request also the flag and the audit tables."""
-    names = [FACT, *DIMENSIONS]
-    names += ["processed_batches"] if reset_flag else []
+    names = [FACT, "fact_keys", "fact_loads", "legacy_location", *DIMENSIONS]
+    names += ["processed_loads"] if reset_flag else []
     names += ["etl_errors", "etl_log"] if clear_log else []
     for name in names:
         _write_empty(spark, root, name, "overwrite")

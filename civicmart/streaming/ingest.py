@@ -14,18 +14,19 @@ from civicmart.sources.raw import RAW_SCHEMA, select_known, trim_all, with_audit
 from civicmart.sources.tables import STAGING, read_table, save_batch
 
 
-def read_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+def read_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000, multiline: bool = False) -> DataFrame:
     """Request files of a folder as a stream; empty fields are NULL.
 
     The progress of the read lives in the query's checkpoint, so a stopped run goes on with the
     first file it has not finished. A stream has one schema: a file whose header differs from it
-    stops the query instead of being misread.
+    stops the query instead of being misread. `multiline` allows line breaks inside quotes and
+    reads each file in one task.
     """
     rows = (
         spark.readStream.schema(RAW_SCHEMA)
         .option("header", True)
         .option("enforceSchema", False)
-        .option("multiLine", True)
+        .option("multiLine", multiline)
         .option("escape", '"')
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
@@ -42,7 +43,7 @@ def ingest_stream(wh: Warehouse, folder: str, checkpoint: str, files_per_batch:
     """
 
     def land(batch: DataFrame, epoch: int) -> None:
-        _stage(wh, batch, epoch)
+        _stage(wh, batch, epoch, checkpoint)
 
     return _run(read_stream(wh.spark, folder, files_per_batch), land, checkpoint)
 
@@ -56,15 +57,19 @@ def load_stream(wh: Warehouse, folder: str, checkpoint: str, files_per_batch: in
     """
 
     def load(batch: DataFrame, epoch: int) -> None:
-        _stage(wh, batch, epoch)
+        _stage(wh, batch, epoch, checkpoint)
         run_all(wh, epoch)
 
     return _run(read_stream(wh.spark, folder, files_per_batch), load, checkpoint)
 
 
-def _stage(wh: Warehouse, batch: DataFrame, epoch: int) -> None:
+def _stage(wh: Warehouse, batch: DataFrame, epoch: int, checkpoint: str) -> None:
+    """Land one micro-batch under (query, epoch): a replay keeps that load id, another stream never has it."""
+    query = F.get_json_object("value", "$.id")
+    query_id = wh.spark.read.text(f"{checkpoint}/metadata").select(query).first()[0]
+    load_id = f"{query_id}-{epoch}"
     known = select_known(batch).withColumn("source_year", F.lit(None).cast("int"))
-    save_batch(with_audit(trim_all(known), epoch), wh.root, STAGING, "stg_batch_id", epoch)
+    save_batch(with_audit(trim_all(known), epoch, load_id), wh.root, STAGING, "load_id", load_id)
 
 
 def _run(rows: DataFrame, each, checkpoint: str) -> StreamingQuery:
@@ -78,7 +83,8 @@ def _run(rows: DataFrame, each, checkpoint: str) -> StreamingQuery:
 
 def checked_stream(rows: DataFrame, wh: Warehouse) -> DataFrame:
     """The checks that need only the row, on a stream: reason and message, or NULL."""
-    tagged = parsed(rows.withColumn("stg_row_id", F.lit(None).cast("bigint")))
+    identity = {"stg_row_id": F.lit(None).cast("bigint"), "load_id": F.lit(None).cast("string")}
+    tagged = parsed(rows.withColumns(identity))
     reason, message = first_error(row_checks(wh.settings))
     return tagged.withColumn("error_type", reason).withColumn("error_message", message)
 
@@ -97,6 +103,6 @@ def first_of_key(rows: DataFrame, delay: str) -> DataFrame:
 
 
 def staged_batches(wh: Warehouse) -> DataFrame:
-    """Rows per landed micro-batch."""
+    """Rows per landed load; a stream's loads are its micro-batches."""
     rows = read_table(wh.spark, wh.root, STAGING)
-    return rows.groupBy("stg_batch_id").agg(F.count(F.lit(1)).alias("rows_landed"))
+    return rows.groupBy("load_id", "stg_batch_id").agg(F.count(F.lit(1)).alias("rows_landed"))

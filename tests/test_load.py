@@ -178,10 +178,11 @@ def test_zero_coordinates_enter_the_mean_unless_switched_off(spark, requests_of)
     assert (float(nulled.latitude), float(nulled.longitude)) == (40.0, -74.0)
 
 
-def test_error_cap_limits_the_log_and_not_the_count(spark, requests_of):
-    rejects = D.agency_rejects(requests_of(*[{"unique_key": str(i), "agency": None} for i in range(7)]))
-    assert D.cap_errors(rejects, 3).count() == 3
-    assert rejects.count() == 7
+def test_every_rejected_row_is_logged(spark, requests_of, folder):
+    rows = requests_of(*[{"unique_key": str(i), "agency": None} for i in range(1500)])
+    wh, counts = loaded(spark, folder, rows)
+    assert counts["dim_agency"].rejected == 1500
+    assert wh.table("etl_errors").filter("step_name = 'dim_agency'").count() == 1500
 
 
 def test_incremental_loads(spark, requests_of, folder):
@@ -196,7 +197,7 @@ def test_incremental_loads(spark, requests_of, folder):
     assert sorted(column(wh.fact, "unique_key", "dw_batch_id")) == [("1", 1), ("2", 1), ("3", 2)]
     assert sorted(column(wh.table("dim_agency"), "agency_key", "agency_code")) == [(1, "NYPD"), (2, "HPD")]
     assert errors(wh) == {"1": "DUPLICATE_UNIQUE_KEY"}
-    T._write_empty(spark, folder, "processed_batches", "overwrite")
+    T._write_empty(spark, folder, "processed_loads", "overwrite")
     # The job died after the insert: no batch was marked as processed.
     assert W.run_all(wh, 3)[T.FACT] == W.StepCounts(4, 0, 4, 4)
     assert wh.fact.count() == 3
@@ -227,23 +228,92 @@ def test_reset_clears_and_reload_fills(spark, requests_of, folder):
 
 
 def test_loose_load(spark, requests_of, folder):
+    """The older load matches positions of its own, keeps one row per key and counts what it leaves out."""
     wh = W.create_warehouse(spark, folder)
     rows = requests_of(
         {"status": None}, {"unique_key": "2", "descriptor": None}, {"unique_key": "3", "created_date": "x"},
         {"unique_key": "4", "closed_date": "2024-05-19T00:00:00.000"}, {"unique_key": "5", "latitude": "40.7"},
+        {"unique_key": " 5", "created_date": "2024-05-21T07:14:00.000", "status": "Open"},
+        {"unique_key": "6", "city": "Elsewhere"},
     )
-    T.load_staging(rows, folder, 1)
-    for name in W.STEPS[:-1]:
-        W.LOADERS[name](wh, 1, 1)
-    places = FA.staged_legacy_locations(wh.staging).withColumn("location_key", F.lit(1))
-    loose = FA.loose_fact_rows(wh.staging, wh.dims("dim_agency", "dim_complaint_type") | {"dim_location": places}, wh.fact)
-    assert sorted(column(loose, "unique_key", "status")) == [("1", "Unknown"), ("5", "Closed")]
-
-
-@pytest.mark.parametrize("share", [1000, 2])
-def test_crowded_key_resolves_as_brute_force(spark, requests_of, folder, monkeypatch, share):
-    """A third of all rows share one key; with share 2 no key counts as crowded."""
-    monkeypatch.setattr(FA, "HOT_SHARE", share)
+
+    def run(batch):
+        T.load_staging(rows, folder, batch)
+        for name in W.STEPS[:-1]:
+            W.LOADERS[name](wh, batch, batch)
+        return W.load_fact(wh, batch * 10, batch, strict=False)
+
+    assert run(1) == W.StepCounts(7, 3, 4, 0)
+    assert sorted(column(wh.fact, "unique_key", "status")) == [("1", "Unknown"), ("5", "Open"), ("6", "Closed")]
+    assert wh.table("legacy_location").count() == 3
+    assert run(2) == W.StepCounts(7, 0, 7, 0)
+    assert wh.table("legacy_location").count() == 3
+
+
+def test_two_refreshes_under_one_batch_number(spark, requests_of, folder):
+    wh = W.create_warehouse(spark, folder)
+    for key in ("a", "c"):
+        T.load_staging(requests_of({"unique_key": key}, {"unique_key": key + "2"}), folder, 20240601)
+        assert W.run_all(wh, 20240601)[T.FACT] == W.StepCounts(2, 2, 0, 0)
+    assert wh.fact.count() == 4
+
+
+def test_two_appends_under_one_batch_number(spark, requests_of, folder):
+    wh = W.create_warehouse(spark, folder)
+    for key in ("a", "b"):
+        assert T.load_staging(requests_of({"unique_key": key}), folder, 5, refresh=False) == {"rows_read": 1, "rows_landed": 1}
+    assert W.run_all(wh, 5)[T.FACT] == W.StepCounts(2, 2, 0, 0)
+
+
+def test_pending_batches_that_share_a_key(spark, requests_of, folder):
+    wh = W.create_warehouse(spark, folder)
+    T.load_staging(requests_of({"unique_key": "K"}), folder, 1, refresh=False)
+    T.load_staging(requests_of({"unique_key": "k ", "status": "Open"}, {"unique_key": "L"}), folder, 2, refresh=False)
+    assert W.run_all(wh, 2)[T.FACT] == W.StepCounts(3, 2, 1, 0)
+    assert sorted(k.upper() for k in column(wh.fact, "unique_key")) == ["K", "L"]
+    assert list(errors(wh).values()) == ["DUPLICATE_IN_BATCH"]
+
+
+def test_load_that_died_between_keys_and_rows(spark, requests_of, folder):
+    wh, _ = loaded(spark, folder, requests_of({"unique_key": "a"}), batch=1)
+    keys = spark.createDataFrame([("A", 77), ("LOST", 77)], "dedup_key string, log_id bigint")
+    W._save_keys(wh, keys, 77)  # no mark follows
+    T.load_staging(requests_of({"unique_key": "lost"}, {"unique_key": "a"}), folder, 2)
+    assert W.run_all(wh, 2)[T.FACT] == W.StepCounts(2, 1, 1, 1)
+    T.load_staging(requests_of({"unique_key": "lost"}), folder, 3)
+    assert W.run_all(wh, 3)[T.FACT] == W.StepCounts(1, 0, 1, 1)
+    assert sorted(column(wh.fact, "unique_key")) == ["a", "lost"]
+
+
+def test_a_load_does_not_scan_the_fact(spark, requests_of, folder):
+    wh, _ = loaded(spark, folder, requests_of({}), batch=1)
+    counts = FA.key_counts(wh.staging.select(F.upper("unique_key").alias("dedup_key")))
+    plan = FA.known_keys(counts, wh.fact_keys)._jdf.queryExecution().toString()
+    assert "fact_keys" in plan and T.FACT not in plan
+    assert "bucket" in plan.split("PartitionFilters: [")[1]
+    assert "stg_batch_id IN" not in wh.pending._jdf.queryExecution().toString()
+
+
+def test_scratch_goes_and_a_session_without_a_folder_is_refused(spark, monkeypatch):
+    from civicmart import session as S
+
+    with S.scratch(spark):
+        kept = S.fresh_path(spark, "x")
+        cut(spark.range(3), "y")
+    folder = kept.rsplit("/", 1)[0]
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    assert not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+    class Plain:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+        sparkContext = type("Context", (), {"applicationId": "none"})
+
+    with pytest.raises(RuntimeError):
+        S.work_dir(Plain)
+
+
+def test_crowded_key_resolves_as_brute_force(spark, requests_of, folder):
+    """A third of all rows share one key."""
     states = ["Open", "Closed", "Pending", "Assigned"]
     changes = []
     for i in range(120):
@@ -260,7 +330,7 @@ def test_crowded_key_resolves_as_brute_force(spark, requests_of, folder, monkeyp
         best[key] = max(best.get(key, ("", "")), (ch["created_date"], ch["status"]))
     assert got == {k: v[1] for k, v in best.items()}
     assert counts[T.FACT].inserted + counts[T.FACT].rejected == 120
-    again = FA.stage_counts(FA.resolve(wh.staging, wh.dims(*T.DIMENSIONS[1:]), wh.fact, wh.settings))
+    again = FA.stage_counts(FA.resolve(wh.staging, wh.dims(*T.DIMENSIONS[1:]), wh.fact_keys, wh.settings))
     assert column(again, "outcome", "row_count") == [("DUPLICATE_UNIQUE_KEY", 120)]
 
 
@@ -270,9 +340,7 @@ def test_exact_copies_keep_one(spark, requests_of, folder):
     assert counts[T.FACT].rejected == 29
 
 
-def test_keys_number_alike_in_one_task_and_in_many(spark):
+def test_keys_are_consecutive_over_partitions(spark):
     rows = cut(spark.range(500).select(F.format_string("%05d", F.col("id") * 7919 % 500).alias("code")), "codes")
-    one = D.assign_keys(rows, "k", ["code"], 10, 500)
-    many = D.assign_keys(rows, "k", ["code"], 10, 500, one_task=5)
-    assert sorted(column(one, "k", "code")) == sorted(column(many, "k", "code"))
-    assert column(one.orderBy("code"), "k")[:3] == [11, 12, 13]
+    many = D.assign_keys(rows, "k", ["code"], 10).orderBy("code")
+    assert column(many, "k") == list(range(11, 511))

@@ -36,6 +36,18 @@ def test_columns_go_by_name_per_year(spark, tmp_path):
     assert sorted(column(got, "unique_key", "status", "agency")) == [("a", "Closed", "NYPD"), ("b", "Open", None)]
 
 
+def test_files_of_one_year_go_by_their_own_header(spark, tmp_path):
+    (tmp_path / "requests_2022.csv").mkdir()
+    write_text(tmp_path / "requests_2022.csv" / "part-0.csv", "\n".join([HEADER, line(unique_key="a")]) + "\n")
+    back = ",".join(reversed(R.RAW_COLUMNS))
+    write_text(tmp_path / "requests_2022.csv" / "part-1.csv", "\n".join([back, ",".join(reversed(line(unique_key="b").split(",")))]) + "\n")
+    write_text(tmp_path / "requests_2022.csv" / "part-2.csv", "status,unique_key\nOpen,c\n")
+    write_text(tmp_path / "requests_2022.csv" / "part-3.csv", "")
+    with pytest.warns(UserWarning, match="missing columns"):
+        got = R.read_raw(spark, str(tmp_path))
+    assert sorted(column(got, "unique_key", "status", "agency")) == [("a", "Closed", "NYPD"), ("b", "Closed", "NYPD"), ("c", "Open", None)]
+
+
 def test_no_file_is_an_error_before_staging_is_touched(spark, tmp_path):
     write_text(tmp_path / "requests_2022.csv", "\n".join([HEADER, line()]) + "\n")
     with pytest.raises(FileNotFoundError):
@@ -45,7 +57,7 @@ def test_no_file_is_an_error_before_staging_is_touched(spark, tmp_path):
 def test_quotes_commas_and_line_breaks_inside_a_value(spark, tmp_path):
     note = 'He said "no",\nthen left'
     write_text(tmp_path / "requests_2023.csv", "\n".join([HEADER, line(resolution_description=note), line(unique_key="2")]) + "\n")
-    got = R.read_raw(spark, str(tmp_path))
+    got = R.read_raw(spark, str(tmp_path), multiline=True)
     assert sorted(column(got, "unique_key", "resolution_description")) == [("1", note), ("2", "Done")]
 
 
@@ -56,7 +68,9 @@ def test_year_choice(spark, tmp_path):
     assert sorted(column(R.read_raw(spark, str(tmp_path)), "unique_key")) == ["2021", "2022", "2024"]
     chosen = R.pick_years((2022, 2024), latest=2026)
     assert chosen == [2022, 2023, 2024]
-    assert sorted(column(R.read_raw(spark, str(tmp_path), chosen), "source_year")) == [2022, 2024]
+    with pytest.warns(UserWarning, match="2023"):
+        assert sorted(column(R.read_raw(spark, str(tmp_path), (2022, 2024)), "source_year")) == [2022, 2024]
+    assert column(R.read_raw(spark, str(tmp_path), 2021), "unique_key") == ["2021"]
     assert R.pick_years(2020, latest=2026) == [2020]
     assert R.pick_years(None) is None
 

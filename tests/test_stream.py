@@ -39,6 +39,25 @@ def test_ingest_resumes_and_lands_once(spark, requests_of, folder):
     assert sorted(column(I.staged_batches(wh), "stg_batch_id", "rows_landed")) == [(0, 1), (1, 1), (2, 1)]
 
 
+def test_two_streams_into_one_warehouse(spark, requests_of, folder):
+    wh = W.create_warehouse(spark, folder)
+    for key in ("S1", "S2"):
+        inbox = fresh_path(spark, "inbox")
+        deliver(requests_of({"unique_key": key}), inbox)
+        I.load_stream(wh, inbox, fresh_path(spark, "progress")).awaitTermination()
+    assert sorted(column(wh.fact, "unique_key")) == ["S1", "S2"]
+
+
+def test_batches_landed_first_and_loaded_later_keep_one_row_per_key(spark, requests_of, folder):
+    inbox, progress = fresh_path(spark, "inbox"), fresh_path(spark, "progress")
+    wh = W.create_warehouse(spark, folder)
+    for name in ("a", "b"):
+        deliver(requests_of({"unique_key": "K"}), f"{inbox}/{name}")
+    I.ingest_stream(wh, inbox, progress, files_per_batch=1).awaitTermination()
+    assert I.staged_batches(wh).count() == 2
+    assert W.run_all(wh, 9)[T.FACT] == W.StepCounts(2, 1, 1, 0)
+
+
 def test_checks_on_a_stream(spark, requests_of, folder):
     inbox, progress, out = (fresh_path(spark, n) for n in ("inbox", "progress", "out"))
     wh = W.create_warehouse(spark, folder)
