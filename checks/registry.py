@@ -164,13 +164,13 @@ def raw_request_files(spark, sf):
     "raw_files_by_own_header",
     "unique_key:s status:s agency:s source_year:i",
     O.over("clean", "SELECT unique_key, status, CASE WHEN hash_part = 2 THEN NULL ELSE agency END AS agency, 1998 AS source_year FROM ("
-           "SELECT *, CAST(unique_key AS BIGINT) % 3 AS hash_part FROM raw_landed)"),
+           "SELECT *, CAST(split_part(unique_key, '-', 1) AS BIGINT) % 3 AS hash_part FROM raw_landed)"),
 )
 def raw_files_by_own_header(spark, sf):
     """Three files of one year: columns in order, in reverse, and without one."""
     import warnings
 
-    rows = A.clean_requests(spark, sf).withColumn("part", c("unique_key").cast("bigint") % 3)
+    rows = A.clean_requests(spark, sf).withColumn("part", F.substring_index("unique_key", "-", 1).cast("bigint") % 3)
     root = fresh_path(spark, "files-headers")
     columns = RW.RAW_COLUMNS
     shapes = [columns, columns[::-1], [n for n in columns if n != "agency"]]
@@ -1647,7 +1647,7 @@ _ONCE = "SELECT '{}' AS writes, year, count(*) AS n_rows, count(DISTINCT unique_
 def halves(spark: SparkSession, sf: str) -> list[DataFrame]:
     """The clean requests in two parts by their key."""
     rows = A.clean_requests(spark, sf)
-    return [rows.filter(c("unique_key").cast("bigint") % 2 == n) for n in (0, 1)]
+    return [rows.filter(F.substring_index("unique_key", "-", 1).cast("bigint") % 2 == n) for n in (0, 1)]
 
 
 def new_warehouse(spark: SparkSession, name: str) -> W.Warehouse:
