@@ -29,7 +29,9 @@ MASK = "[SECRET]"
 
 NAMES = r"(?:password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth[_-]?key|credential)"
 KEY_BLOCK = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[\s\S]*?-----END [A-Z ]{0,20}PRIVATE KEY-----"
-ASSIGNED = rf"(?<=(?i:{NAMES})[\"']?\x20?[:=]\x20?[\"']?)[^\s\"'`,;<>]{{6,}}+"
+#: An assignment to a telling name; the sign comes first, so that only signs look back.
+TELLING = rf"[:=](?<=(?i:{NAMES})[\"']?\x20?[:=])"
+ASSIGNED = rf"(?<=[:=\x20\"'])(?<=(?i:{NAMES})[\"']?\x20?[:=]\x20?[\"']?)[^\s\"'`,;<>]{{6,}}+"
 RUN = r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{16,}+={0,2}+"
 
 # fixed values: forms of providers' keys, and words that a dictionary of code and prose would have
@@ -52,7 +54,7 @@ FEATURES = [
 def findings(rows: DataFrame, keep: list[str]) -> DataFrame:
     """The kept columns, `text`, and `found`: every finding of the text with its place and features, in order."""
     text = F.col("text")
-    telling = text.rlike(rf"(?i){NAMES}[\"']?\x20?[:=]")
+    telling = text.rlike(TELLING)
     block = F.contains(text, F.lit("PRIVATE KEY-----"))
     patterns = {
         "plain": (~telling & ~block & text.rlike("[0-9]"), RUN),
@@ -133,11 +135,10 @@ def probability(c: Column, forest) -> Column:
     return reduce(lambda a, b: a + b, map(tree, forest)) / len(forest)
 
 
-def _trained(docs: DataFrame, labelled: DataFrame | None, **settings):
+def _trained(found: DataFrame, labelled: DataFrame | None, **settings):
     if labelled is None:
-        rows = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-        found = findings(rows, []).select(F.explode("found").alias("c"))
-        labelled = found.select("c.*", by_form(F.col("c")).cast("int").alias("label"))
+        each = found.select(F.explode("found").alias("c"))
+        labelled = each.select("c.*", by_form(F.col("c")).cast("int").alias("label"))
     return train(labelled, **settings)
 
 
@@ -147,8 +148,9 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, **settings) -> Data
     Null and empty texts hold nothing; repeated rows are judged each for itself; other columns are not
     looked at; an empty table gives an empty one. `labelled` has the features of `findings` and `label`.
     """
-    forest = _trained(docs, labelled, **settings)
-    found = findings(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), ["doc_id"])
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    found = cut(findings(rows, ["doc_id"]).drop("text"), "secret-findings")  # the texts are scanned once
+    forest = _trained(found, labelled, **settings)
     secrets = F.filter("found", lambda c: probability(c, forest) >= 0.5)
     return found.select("doc_id", F.size("found").cast("bigint").alias("n_findings"), secrets.alias("s")).select(
         "doc_id", "n_findings", F.size("s").cast("bigint").alias("n_secrets"),
@@ -158,7 +160,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, **settings) -> Data
 
 def redact(docs: DataFrame, labelled: DataFrame | None = None, mask: str = MASK, **settings) -> DataFrame:
     """`docs` with every secret replaced by a mask; all rows and columns stay, null texts stay null."""
-    forest = _trained(docs, labelled, **settings)
+    learned = cut(findings(docs.select(F.coalesce("text", F.lit("")).alias("text")), []).select("found"), "secret-findings")
+    forest = _trained(learned, labelled, **settings)
     others = F.struct("doc_id", *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]).alias("_row")
     rows = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.col("text").isNull().alias("_null"), others)
     found = findings(rows, ["_row", "_null"])
