@@ -70,3 +70,34 @@ def op9_decontamination(spark, sf_dir):
 @query
 def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+ORACLE_SQL["op5_top_neighbours"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.e, d.e) AS BIGINT) AS score
+  FROM v q JOIN v d ON d.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+) WHERE rank <= 10"""
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    r" '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+ORACLE_SQL["op9_decontamination"] = f"""
+WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
+starts AS (SELECT item_id, w, least(len(w), 13) AS k, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS win FROM starts),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+places AS (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM docs, (SELECT DISTINCT k FROM windows)),
+found AS (SELECT r, i, k, item_id FROM (SELECT r, i, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS win FROM places) JOIN windows USING (k, win)),
+hit AS (SELECT r, count(DISTINCT word) AS n FROM (SELECT r, unnest(range(i, i + k)) AS word FROM found) GROUP BY r),
+named AS (SELECT r, list_sort(list(DISTINCT item_id)) AS ids FROM found GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(len(ids), 0) AS n_items,
+  sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)"""

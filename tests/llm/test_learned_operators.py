@@ -103,3 +103,16 @@ def test_pipeline_on_an_empty_table(spark):
 
 def test_every_operator_has_its_query():
     assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
+def test_queries_agree_with_their_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
+    got = registry.QUERIES[name](spark, SMALL)
+    want = con.execute(registry.ORACLE_SQL[name])
+    assert [d[0] for d in want.description] == got.columns
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
