@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicmart.llm.columns import BLANK, LOWER, Spans, flat, fold, send, slices, words
+from civicmart.llm.columns import BLANK, LOWER, Spans, flat, fold, sample, send, slices, words
 
 FOLDS, HELD_FOLD = 3, 1
 #: Bound of the labelled training sample.
@@ -136,8 +136,8 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, epochs:
     """
     own = labels.filter((fold("doc_id", FOLDS) != HELD_FOLD) & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     known = own.groupBy("doc_id").agg(F.min("quality").cast("int").alias("y"))
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
-    sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", "y")
+    known = sample(known, labelled, "doc_id")
+    drawn = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", "y")
 
     def run(batches):
         for batch in batches:
@@ -147,7 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, epochs:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), pa.array(held, pa.binary())], names=["doc_id", "y", "x"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    table = sample.mapInArrow(run, f"doc_id {kind}, y int, x binary").toArrow()
+    table = drawn.mapInArrow(run, f"doc_id {kind}, y int, x binary").toArrow()
     if not table.num_rows:
         return Attention(np.zeros(WIDTH, np.float32), np.ones(WIDTH, np.float32))
     table = table.sort_by([("doc_id", "ascending"), ("x", "ascending")])  # the same order on every run

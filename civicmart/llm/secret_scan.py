@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicmart.llm import spans as S
+from civicmart.llm.columns import sample
 from civicmart.session import cut
 
 #: Bound of the labelled sample of either class.
@@ -93,17 +94,18 @@ def by_form(c: Column) -> Column:
     return (c["provider"] == 1) | ((c["named"] == 1) & (c["assigned"] == 1) & (c["reference"] == 0) & (c["in_path"] == 0) & mixed)
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE, trees: int = TREES, depth: int = DEPTH):
-    """The forest's trees from rows of features and `label` (0 or 1), at most `sample` of either class in the order of a hash.
+def train(labelled: DataFrame, bound: int = SAMPLE, trees: int = TREES, depth: int = DEPTH):
+    """The forest's trees from rows of features and `label` (0 or 1), at most `bound` of either class.
 
-    Null labels take no part. With one class only, its share stands for the forest.
+    Findings with the same features and label count once. Null labels take no part. With one class only,
+    its share stands for the forest.
     """
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
     known = labelled.filter("label in (0, 1)").select(*FEATURES, F.col("label").cast("double").alias("label"))
-    order = F.xxhash64(*FEATURES)
-    some = cut(reduce(DataFrame.union, [known.filter(F.col("label") == y).orderBy(order).limit(sample) for y in (0.0, 1.0)]), "secret-sample")
+    known = cut(known.distinct(), "secret-labelled")
+    some = cut(reduce(DataFrame.union, [sample(known.filter(F.col("label") == y), bound, *FEATURES) for y in (0.0, 1.0)]), "secret-sample")
     n, yes = some.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if yes in (0, n):
         return float(yes > 0)

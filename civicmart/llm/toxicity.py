@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicmart.llm.columns import PLAIN, Spans, flat, fold, send, slices, words
+from civicmart.llm.columns import PLAIN, Spans, flat, fold, sample, send, slices, words
 from civicmart.session import cut
 
 FOLDS, HELD_FOLD = 5, 0
@@ -54,7 +54,7 @@ def samples(docs: DataFrame, labels: DataFrame, positives: int, unlabelled: int)
     Null ids and null labels take no part; a document with several labels is positive if one of them says so.
     """
     chosen = fold("doc_id", FOLDS) != HELD_FOLD
-    some = lambda df, n: df.select("doc_id").dropna().distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    some = lambda df, n: sample(df.select("doc_id").dropna().distinct(), n, "doc_id")
     p = some(labels.filter(chosen & (F.col("toxic") == 1)), positives).select("doc_id", F.lit(1).alias("p"), F.lit(0).alias("u"))
     u = some(docs.filter(chosen), unlabelled).select("doc_id", F.lit(0).alias("p"), F.lit(1).alias("u"))
     ids = p.union(u).groupBy("doc_id").agg(F.max("p").alias("p"), F.max("u").alias("u"))
@@ -62,7 +62,7 @@ def samples(docs: DataFrame, labels: DataFrame, positives: int, unlabelled: int)
     return found.groupBy("text").agg(F.max("p").alias("p"), F.max("u").alias("u"))  # copies of a text count once
 
 
-def choose_features(sample: DataFrame, prior: float, features: int, support: float) -> np.ndarray:
+def choose_features(drawn: DataFrame, prior: float, features: int, support: float) -> np.ndarray:
     """The features that positives hold more often than unlabelled text, the clearest ones, sorted."""
 
     def run(batches):
@@ -77,10 +77,10 @@ def choose_features(sample: DataFrame, prior: float, features: int, support: flo
                 counts = [np.bincount(where, part.column(c).to_numpy()[text], len(u)).astype(np.int64) for c in ("p", "u")]
                 yield pa.RecordBatch.from_arrays([pa.array(u), *map(pa.array, counts)], names=["feature", "p", "u"])
 
-    n_p, n_u = sample.agg(F.coalesce(F.sum("p"), F.lit(0)), F.coalesce(F.sum("u"), F.lit(0))).first()
+    n_p, n_u = drawn.agg(F.coalesce(F.sum("p"), F.lit(0)), F.coalesce(F.sum("u"), F.lit(0))).first()
     if not n_p or not n_u:
         return np.empty(0, np.int64)
-    counts = sample.mapInArrow(run, "feature bigint, p bigint, u bigint").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    counts = drawn.mapInArrow(run, "feature bigint, p bigint, u bigint").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
     pooled = (F.col("p") + F.col("u") + 1) / (n_p + n_u + 2)
     distance = F.abs(F.col("p") / n_p - F.col("u") / n_u) / F.sqrt(pooled * (1 - pooled))
     best = counts.filter((F.col("p") >= max(FEWEST, support * n_p)) & (prior * F.col("p") / n_p >= TELLING * F.col("u") / n_u)).orderBy(distance.desc(), "feature").select("feature").limit(features)
@@ -157,8 +157,8 @@ def train(
     own = labels.filter(fold("doc_id", FOLDS) != HELD_FOLD)
     prior = float(own.agg(F.coalesce(F.avg((F.col("toxic") == 1).cast("double")), F.lit(0.0))).first()[0])
     prior = min(max(prior, 1e-3), 0.9)
-    sample = cut(samples(docs, labels, positives, unlabelled), "toxicity-sample")
-    chosen = choose_features(sample, prior, features, support)
+    drawn = cut(samples(docs, labels, positives, unlabelled), "toxicity-sample")
+    chosen = choose_features(drawn, prior, features, support)
     held = send(docs.sparkSession, Held(chosen))
 
     def run(batches):
@@ -170,7 +170,7 @@ def train(
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(at.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column("p"), part.column("u"), lists], names=["p", "u", "held"])
 
-    table = sample.mapInArrow(run, "p int, u int, held array<int>").toArrow()
+    table = drawn.mapInArrow(run, "p int, u int, held array<int>").toArrow()
     lists = table.column("held").combine_chunks() if table.num_rows else pa.array([], pa.list_(pa.int32()))
     x = np.zeros((table.num_rows, len(chosen)), np.float32)
     sizes = np.diff(lists.offsets.to_numpy()) if table.num_rows else np.empty(0, np.int64)
