@@ -1804,3 +1804,46 @@ def streamed_first_of_key(spark, sf):
     )
     kept = spark.read.schema("dedup_key string, event_time timestamp").parquet(out)
     return kept.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("dedup_key").alias("n_keys"))
+
+
+# ---- reports over all years -------------------------------------------------------------------
+
+_REPORTS = {
+    "borough_share": R.borough_share,
+    "requests_by_month": R.requests_by_month,
+    "agency_matrix": R.agency_matrix,
+    "weekend_split": R.weekend_split,
+    "top_complaint_types": lambda rows: R.top_complaint_types(rows, 15),
+    "category_by_month": lambda rows: R.category_by_month(rows, MONTHS),
+}
+
+
+def _over_all_years(name: str) -> Query:
+    """A report without its year slicer, and its twin without the same condition."""
+    sliced = QUERIES[name]
+    assert " WHERE year = 1998" in sliced.sql
+    return Query(
+        lambda spark, sf: shaped(_REPORTS[name](mart(spark, sf)), sliced.columns), sliced.columns, sliced.sql.replace(" WHERE year = 1998", ""),
+    )
+
+
+QUERIES |= {f"{name}_all_years": _over_all_years(name) for name in _REPORTS}
+
+
+@query(
+    "running_totals_by_borough",
+    "full_date:d borough:s total_requests_mtd:i total_requests_ytd:i",
+    O.over(
+        "clean",
+        "SELECT full_date, borough, nullif(mtd, 0) AS total_requests_mtd, ytd AS total_requests_ytd FROM ("
+        " SELECT full_date, borough, sum(n) OVER (PARTITION BY borough, year, month ORDER BY full_date) AS mtd,"
+        " sum(n) OVER (PARTITION BY borough, year ORDER BY full_date) AS ytd FROM ("
+        " SELECT full_date, year, month, borough, coalesce(n, 0) AS n FROM"
+        " (SELECT full_date, year, month, borough FROM dim_date, (SELECT DISTINCT borough FROM mart))"
+        " LEFT JOIN (SELECT CAST(created_date AS DATE) AS full_date, borough, count(*) AS n FROM mart GROUP BY 1, 2)"
+        " USING (full_date, borough))) WHERE ytd > 0",
+    ),
+)
+def running_totals_by_borough(spark, sf):
+    wanted = {"_mtd": ["total_requests"], "_ytd": ["total_requests"]}
+    return M.period_measures(mart(spark, sf), calendar(spark, sf), wanted, ["full_date"], ["borough"])
