@@ -191,6 +191,32 @@ def test_language_model_counts_the_same_wherever_rows_meet(docs):
     assert all(a[d] == pytest.approx(b[d]) for d in a)
 
 
+def test_every_context_has_its_bigrams(docs, texts, monkeypatch):
+    """Scores are those of counts over all contexts, rare ones too, however few words are sent along."""
+    import math
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(interpolation, "SCORED", 300)
+    small = docs.filter("doc_id >= 0 AND doc_id < 60")
+    words = {d: ["\n", *brute.lower(t or "").split(), "\n"] for d, t in texts if d is not None and 0 <= d < 60}
+    training = [w for d, w in words.items() if brute.fold(d, 5) != 1]
+    unigrams, bigrams = Counter(x for w in training for x in w[1:]), Counter(p for w in training for p in zip(w, w[1:], strict=False))
+    total, size = sum(unigrams.values()), len(unigrams)
+    learned = interpolation.train(small.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 1), rounds=5)[0].weights
+
+    def score(a, b):
+        weights = learned[unigrams[a].bit_length()]
+        return math.log10(weights[0] * bigrams[a, b] / max(unigrams[a], 1) + weights[1] * unigrams[b] / total + weights[2] / (size + 1))
+
+    want = {d: sum(score(a, b) for a, b in zip(w, w[1:], strict=False)) for d, w in words.items()}
+    for share in (1, 50, 50_000):
+        got = {r.doc_id: r.score for r in interpolation.scores(small, share=share, rounds=5).collect()}
+        assert got.keys() == want.keys()
+        assert all(got[d] == pytest.approx(want[d]) for d in want), share
+
+
 def test_personal_data(docs, texts):
     got = pii.personal_data(docs).collect()
     by_row = sorted((str(r.doc_id), *r[1:6]) for r in got)
