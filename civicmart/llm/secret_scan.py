@@ -1,7 +1,7 @@
 """Secret scans: a random forest that takes false positives out of pattern findings, with column expressions only.
 
-Findings are long runs of key characters that hold a digit, values assigned to a name that tells of a secret, and private-key
-blocks. Each gets features: length, transitions between kinds of characters, shares of kinds,
+Findings are long runs of key characters that hold a digit (after any sign, as in NAME=value), values assigned to a name
+that tells of a secret, providers' forms, and private-key blocks. Each gets features: length, transitions between kinds of characters, shares of kinds,
 coverage by dictionary words, whether it lies in a path, and neighbouring words. The forest is trained on a
 bounded sample of labelled findings and then evaluated as one column expression inside each row, so
 nothing is exploded or shuffled to scan the corpus.
@@ -33,13 +33,16 @@ KEY_BLOCK = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[\s\S]*?-----END [A-Z ]{0,2
 #: An assignment to a telling name; the sign comes first, so that only signs look back.
 TELLING = rf"[:=](?<=(?i:{NAMES})[\"']?\x20?[:=])"
 ASSIGNED = rf"(?<=[:=\x20\"'])(?<=(?i:{NAMES})[\"']?\x20?[:=]\x20?[\"']?)[^\s\"'`,;<>]{{6,}}+"
-RUN = r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{16,}+={0,2}+"
+RUN = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{16,}+={0,2}+"
 
 # fixed values: forms of providers' keys, and words that a dictionary of code and prose would have
-PROVIDERS = (
-    r"^(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|github_pat_[0-9A-Za-z_]{22,}|glpat-[0-9A-Za-z_-]{20,}|xox[abprs]-[0-9A-Za-z-]{10,}"
-    r"|sk_live_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_-]{35}|eyJ[0-9A-Za-z_-]{10,}|-----BEGIN )"
+FORMS = (
+    r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}+|github_pat_[0-9A-Za-z_]{22,}+|glpat-[0-9A-Za-z_-]{20,}+|xox[abprs]-[0-9A-Za-z-]{10,}+"
+    r"|sk_live_[0-9A-Za-z]{16,}+|AIza[0-9A-Za-z_-]{35}|eyJ[0-9A-Za-z_-]{10,}+"
 )
+#: A provider's form that holds a digit, wherever it begins, and in a finding, where it may follow a sign (as in //ghp_...).
+PROVIDED = rf"(?<![A-Za-z0-9])(?=[A-Za-z_-]*+[0-9])(?:{FORMS})"
+PROVIDERS = rf"{PROVIDED}|^-----BEGIN "
 WORDS = (
     "the and for with that this from have not are was has his her you your all can will one our out use new time name file path user test data "
     "code page text item value index list table order number version build release example sample default public static string class function "
@@ -58,9 +61,9 @@ def findings(rows: DataFrame, keep: list[str]) -> DataFrame:
     telling = text.rlike(TELLING)
     block = F.contains(text, F.lit("PRIVATE KEY-----"))
     patterns = {
-        "plain": (~telling & ~block & text.rlike("[0-9]"), RUN),
-        "telling_found": (telling & ~block, f"{ASSIGNED}|{RUN}"),
-        "block_found": (block, f"{KEY_BLOCK}|{ASSIGNED}|{RUN}"),
+        "plain": (~telling & ~block & text.rlike("[0-9]"), f"{RUN}|{PROVIDED}"),
+        "telling_found": (telling & ~block, f"{ASSIGNED}|{RUN}|{PROVIDED}"),
+        "block_found": (block, f"{KEY_BLOCK}|{ASSIGNED}|{RUN}|{PROVIDED}"),
     }
     placed = S.with_matches(rows, patterns)
     every = F.concat("plain", "telling_found", "block_found")
