@@ -168,16 +168,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def group(marked: DataFrame) -> DataFrame:
-    """`doc_id`, `_fp` and `component_id` for rows of doc_id and `_fp`."""
+    """`doc_id`, `_fp`, `component_id` and `root` (the least fingerprint of the component) for rows of doc_id and `_fp`."""
     fps = cut(marked.groupBy(F.col("_fp").alias("fp")).agg(F.min("doc_id").alias("first")), "simhash-fps")
     roots = components(links(fps.select("fp")))
     linked = fps.join(roots, "fp")
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    placed = linked.join(least, "root").select("fp", "component_id")
+    placed = linked.join(least, "root").select("fp", "component_id", "root")
     owned = fps.join(placed, "fp", "left").select(
-        F.col("fp").alias("_fp"), F.coalesce("component_id", "first").alias("component_id")
+        F.col("fp").alias("_fp"), F.coalesce("component_id", "first").alias("component_id"), F.coalesce("root", "fp").alias("root")
     )
-    return marked.join(owned, "_fp").select("doc_id", "_fp", "component_id")
+    return marked.join(owned, "_fp").select("doc_id", "_fp", "component_id", "root")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -196,8 +196,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """`docs` with one document of each component: the one whose id names it.
 
-    Documents without an id stay, one per fingerprint, if their whole component has none. Of rows that
-    repeat an id, one of those in its own component stays. Other columns stay as they are.
+    A component without any id keeps one of its documents. Of rows that repeat an id, one stays in
+    each component that the id names. Other columns stay as they are.
     """
     marked = cut(with_fingerprints(docs.select("doc_id", "text")).select("doc_id", "_fp"), "simhash-docs")
     found = cut(group(marked), "simhash-groups")
@@ -209,9 +209,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     boxed = docs.join(repeated, same(repeated), "left_semi").select("doc_id", "text", F.struct("doc_id", *[F.col(f"`{c}`") for c in others]).alias("_row"))
-    kept = found.filter(own).select(F.col("doc_id").alias("id"), F.col("_fp").alias("kept_fp")).distinct()
-    left = with_fingerprints(boxed).join(kept, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("_fp") == F.col("kept_fp")), "left_semi")
-    which = [F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.col("_fp")).alias("at")]
-    least = left.groupBy(*which).agg(F.min_by(F.struct("text", "_row"), F.xxhash64("text", "_row")).alias("r"))
+    kept = found.filter(own).select(F.col("doc_id").alias("id"), F.col("_fp").alias("kept_fp"), "root").distinct()
+    left = with_fingerprints(boxed).join(kept, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("_fp") == F.col("kept_fp")))
+    least = left.groupBy("root").agg(F.min_by(F.struct("text", "_row"), F.xxhash64("text", "_row")).alias("r"))
     again = least.select(*[F.col("r.text") if c == "text" else F.col(f"r._row.`{c}`") for c in docs.columns])
     return once.union(again)

@@ -171,6 +171,14 @@ def test_one_document_of_each_group_stays(spark, docs, texts):
     assert own <= set(texts)
 
 
+def test_an_id_on_two_texts_keeps_one_of_each_group(spark):
+    one, two = (" ".join(f"{w}{i}" for i in range(60)) for w in ("alpha", "omega"))
+    assert brute.fingerprint(one) != brute.fingerprint(two)
+    rows = [(5, one), (9, one), (5, two), (8, two), (5, two), (None, f"{one} {two}"), (None, f"{one} {two}")]
+    found = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(map(str, map(tuple, simhash.keep_one(found).collect()))) == sorted(map(str, [(5, one), (5, two), (None, f"{one} {two}")]))
+
+
 def test_language_model(docs, texts):
     want = brute.base_scores(list({d: t for d, t in texts if d != -9}.items()))
     got = interpolation.scores(docs.filter("doc_id IS NULL OR doc_id != -9"), held_out_docs=20, rounds=20).collect()
