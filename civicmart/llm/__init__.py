@@ -4,5 +4,5 @@ import importlib
 
 from pyspark import cloudpickle
 
-for _name in ("columns", "tokens", "quality", "toxicity", "simhash", "topk", "interpolation", "decontamination", "packing"):
+for _name in ("columns", "tokens", "quality", "toxicity", "simhash", "topk", "interpolation", "decontamination", "packing", "lexical", "negatives"):
     cloudpickle.register_pickle_by_value(importlib.import_module(f"{__name__}.{_name}"))
