@@ -28,6 +28,8 @@ BLOCK, ANCHORS, BITS = 256, 2048, 4
 #: Stands for an id that is null; it comes before all others.
 NO_ID = -(2**63)
 MERGE_AT = 1_000_000
+#: One block in so many is read first.
+SEED = 8
 
 
 def sound(vectors: DataFrame, scale: int, relabelled: int = 7, labels: int = 10) -> DataFrame:
@@ -174,39 +176,46 @@ def intervals(v: np.ndarray, low: list[int], high: list[int]) -> tuple[np.ndarra
     return up @ least + down @ most - reach, up @ most + down @ least + reach
 
 
-def anchors_of(blocks: DataFrame, every: int, group: int, keep: int) -> DataFrame:
-    """Anchors in groups of up to `group` along the curve, each with the score that its own block's `keep` best
-    other rows of its label reach (the least number where it has fewer)."""
+def anchors_of(blocks: DataFrame, every: int, keep: int) -> DataFrame:
+    """One row per anchor, with its block and the score that this block's `keep` best other rows of its label
+    reach (the least number where it has fewer)."""
 
     def run(batches):
-        parts: list[tuple] = []
-        n = 0
-
-        def packed():
-            width = max(p[3].shape[1] for p in parts)
-            v = np.concatenate([np.pad(p[3], ((0, 0), (0, width - p[3].shape[1]))) for p in parts])
-            row = [*[np.concatenate([p[i] for p in parts]).tobytes() for i in range(3)], v.tobytes(), np.concatenate([p[4] for p in parts]).tobytes()]
-            return pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in row], names=["rows", "ids", "labels", "vectors", "floors"])
-
         for batch in batches:
             for row in batch.to_pylist():
                 rows, ids, labels, v = whole(row)
                 at = np.flatnonzero((ids % every == 0) & (ids != NO_ID))
-                for some in np.array_split(at, -(-len(at) // group)) if len(at) else ():
-                    score = products(v[some], v)
-                    other = (labels[some][:, None] == labels[None, :]) & (some[:, None] != np.arange(len(ids))[None, :])
-                    score = np.sort(np.where(other, score, NO_ID), axis=1)
-                    floor = score[:, -keep] if score.shape[1] >= keep else np.full(len(some), NO_ID)
-                    if n and n + len(some) > group:
-                        yield packed()
-                        parts, n = [], 0
-                    parts.append((rows[some], ids[some], labels[some], v[some], floor))
-                    n += len(some)
-        if n:
-            yield packed()
-
-    found = blocks.select("rows", "ids", "labels", "vectors").mapInArrow(run, "rows binary, ids binary, labels binary, vectors binary, floors binary")
-    return found.withColumn("number", F.monotonically_increasing_id())
+                if not len(at):
+                    continue
+                other = (labels[at][:, None] == labels[None, :]) & (at[:, None] != np.arange(len(ids))[None, :])
+                score = np.sort(np.where(other, products(v[at], v), NO_ID), axis=1)
+                floor = score[:, -keep] if score.shape[1] >= keep else np.full(len(at), NO_ID)
+                columns = [pa.array(np.full(len(at), row["block"])), *[pa.array(x[at]) for x in (rows, ids, labels)]]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([x.tobytes() for x in v[at]], pa.binary()), pa.array(floor)], names=["block", "row", "id", "label", "v", "floor"])
+
+    held = blocks.select("block", "rows", "ids", "labels", "vectors")
+    return held.mapInArrow(run, "block bigint, row bigint, id bigint, label bigint, v binary, floor bigint")
+
+
+def groups_of(anchors: DataFrame, size: int) -> list[tuple[int, int]]:
+    """First and last block of groups that follow each other on the curve and hold about `size` anchors each,
+    and at most those of one block more."""
+    first, last, n = anchors.agg(F.min("block"), F.max("block"), F.count("*")).first()
+    if not n:
+        return []
+    parts = -(-n // size)
+    marks = anchors.approxQuantile("block", [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 else []
+    ends = sorted({*map(int, marks), last})
+    return list(zip([first, *[e + 1 for e in ends[:-1]]], ends, strict=True))
+
+
+def group_of(rows: list) -> dict:
+    """The anchors of one group as arrays; shorter vectors end in zeros."""
+    vectors = [np.frombuffer(r.v, np.int64) for r in rows]
+    v = np.zeros((len(rows), max(map(len, vectors))), np.int64)
+    for i, one in enumerate(vectors):
+        v[i, : len(one)] = one
+    return {"rows": np.array([r.row for r in rows]), "ids": np.array([r.id for r in rows]), "labels": np.array([r.label for r in rows]), "v": v, "floor": np.array([r.floor for r in rows])}
 
 
 def chosen(blocks: DataFrame, held, needed) -> DataFrame:
@@ -221,8 +230,21 @@ def chosen(blocks: DataFrame, held, needed) -> DataFrame:
     return blocks.select("block", "low", "high", "kinds").mapInArrow(run, "block bigint")
 
 
-def read(blocks: DataFrame, held, needed, matching, keep: int) -> DataFrame:
-    """number, score, id and row of the best `keep` rows a number (an anchor or one of its windows) has in the blocks."""
+def read(blocks: DataFrame, group: dict, needed, matching, keep: int) -> DataFrame:
+    """number, score, id and row of the best `keep` rows a number (an anchor or one of its windows) has in the blocks.
+
+    One in `SEED` blocks is read first; what it holds raises the floors for all.
+    """
+    seed = best_of(blocks.filter(F.pmod(F.xxhash64("block"), F.lit(SEED)) == 0), group, needed, matching, keep)
+    floor = group["floor"].copy()
+    for row in seed.filter(F.col("rank") == keep).select("number", "score").collect():  # one row a number
+        floor[row.number] = max(floor[row.number], row.score)
+    return best_of(blocks, group | {"floor": floor}, needed, matching, keep)
+
+
+def best_of(blocks: DataFrame, group: dict, needed, matching, keep: int) -> DataFrame:
+    """The best of the blocks that the floors of a group leave to be read."""
+    held = send(blocks.sparkSession, group)
     stored = blocks.join(chosen(blocks, held, needed), "block")
 
     def run(batches):
@@ -296,27 +318,26 @@ def hard_negatives(
     spark = vectors.sparkSession
     rows = cut(sound(vectors, scale), "negatives-rows")
     blocks = cut(blocked(on_curve(rows), block), "negatives-blocks")
-    groups = cut(anchors_of(blocks, every, anchors, positives), "negatives-anchors")
+    own = cut(anchors_of(blocks, every, positives), "negatives-anchors")
     out = fresh_path(spark, "negatives-found")
     empty = "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, positive_score bigint, negative_score bigint"
     spark.createDataFrame([], empty).write.parquet(f"{out}/group=-1")
-    for number in [r.number for r in groups.select("number").orderBy("number").collect()]:
-        mined(blocks, groups.filter(F.col("number") == number).first(), positives, negatives, least, most).write.parquet(f"{out}/group={number}")
+    for number, (first, last) in enumerate(groups_of(own, anchors)):
+        group = group_of(own.filter(F.col("block").between(first, last)).collect())  # of bounded size
+        mined(blocks, group, positives, negatives, least, most).write.parquet(f"{out}/group={number}")
     return spark.read.schema(empty).parquet(out).drop("group")
 
 
-def mined(blocks: DataFrame, row, positives: int, negatives: int, least: int, most: int) -> DataFrame:
+def mined(blocks: DataFrame, group: dict, positives: int, negatives: int, least: int, most: int) -> DataFrame:
     """The negatives of one group of anchors, whose size is bounded."""
     spark = blocks.sparkSession
-    held_rows, ids, labels, v = whole(row.asDict())
-    group = {"rows": held_rows, "labels": labels, "v": v, "floor": np.frombuffer(row.floors, np.int64)}
-    near = read(blocks, send(spark, group), needs_positives, matching_positives, positives).orderBy("number", "rank").collect()  # anchors times positives
+    near = read(blocks, group, needs_positives, matching_positives, positives).orderBy("number", "rank").collect()  # anchors times positives
     of, score = np.array([r.number for r in near], np.int64), np.array([r.score for r in near], object)
     low = [-(-least * s // 100) for s in score]
     high = [most * s // 100 for s in score]
     windows = group | {"of": of, "floor": np.array(low, np.int64), "ceiling": np.array(high, np.int64)}
-    found = read(blocks, send(spark, windows), needs_negatives, matching_negatives, negatives)
-    own = [(n, int(ids[r.number]), None if r.id == NO_ID else r.id, r.score) for n, r in enumerate(near)]
+    found = read(blocks, windows, needs_negatives, matching_negatives, negatives)
+    own = [(n, int(group["ids"][r.number]), None if r.id == NO_ID else r.id, r.score) for n, r in enumerate(near)]
     told = spark.createDataFrame(own, "number bigint, anchor_id bigint, positive_id bigint, positive_score bigint")
     negative = F.when(F.col("id") != NO_ID, F.col("id")).alias("negative_id")
     return found.join(told, "number").select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), negative, "positive_score", F.col("score").alias("negative_score"))

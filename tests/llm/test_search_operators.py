@@ -142,6 +142,14 @@ def test_curve_goes_through_every_cell_by_single_steps(dimensions, bits):
     assert (np.abs(np.diff(path, axis=0)).sum(1) == 1).all()
 
 
+def test_groups_hold_every_anchor_once(spark):
+    anchors = spark.range(3000).selectExpr("id * id % 211 AS block")
+    found = negatives.groups_of(anchors, 200)
+    counts = [anchors.filter(F.col("block").between(*g)).count() for g in found]
+    assert sum(counts) == 3000 and max(counts) < 400 and len(found) > 7
+    assert negatives.groups_of(anchors.limit(0), 200) == []
+
+
 def test_intervals_hold_every_product():
     rng = np.random.default_rng(2)
     zone, anchors = rng.integers(-300, 300, (40, 6)), rng.integers(-300, 300, (9, 6))
@@ -154,10 +162,7 @@ def test_a_block_out_of_reach_is_not_read(spark):
     near, far = [(i, [1.0, 0.001 * i], 1 + i % 2) for i in range(64)], [(1000 + i, [-1.0, -0.001 * i], 1 + i % 2) for i in range(64)]
     frame = spark.createDataFrame(near + far, "vec_id bigint, embedding array<double>, label int").coalesce(1)
     blocks = negatives.cut(negatives.blocked(negatives.on_curve(negatives.sound(frame, 256)), 16), "test")
-    row = negatives.cut(negatives.anchors_of(blocks, 100, 10, 5), "test").first()
-    own, ids, labels, v = negatives.whole(row.asDict())
-    mine = ids == 0
-    group = {"rows": own[mine], "labels": labels[mine], "v": v[mine], "floor": np.frombuffer(row.floors, np.int64)[mine]}
+    group = negatives.group_of(negatives.anchors_of(blocks, 100, 5).filter("id = 0").collect())
     picked = negatives.chosen(blocks, lambda: group, negatives.needs_positives).count()
     assert 0 < picked <= blocks.count() / 2
 
