@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -986,14 +987,19 @@ def orphan_rows(spark, sf):
 
 @query(
     "orphan_lines",
-    "l_suppkey:i n_lines:i",
-    "SELECT l_suppkey, count(*) AS n_lines FROM lineitem WHERE l_suppkey NOT IN"
-    " (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) GROUP BY 1",
+    "status:s n_lines:i",
+    O.over(
+        "untidy",
+        "SELECT norm_status AS status, count(*) AS n_lines FROM parsed WHERE NOT EXISTS"
+        " (SELECT 1 FROM fact WHERE upper(trim(fact.unique_key)) = upper(trim(parsed.unique_key))) GROUP BY 1",
+    ),
 )
 def orphan_lines(spark, sf):
-    line, supplier = A.read_tables(spark, sf, "lineitem", "supplier")
-    paid = supplier.filter(c("s_acctbal") > 0).select(c("s_suppkey").alias("l_suppkey"))
-    return V.orphans(line, paid, "l_suppkey").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n_lines"))
+    """Staged requests, repeated and unreadable ones included, whose key never reached the fact."""
+    wh = warehouse(spark, sf, "untidy")
+    lines = FA.parsed(wh.staging).withColumn("key", FT.norm_key(c("unique_key")))
+    kept = wh.fact.select(FT.norm_key(c("unique_key")).alias("key"))
+    return V.orphans(lines, kept, "key").groupBy(c("norm_status").alias("status")).agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 @query(
@@ -1063,12 +1069,13 @@ def required_values(spark, sf):
     "full_date:d next_date:d missing_days:i",
     "SELECT day AS full_date, next_date, datediff('day', day, next_date) - 1 AS missing_days FROM ("
     " SELECT day, lead(day) OVER (ORDER BY day) AS next_date FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders"
-    " WHERE o_orderstatus = 'F' AND o_totalprice > 400000)) WHERE datediff('day', day, next_date) > 1",
+    " UNION SELECT CAST(ts AS DATE) FROM events)) WHERE datediff('day', day, next_date) > 1",
 )
 def calendar_gaps(spark, sf):
-    orders = A.read_tables(spark, sf, "orders")[0]
-    big = orders.filter((c("o_orderstatus") == "F") & (c("o_totalprice") > 400000))
-    return V.calendar_gaps(big.select(F.to_date("o_orderdate").alias("full_date")).distinct())
+    """Days without an order or an event between days that have one."""
+    orders, events = A.read_tables(spark, sf, "orders", "events")
+    days = orders.select(F.to_date("o_orderdate").alias("full_date")).union(events.select(F.to_date("ts")))
+    return V.calendar_gaps(days.distinct())
 
 
 # ---- measures ---------------------------------------------------------------------------------
@@ -1719,17 +1726,51 @@ def ingested_then_loaded(spark, sf):
     return written(wh, "ingested")
 
 
-@query(
-    "cleared_warehouse",
-    "table_name:s total_rows:i",
-    "SELECT unnest(['dim_date', 'dim_agency', 'dim_location', 'dim_complaint_type', 'fact_service_requests']) AS table_name, 0 AS total_rows",
-)
+@query("cleared_warehouse", _WRITES, O.over("clean", _ONCE.format("cleared", 0)))
 def cleared_warehouse(spark, sf):
-    """Clearing a loaded warehouse; what was staged can be loaded again."""
+    """Everything loaded, cleared and loaded again from what is staged."""
     wh = new_warehouse(spark, "cleared")
-    T.load_staging(halves(spark, sf)[0], wh.root, BATCH)
+    T.load_staging(A.clean_requests(spark, sf), wh.root, BATCH)
+    W.run_all(wh, BATCH)
+    left = T.reset_warehouse(spark, wh.root, reset_flag=True)
+    assert not any(r.total_rows for r in left.collect())  # one row per table
+    W.run_all(wh, BATCH)
+    return written(wh, "cleared")
+
+
+def by_agency(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """The clean requests in two parts that share no agency."""
+    rows = A.clean_requests(spark, sf)
+    return [rows.filter(F.crc32("agency") % 2 == n) for n in (0, 1)]
+
+
+@query("landed_during_load", _WRITES, O.over("clean", _ONCE.format("landed", 0)))
+def landed_during_load(spark, sf):
+    """Requests of agencies that no dimension knows land after the dimensions and before the fact."""
+    wh = new_warehouse(spark, "landed")
+    first, second = by_agency(spark, sf)
+    T.load_staging(first, wh.root, BATCH)
+    for number, name in enumerate(W.STEPS[:-1]):
+        W.LOADERS[name](wh, number, BATCH)
+    T.load_staging(second, wh.root, BATCH, refresh=False)
+    W.load_fact(wh, len(W.STEPS), BATCH)
+    W.run_all(wh, BATCH)
+    return written(wh, "landed")
+
+
+@query("two_loads_at_once", _WRITES, O.over("clean", _ONCE.format("at once", 0)))
+def two_loads_at_once(spark, sf):
+    """Two loads started together on the same pending rows, with a landing beside them."""
+    wh = new_warehouse(spark, "at-once")
+    first, second = by_agency(spark, sf)
+    T.load_staging(first, wh.root, BATCH)
+    with ThreadPoolExecutor(3) as pool:
+        started = [pool.submit(W.run_all, wh, BATCH) for _ in range(2)]
+        started.append(pool.submit(T.load_staging, second, wh.root, BATCH, False))
+        for one in started:
+            one.result()
     W.run_all(wh, BATCH)
-    return T.reset_warehouse(spark, wh.root, reset_flag=True)
+    return written(wh, "at once")
 
 
 # ---- files that arrive over time --------------------------------------------------------------

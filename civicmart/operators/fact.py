@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +29,8 @@ KEEP_ORDER = [
     "created", "closed", "raw_status", "raw_agency", "raw_borough", "raw_zip", "raw_complaint",
     "raw_descriptor", "raw_latitude", "raw_longitude", "raw_board", "load_id", "stg_row_id",
 ]
-# The fact's keys are stored in this many buckets of their hash.
-BUCKETS = 64
+# Stored keys lie in 2^depth buckets of their hash; a set of keys that outgrows this many per bucket is dealt out anew.
+KEYS_PER_BUCKET = 1 << 20
 # Messages of the two checks of repeats.
 REPEAT_MESSAGES = {
     "DUPLICATE_UNIQUE_KEY": "unique_key already exists in fact_service_requests — skipped",
@@ -152,24 +154,39 @@ def tag_rows(staged: DataFrame, dims: dict[str, DataFrame], settings: Settings)
     )
 
 
-def key_bucket(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+class StoredKeys(NamedTuple):
+    """The fact's normalised keys (dedup_key, bucket) and the number of bits of their hash that a bucket stands for."""
+
+    rows: DataFrame
+    depth: int
+
+
+def key_bucket(key: Column, depth: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(1 << depth)).cast("int")
+
+
+def key_depth(keys: int) -> int:
+    """The least depth at which buckets hold no more than `KEYS_PER_BUCKET` keys on average."""
+    return max(0, -(-keys // KEYS_PER_BUCKET) - 1).bit_length()
 
 
 def key_counts(keyed: DataFrame) -> DataFrame:
     """Rows per key. Each task first counts its own rows, so a crowded key costs one row per task."""
-    counts = keyed.groupBy("dedup_key").agg(F.count(F.lit(1)).alias("copies"))
-    return counts.withColumn("bucket", key_bucket(F.col("dedup_key")))
+    return keyed.groupBy("dedup_key").agg(F.count(F.lit(1)).alias("copies"))
 
 
-def known_keys(counts: DataFrame, keys: DataFrame) -> DataFrame:
-    """Keys of the batch that the fact has. Of the stored keys only the buckets of the batch are read."""
-    buckets = [r[0] for r in counts.select("bucket").distinct().collect()]  # at most BUCKETS
-    near = keys.filter(F.col("bucket").isin(buckets)).select("dedup_key")
+def known_keys(counts: DataFrame, keys: StoredKeys) -> DataFrame:
+    """Keys of the batch that the fact has.
+
+    Of the stored keys only the buckets of the batch are read. A bucket has a bounded size whatever the history
+    holds, so a small batch reads as much of a long history as of a short one.
+    """
+    buckets = [r[0] for r in counts.select(key_bucket(F.col("dedup_key"), keys.depth)).distinct().collect()]  # at most 2^depth
+    near = keys.rows.filter(F.col("bucket").isin(buckets)).select("dedup_key")
     return near.join(counts.select("dedup_key"), "dedup_key", "left_semi").distinct()
 
 
-def repeated_keys(counts: DataFrame, keys: DataFrame) -> DataFrame:
+def repeated_keys(counts: DataFrame, keys: StoredKeys) -> DataFrame:
     """Keys that need a decision: in the fact already, or more than once in the batch."""
     known = known_keys(counts, keys).withColumn("_loaded", F.lit(True))
     is_loaded = F.col("_loaded").isNotNull()
@@ -192,12 +209,12 @@ def verdicts(met: DataFrame) -> DataFrame:
     return mark(met.filter("is_loaded"), "DUPLICATE_UNIQUE_KEY").unionByName(mark(beaten, "DUPLICATE_IN_BATCH"))
 
 
-def resolve(staged: DataFrame, dims: dict[str, DataFrame], keys: DataFrame, settings: Settings) -> DataFrame:
+def resolve(staged: DataFrame, dims: dict[str, DataFrame], keys: StoredKeys, settings: Settings) -> DataFrame:
     """All staged rows, each with its final verdict in `error_type` (NULL: goes to the fact).
 
-    `keys` are the fact's keys with their buckets, from before the load. Decisions are made on narrow rows of the
-    repeated keys and come back to the full rows by row identity, which no two rows share. The
-    result is stored once, since both the fact and the error log are made from it.
+    `keys` are the fact's keys from before the load. The checked rows are stored once. Decisions are made on narrow
+    rows of the repeated keys; they come back to the full rows by row identity, which no two rows share, wherever
+    the result is read: a join with that narrow frame is cheaper than a second copy of the rows.
     """
     checked = cut(tag_rows(staged, dims, settings), "checked")
     candidates, _ = split_by_tag(checked)
@@ -215,7 +232,7 @@ def resolve(staged: DataFrame, dims: dict[str, DataFrame], keys: DataFrame, sett
             "raw_status": F.when(mark.isNotNull(), F.col("status")).otherwise(F.col("raw_status")),
         }
     )
-    return cut(judged.drop("mark"), "judged")
+    return judged.drop("mark")
 
 
 def fact_rows(accepted: DataFrame, batch_id: int) -> DataFrame:
@@ -260,7 +277,7 @@ def stage_counts(resolved: DataFrame) -> DataFrame:
     return resolved.groupBy(tag.alias("outcome")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def loose_fact_rows(staged: DataFrame, dims: dict[str, DataFrame], keys: DataFrame) -> DataFrame:
+def loose_fact_rows(staged: DataFrame, dims: dict[str, DataFrame], keys: StoredKeys) -> DataFrame:
     """The older one-pass load: inner joins by coordinates, guards, no error log, one row per key.
 
     Rows that miss a guard or a dimension are left out without a reason, and so are keys the fact
@@ -303,12 +320,16 @@ def loose_fact_rows(staged: DataFrame, dims: dict[str, DataFrame], keys: DataFra
         parse_ts(F.col("closed_date")).alias("closed_date"),
         F.trim(F.coalesce(F.col("status"), F.lit("Unknown"))).alias("status"),
     )
-    fresh = cut(rows.join(keys.select("dedup_key"), "dedup_key", "left_anti"), "loose")
+    matched = cut(rows, "loose")
+    known = known_keys(key_counts(matched), keys)
+    fresh = matched.join(known, "dedup_key", "left_anti")
+    # Decided on what orders the rows and tells them apart; a row may have matched several positions.
     order = ["created_date", "closed_date", "status", "load_id", "stg_row_id"]
     place = (-F.col("location_key")).alias("_place")
-    columns = [c for c in fresh.columns if c not in ("dedup_key", "load_id", "stg_row_id")]
-    best = fresh.groupBy("dedup_key").agg(F.max(F.struct(*order, place, F.struct(*columns).alias("row"))).alias("b"))
-    return best.select("b.row.*")
+    best = fresh.groupBy("dedup_key").agg(F.max(F.struct(*order, place)).alias("b"))
+    kept = best.select(F.col("b.load_id").alias("load_id"), F.col("b.stg_row_id").alias("stg_row_id"), (-F.col("b._place")).alias("location_key"))
+    identity = ["load_id", "stg_row_id", "location_key"]
+    return matched.join(kept, identity, "left_semi").drop("dedup_key", "load_id", "stg_row_id")
 
 
 LEGACY_PLACE = ["borough", "community_board", "zip_code", "city", "latitude", "longitude"]

@@ -5,10 +5,13 @@ from __future__ import annotations
 import getpass
 import platform
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from contextlib import contextmanager
+from contextvars import copy_context
+from dataclasses import dataclass, field, replace
 from datetime import date, datetime, timezone
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,15 +24,18 @@ from civicmart.operators import dims as D
 from civicmart.operators import fact as FA
 from civicmart.operators.joins import already_loaded
 from civicmart.operators.sets import split_by_tag
-from civicmart.session import cut, scratch
+from civicmart.session import cut, drop_path, scratch
+from civicmart.sources.lease import Lease
 from civicmart.sources.tables import (
     DIMENSIONS,
     FACT,
     SCHEMAS,
+    WAIT,
     create_tables,
-    read_pending,
+    pending_loads,
     read_staging,
     read_table,
+    rows_of_loads,
     save_batch,
     save_table,
 )
@@ -40,11 +46,16 @@ STEPS = ["dim_date", "dim_agency", "dim_location", "dim_complaint_type", "fact_s
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Tables below one root folder, loaded and read with one set of rules."""
+    """Tables below one root folder, loaded and read with one set of rules.
+
+    Inside a run `lease` is its right to write, and `loads` the staged loads that all its steps read.
+    """
 
     spark: SparkSession
     root: str
     settings: Settings = field(default_factory=Settings)
+    lease: Lease | None = None
+    loads: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         df = read_table(self.spark, self.root, name)
@@ -58,10 +69,12 @@ class Warehouse:
         return self.table(FACT)
 
     @property
-    def fact_keys(self) -> DataFrame:
-        """Normalised keys of the requests in the fact, with their bucket, from the table kept beside it."""
+    def fact_keys(self) -> FA.StoredKeys:
+        """Normalised keys of the requests in the fact, from the table kept beside it."""
         done = self.table("fact_loads").filter("state = 'DONE'").select("log_id").distinct()
-        return self.table("fact_keys").join(done, "log_id", "left_semi").select("dedup_key", "bucket")
+        number, depth = key_set(self)
+        rows = self.table("fact_keys").filter(F.col("key_set") == number)
+        return FA.StoredKeys(rows.join(done, "log_id", "left_semi").select("dedup_key", "bucket"), depth)
 
     @property
     def staging(self) -> DataFrame:
@@ -69,7 +82,12 @@ class Warehouse:
 
     @property
     def pending(self) -> DataFrame:
-        return read_pending(self.spark, self.root)
+        """Staged rows that the run, or else the next one, has to load."""
+        return rows_of_loads(self.spark, self.root, self.pending_loads)
+
+    @property
+    def pending_loads(self) -> DataFrame:
+        return self.loads if self.loads is not None else pending_loads(self.spark, self.root)
 
 
 def create_warehouse(spark: SparkSession, root: str, settings: Settings | None = None) -> Warehouse:
@@ -78,6 +96,35 @@ def create_warehouse(spark: SparkSession, root: str, settings: Settings | None =
     return Warehouse(spark, root, settings or Settings())
 
 
+@contextmanager
+def exclusive(wh: Warehouse, wait: float = WAIT) -> Iterator[Warehouse]:
+    """The warehouse with the right to write to it. A run that has it passes it on; any other waits for its turn."""
+    if wh.lease:
+        yield wh
+        return
+    lease = Lease(wh.spark, wh.root).take(wait)
+    try:
+        yield replace(wh, lease=lease)
+    finally:
+        lease.release()
+
+
+def alone(step: Callable[..., StepCounts]) -> Callable[..., StepCounts]:
+    """A step that writes: under the lease, on loads that are fixed before it reads anything."""
+
+    @wraps(step)
+    def run(wh: Warehouse, *args, **kwargs) -> StepCounts:
+        with exclusive(wh) as own:
+            return step(with_loads(own), *args, **kwargs)
+
+    return run
+
+
+def with_loads(wh: Warehouse) -> Warehouse:
+    """The warehouse with the loads that are pending now. What lands later is left to the next run."""
+    return wh if wh.loads is not None else replace(wh, loads=cut(wh.pending_loads, "loads"))
+
+
 @dataclass
 class StepCounts:
     read: int = 0
@@ -119,6 +166,7 @@ def logged_step(wh: Warehouse, batch_id: int, name: str, fn: Callable[[int], Ste
     return counts
 
 
+@alone
 def load_dim_date(wh: Warehouse, log_id: int, batch_id: int) -> StepCounts:
     existing = wh.table("dim_date")
     before = existing.count()
@@ -129,7 +177,9 @@ def load_dim_date(wh: Warehouse, log_id: int, batch_id: int) -> StepCounts:
 def _save_members(wh: Warehouse, name: str, key: str, fresh: DataFrame, order: list[str]) -> int:
     """Number the new members, append them, and count what the table gained."""
     before, last = D.rows_and_max_key(wh.table(name), key)
-    save_table(D.assign_keys(fresh, key, order, last), wh.root, name)
+    numbered = D.assign_keys(fresh, key, order, last)
+    wh.lease.check()
+    save_table(numbered, wh.root, name)
     return wh.table(name).count() - before
 
 
@@ -139,6 +189,7 @@ def _log_errors(wh: Warehouse, rejects: DataFrame, log_id: int, batch_id: int, s
     return wh.table("etl_errors").filter(F.col("log_id") == log_id).count()
 
 
+@alone
 def load_dim_agency(wh: Warehouse, log_id: int, batch_id: int) -> StepCounts:
     pending, existing = wh.pending, wh.table("dim_agency")
     staged = cut(D.staged_agencies(pending), "agencies")
@@ -147,9 +198,11 @@ def load_dim_agency(wh: Warehouse, log_id: int, batch_id: int) -> StepCounts:
     fresh = D.new_agencies(staged, wh.settings, existing)
     added = _save_members(wh, "dim_agency", "agency_key", fresh, ["agency_code"])
     rejected = _log_errors(wh, D.agency_rejects(pending), log_id, batch_id, "dim_agency")
+    _covered(wh, log_id, "dim_agency")
     return StepCounts(read, added, rejected, skipped)
 
 
+@alone
 def load_dim_location(wh: Warehouse, log_id: int, batch_id: int) -> StepCounts:
     grouped = D.staged_locations(wh.pending, wh.settings)
     tagged = cut(grouped.withColumn("error_type", D.location_error(wh.settings)), "locations")
@@ -160,9 +213,11 @@ def load_dim_location(wh: Warehouse, log_id: int, batch_id: int) -> StepCounts:
     added = _save_members(wh, "dim_location", "location_key", fresh, order)
     rejects = D.location_rejects(failed.drop("error_type"), wh.settings)
     rejected = _log_errors(wh, rejects, log_id, batch_id, "dim_location")
+    _covered(wh, log_id, "dim_location")
     return StepCounts(read, added, rejected, read - added - rejected)
 
 
+@alone
 def load_dim_complaint_type(wh: Warehouse, log_id: int, batch_id: int) -> StepCounts:
     pending, existing = wh.pending, wh.table("dim_complaint_type")
     staged = cut(D.staged_complaints(pending), "complaints")
@@ -171,19 +226,34 @@ def load_dim_complaint_type(wh: Warehouse, log_id: int, batch_id: int) -> StepCo
     order = ["complaint_type", "descriptor"]
     added = _save_members(wh, "dim_complaint_type", "complaint_key", fresh, order)
     rejected = _log_errors(wh, D.complaint_rejects(pending), log_id, batch_id, "dim_complaint_type")
+    _covered(wh, log_id, "dim_complaint_type")
     return StepCounts(read, added, rejected, read - added)
 
 
+def _covered(wh: Warehouse, log_id: int, step: str) -> None:
+    """Notes which loads a dimension has taken in."""
+    rows = wh.loads.select("load_id", F.lit(step).alias("step_name"), F.lit(None).cast("string").alias("mark"))
+    save_batch(rows.coalesce(1), wh.root, "dim_loads", "mark", f"{log_id}-{step}")
+
+
+def covered_loads(wh: Warehouse) -> DataFrame:
+    """Pending loads that all three dimensions have taken in. Others wait: their rows might miss a member."""
+    steps = wh.table("dim_loads").join(wh.pending_loads, "load_id", "left_semi")
+    whole = steps.groupBy("load_id").agg(F.countDistinct("step_name").alias("n")).filter(F.col("n") == len(DIMENSIONS) - 1)
+    return wh.pending_loads.join(whole, "load_id", "left_semi")
+
+
+@alone
 def load_fact(wh: Warehouse, log_id: int, batch_id: int, strict: bool = True) -> StepCounts:
     """Validate, match, deduplicate and insert all pending rows; log every rejected row.
 
-    Rows already in the fact count both as skipped and as rejected. If the job dies after the
-    insert, the next run finds the keys in the fact and adds nothing twice. `strict=False` is
-    the older load, which leaves rows out without logging them; they count as rejected.
+    Rows of loads that a dimension has not read yet are left to the next run. Rows already in the fact count both
+    as skipped and as rejected. If the job dies after the insert, the next run finds the keys in the fact and adds
+    nothing twice. `strict=False` is the older load, which leaves rows out without logging them; they count as rejected.
     """
     settle_keys(wh, log_id)
-    done = cut(wh.pending.select("load_id", "stg_batch_id", F.lit(log_id).alias("log_id")).distinct(), "loads")
-    pending = wh.staging.join(done.select("load_id"), "load_id", "left_semi")
+    done = cut(covered_loads(wh).withColumn("log_id", F.lit(log_id)), "loads")
+    pending = rows_of_loads(wh.spark, wh.root, done)
     if strict:
         resolved = FA.resolve(pending, wh.dims(*DIMENSIONS[1:]), wh.fact_keys, wh.settings)
         accepted, rejected = split_by_tag(resolved)
@@ -200,26 +270,60 @@ def load_fact(wh: Warehouse, log_id: int, batch_id: int, strict: bool = True) ->
         accepted = loose.withColumnsRenamed({"created_date": "created", "closed_date": "closed"})
         read, inserted, found = pending.count(), loose.count(), {}
         left_out = read - inserted
+    wh.lease.check()
     if inserted:
         keys = accepted.select(norm_key(F.col("unique_key")).alias("dedup_key"), F.lit(log_id).alias("log_id"))
         _save_keys(wh, keys, log_id)
+        wh.lease.check()
         save_table(FA.fact_rows(accepted, batch_id), wh.root, FACT)
         _mark(wh, log_id, "DONE")
     if strict and left_out:
         _log_errors(wh, rejected, log_id, batch_id, FACT)
-    save_table(done.coalesce(1), wh.root, "processed_loads")
+    save_batch(done.coalesce(1), wh.root, "processed_loads", "log_id", log_id)
+    if inserted:
+        spread_keys(wh)
     return StepCounts(read, inserted, left_out, found.get("DUPLICATE_UNIQUE_KEY", 0))
 
 
 def _mark(wh: Warehouse, log_id: int, state: str) -> None:
     """One more state of a load of the fact: KEYS written, rows DONE as well, or DROPPED."""
-    save_table(wh.spark.createDataFrame([(log_id, state)], SCHEMAS["fact_loads"]).coalesce(1), wh.root, "fact_loads")
+    row = wh.spark.createDataFrame([(log_id, state, None)], SCHEMAS["fact_loads"])
+    save_batch(row.coalesce(1), wh.root, "fact_loads", "mark", f"{log_id}-{state}")
+
+
+def key_set(wh: Warehouse) -> tuple[int, int]:
+    """Number and depth of the set of keys in use."""
+    last = wh.table("key_sets").agg(F.max(F.struct("key_set", "depth")).alias("s")).first().s
+    return (last.key_set, last.depth) if last else (0, 0)
 
 
 def _save_keys(wh: Warehouse, keys: DataFrame, log_id: int) -> None:
     """Keys are marked before and written before the rows they stand for."""
     _mark(wh, log_id, "KEYS")
-    save_table(keys.withColumn("bucket", FA.key_bucket(F.col("dedup_key"))), wh.root, "fact_keys")
+    number, depth = key_set(wh)
+    save_table(keys.withColumns({"key_set": F.lit(number), "bucket": FA.key_bucket(F.col("dedup_key"), depth)}), wh.root, "fact_keys")
+
+
+def spread_keys(wh: Warehouse, always: bool = False) -> bool:
+    """Deals the keys out into more buckets once they hold too many; `always` also to join their files.
+
+    The new set is written whole and then named; until then the old one counts. Every key is
+    written anew as often as the table doubles, so this costs about one more write of each.
+    """
+    number, depth = key_set(wh)
+    done = wh.table("fact_loads").filter("state = 'DONE'").select("log_id").distinct()
+    held = wh.table("fact_keys").filter(F.col("key_set") == number).join(done, "log_id", "left_semi")
+    wanted = max(depth, FA.key_depth(held.count()))
+    if wanted == depth and not always:
+        return False
+    fresh = held.select("dedup_key", F.lit(0).cast("bigint").alias("log_id"), FA.key_bucket(F.col("dedup_key"), wanted).alias("bucket"))
+    wh.lease.check()
+    fresh.hint("rebalance", "bucket").sortWithinPartitions("bucket", "dedup_key").write.mode("overwrite").partitionBy("bucket").parquet(f"{wh.root}/fact_keys/key_set={number + 1}")
+    _mark(wh, 0, "DONE")
+    row = wh.spark.createDataFrame([(number + 1, wanted)], SCHEMAS["key_sets"])
+    save_batch(row.coalesce(1), wh.root, "key_sets", "key_set", number + 1)
+    drop_path(wh.spark, f"{wh.root}/fact_keys/key_set={number}")
+    return True
 
 
 def settle_keys(wh: Warehouse, log_id: int) -> None:
@@ -251,16 +355,21 @@ LOADERS = {
 }
 
 
-def run_all(wh: Warehouse, batch_id: int | None = None) -> dict[str, StepCounts]:
-    """All five steps. The dimensions do not depend on each other and load side by side; the
-    fact follows when all of them are done. A failed step is logged and stops the run."""
+def run_all(wh: Warehouse, batch_id: int | None = None, wait: float = WAIT) -> dict[str, StepCounts]:
+    """All five steps, on the loads that are pending when it begins.
+
+    The dimensions do not depend on each other and load side by side; the fact follows when all of them are done.
+    A failed step is logged and stops the run. One run at a time: another one waits, up to `wait` seconds.
+    """
     batch = today_batch() if batch_id is None else batch_id
+    with scratch(wh.spark), exclusive(wh, wait) as own, ThreadPoolExecutor(len(STEPS) - 1) as pool:
+        own = with_loads(own)
 
-    def run(name: str) -> StepCounts:
-        return logged_step(wh, batch, name, lambda log_id: LOADERS[name](wh, log_id, batch))
+        def run(name: str) -> StepCounts:
+            return logged_step(own, batch, name, lambda log_id: LOADERS[name](own, log_id, batch))
 
-    with scratch(wh.spark), ThreadPoolExecutor(len(STEPS) - 1) as pool:
-        started = {name: pool.submit(run, name) for name in STEPS[:-1]}
+        # Each thread gets the context, and with it the scratch folder, of this run.
+        started = {name: pool.submit(copy_context().run, run, name) for name in STEPS[:-1]}
         counts = {name: done.result() for name, done in started.items()}
         return counts | {STEPS[-1]: run(STEPS[-1])}
 

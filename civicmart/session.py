@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHOSEN: dict[str, str] = {}
-_RUNS: dict[str, list] = {}
-_LOCK = threading.Lock()
+#: The folder of the run that this thread belongs to. A run hands its context to threads of its own.
+_RUN: ContextVar[str | None] = ContextVar("civicmart_run", default=None)
 
 
 def get_session(app: str = "civicmart", master: str | None = None, **conf: object) -> SparkSession:
@@ -50,35 +50,32 @@ def work_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the work folder (in the run's own one inside `scratch`) that no other run uses."""
-    run = _RUNS.get(_key(spark))
-    return f"{run[0] if run else work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def _key(spark: SparkSession) -> str:
-    return spark.sparkContext.applicationId
+    return f"{_RUN.get() or work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """One folder for all frames that a run cuts; it is dropped when the last run using it ends.
+    """One folder for all frames that a run cuts in this thread, or in threads that run in its context; it is
+    dropped at the run's end. A run inside a run uses the outer one's.
 
-    Nothing that leaves the run may still read from it.
+    Nothing that leaves the run may still read from it. Frames that other threads cut meanwhile lie elsewhere.
     """
-    key = _key(spark)
-    with _LOCK:
-        run = _RUNS.setdefault(key, [f"{work_dir(spark)}/run-{uuid.uuid4().hex[:12]}", 0])
-        run[1] += 1
+    if _RUN.get():
+        yield
+        return
+    folder = f"{work_dir(spark)}/run-{uuid.uuid4().hex[:12]}"
+    token = _RUN.set(folder)
     try:
         yield
     finally:
-        with _LOCK:
-            run[1] -= 1
-            ended = not run[1]
-            if ended:
-                del _RUNS[key]
-        if ended:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run[0])
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _RUN.reset(token)
+        drop_path(spark, folder)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder and what is in it, wherever Spark can reach it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:

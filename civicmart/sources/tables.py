@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civicmart.sources.lease import Lease
 from civicmart.sources.raw import RAW_COLUMNS, select_known, with_audit
 
+#: Seconds that a writer waits for another one to end.
+WAIT = 3600.0
+
 _ERROR_TEXT = ", ".join(
     f"{c} string"
     for c in [
@@ -22,7 +26,9 @@ SCHEMAS = {
     "raw_requests": ", ".join(f"{c} string" for c in RAW_COLUMNS)
     + ", source_year int, stg_load_date timestamp, stg_error_message string, stg_row_id bigint,"
     " stg_batch_id bigint, load_id string",
+    "staged_loads": "load_id string, stg_batch_id bigint",
     "processed_loads": "load_id string, stg_batch_id bigint, log_id bigint",
+    "dim_loads": "load_id string, step_name string, mark string",
     "dim_date": "date_key int, full_date date, year int, quarter int, quarter_name string, month int,"
     " month_name string, month_short string, week_of_year int, day_of_month int, day_of_week int,"
     " day_name string, is_weekend boolean, is_holiday boolean",
@@ -34,8 +40,9 @@ SCHEMAS = {
     "fact_service_requests": "request_key bigint, unique_key string, date_key int, agency_key int,"
     " location_key int, complaint_key int, created_date timestamp_ntz, closed_date timestamp_ntz,"
     " status string, resolution_days int, dw_created_date timestamp, dw_batch_id bigint, year int",
-    "fact_keys": "dedup_key string, log_id bigint, bucket int",
-    "fact_loads": "log_id bigint, state string",
+    "fact_keys": "dedup_key string, log_id bigint, key_set int, bucket int",
+    "key_sets": "key_set int, depth int",
+    "fact_loads": "log_id bigint, state string, mark string",
     "legacy_location": "location_key int, borough string, community_board string, zip_code string, city string,"
     " latitude decimal(9,6), longitude decimal(9,6)",
     "etl_log": "log_id bigint, batch_id bigint, step_name string, step_number int, status string,"
@@ -49,7 +56,11 @@ SCHEMAS = {
 DIMENSIONS = ["dim_date", "dim_agency", "dim_location", "dim_complaint_type"]
 FACT = "fact_service_requests"
 STAGING = "raw_requests"
-PARTITIONS = {FACT: ["year"], "fact_keys": ["bucket"], STAGING: ["load_id"], "etl_log": ["log_id"], "etl_errors": ["log_id"]}
+#: Every writer of the small tables has a partition of its own.
+PARTITIONS = {
+    FACT: ["year"], "fact_keys": ["key_set", "bucket"], STAGING: ["load_id"], "etl_log": ["log_id"], "etl_errors": ["log_id"], "staged_loads": ["load_id"],
+    "processed_loads": ["log_id"], "dim_loads": ["mark"], "fact_loads": ["mark"], "key_sets": ["key_set"],
+}
 
 
 def create_tables(spark: SparkSession, root: str) -> None:
@@ -96,12 +107,23 @@ def save_batch(df: DataFrame, root: str, name: str, by: str, value: int | str) -
     rows.write.mode("overwrite").parquet(f"{root}/{name}/{by}={value}")
 
 
-def load_staging(df: DataFrame, root: str, batch_id: int, refresh: bool = True) -> dict[str, int]:
+def load_staging(df: DataFrame, root: str, batch_id: int, refresh: bool = True, wait: float = WAIT) -> dict[str, int]:
     """Write request rows to staging under a load id of their own and reconcile: rows that landed against rows read.
 
     `refresh` clears what was staged before, as one overwrite; otherwise the rows are added. Either
-    way they are unread, whatever their batch number.
+    way they are unread, whatever their batch number. A load sees them once they have all landed; a refresh waits
+    for a load that is running, up to `wait` seconds.
     """
+    if refresh:
+        lease = Lease(df.sparkSession, root).take(wait)
+        try:
+            return _staged(df, root, batch_id, True)
+        finally:
+            lease.release()
+    return _staged(df, root, batch_id, False)
+
+
+def _staged(df: DataFrame, root: str, batch_id: int, refresh: bool) -> dict[str, int]:
     load_id = uuid.uuid4().hex
     spark = df.sparkSession
     known = select_known(df)
@@ -115,9 +137,18 @@ def load_staging(df: DataFrame, root: str, batch_id: int, refresh: bool = True)
     read = counted.get["n"] if landed else known.count()
     if landed != read:
         raise RuntimeError(f"{landed} rows of batch {batch_id} landed, {read} were read")
+    if refresh:
+        _write_empty(spark, root, "staged_loads", "overwrite")
+    publish_load(spark, root, load_id, batch_id)
     return {"rows_read": read, "rows_landed": landed}
 
 
+def publish_load(spark: SparkSession, root: str, load_id: str, batch_id: int) -> None:
+    """Lets loads see what has landed under a load id. Until then its rows are not pending, so no load takes a part."""
+    row = spark.createDataFrame([(load_id, batch_id)], SCHEMAS["staged_loads"])
+    save_batch(row.coalesce(1), root, "staged_loads", "load_id", load_id)
+
+
 def read_staging(spark: SparkSession, root: str) -> DataFrame:
     """Staged rows with the processed flag.
 
@@ -129,19 +160,30 @@ def read_staging(spark: SparkSession, root: str) -> DataFrame:
     return rows.withColumn("stg_is_processed", F.col("_done").isNotNull()).drop("_done")
 
 
-def read_pending(spark: SparkSession, root: str) -> DataFrame:
-    """Staged rows of loads that are not marked as processed."""
+def pending_loads(spark: SparkSession, root: str) -> DataFrame:
+    """Loads that have landed whole and are not marked as processed: load_id and stg_batch_id."""
     done = read_table(spark, root, "processed_loads").select("load_id")
-    return read_table(spark, root, STAGING).join(done, "load_id", "left_anti").withColumn("stg_is_processed", F.lit(False))
+    return read_table(spark, root, "staged_loads").join(done, "load_id", "left_anti")
+
+
+def rows_of_loads(spark: SparkSession, root: str, loads: DataFrame) -> DataFrame:
+    """Staged rows of the given loads."""
+    rows = read_table(spark, root, STAGING).join(loads.select("load_id"), "load_id", "left_semi")
+    return rows.withColumn("stg_is_processed", F.lit(False))
 
 
-def reset_warehouse(spark: SparkSession, root: str, reset_flag: bool = False, clear_log: bool = False) -> DataFrame:
-    """Empty the fact, then the dimensions; on request also the flag and the audit tables."""
-    names = [FACT, "fact_keys", "fact_loads", "legacy_location", *DIMENSIONS]
+def reset_warehouse(spark: SparkSession, root: str, reset_flag: bool = False, clear_log: bool = False, wait: float = WAIT) -> DataFrame:
+    """Empty the fact, then the dimensions; on request also the flag and the audit tables. A load that runs is
+    waited for, up to `wait` seconds."""
+    names = [FACT, "fact_keys", "key_sets", "fact_loads", "legacy_location", *DIMENSIONS, "dim_loads"]
     names += ["processed_loads"] if reset_flag else []
     names += ["etl_errors", "etl_log"] if clear_log else []
-    for name in names:
-        _write_empty(spark, root, name, "overwrite")
+    lease = Lease(spark, root).take(wait)
+    try:
+        for name in names:
+            _write_empty(spark, root, name, "overwrite")
+    finally:
+        lease.release()
     return table_counts(spark, root, [*DIMENSIONS, FACT])
 
 

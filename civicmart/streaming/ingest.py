@@ -11,7 +11,7 @@ from civicmart.functions.text import norm_key
 from civicmart.operators.fact import first_error, parsed, row_checks
 from civicmart.plans.warehouse import Warehouse, run_all
 from civicmart.sources.raw import RAW_SCHEMA, select_known, trim_all, with_audit
-from civicmart.sources.tables import STAGING, read_table, save_batch
+from civicmart.sources.tables import STAGING, publish_load, read_table, save_batch
 
 
 def read_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000, multiline: bool = False) -> DataFrame:
@@ -70,6 +70,7 @@ def _stage(wh: Warehouse, batch: DataFrame, epoch: int, checkpoint: str) -> None
     load_id = f"{query_id}-{epoch}"
     known = select_known(batch).withColumn("source_year", F.lit(None).cast("int"))
     save_batch(with_audit(trim_all(known), epoch, load_id), wh.root, STAGING, "load_id", load_id)
+    publish_load(wh.spark, wh.root, load_id, epoch)
 
 
 def _run(rows: DataFrame, each, checkpoint: str) -> StreamingQuery:
