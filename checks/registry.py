@@ -24,6 +24,7 @@ from civicmart.plans import verify as V
 from civicmart.plans import warehouse as W
 from civicmart.session import fresh_path
 from civicmart.sources import adapter as A
+from civicmart.sources import pages as PG
 from civicmart.sources import raw as RW
 from civicmart.sources import tables as T
 from civicmart.streaming import ingest as I
@@ -1827,24 +1828,67 @@ def streamed_batches(spark, sf):
 
 @query(
     "streamed_first_of_key",
-    "n_rows:i n_keys:i",
+    "n_rows:i n_keys:i n_undated:i",
     O.over(
         "untidy",
-        "SELECT count(DISTINCT trim(unique_key)) AS n_rows, count(DISTINCT trim(unique_key)) AS n_keys FROM raw"
-        f" WHERE {_CREATED} IS NOT NULL",
+        "SELECT count(DISTINCT k) + count(*) FILTER (k IS NULL) AS n_rows, count(DISTINCT k) AS n_keys,"
+        f" count(DISTINCT k) FILTER (undated) + count(*) FILTER (k IS NULL AND undated) AS n_undated"
+        f" FROM (SELECT nullif(upper(trim(unique_key)), '') AS k, {_CREATED} IS NULL AS undated FROM raw)",
     ),
 )
 def streamed_first_of_key(spark, sf):
+    """Every row of every file, dated or not, in several micro-batches; a key is either dated or not."""
     out, progress = fresh_path(spark, "first-of-key"), fresh_path(spark, "progress")
-    rows = I.read_stream(spark, csv_folder(spark, sf, "untidy"))
-    readable = rows.filter(FD.parse_ts(c("created_date")).isNotNull())
-    first = I.first_of_key(readable, "4000 days").select("dedup_key", "event_time")
-    (
-        first.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
-        .trigger(availableNow=True).start().awaitTermination()
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    I.state_on_disk(spark)
+    try:
+        first = I.first_ever(I.read_stream(spark, csv_folder(spark, sf, "untidy"), files_per_batch=20)).select("dedup_key", "created_date")
+        (
+            first.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
+            .trigger(availableNow=True).start().awaitTermination()
+        )
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    kept = spark.read.schema("dedup_key string, created_date string").parquet(out)
+    return kept.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct(F.nullif("dedup_key", F.lit(""))).alias("n_keys"),
+        F.count_if(FD.parse_ts(c("created_date")).isNull()).alias("n_undated"),
     )
-    kept = spark.read.schema("dedup_key string, event_time timestamp").parquet(out)
-    return kept.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("dedup_key").alias("n_keys"))
+
+
+@query(
+    "streamed_checks",
+    "outcome:s observed:i written:i",
+    O.over("untidy", "SELECT coalesce(row_error, 'VALID') AS outcome, count(*) AS observed, count(*) AS written FROM tagged GROUP BY 1"),
+)
+def streamed_checks(spark, sf):
+    """All checks on a stream of files: what its micro-batches observed, and what they wrote."""
+    wh = warehouse(spark, sf, "untidy")
+    out = fresh_path(spark, "judged")
+    batches = I.check_stream(wh, csv_folder(spark, sf, "untidy"), fresh_path(spark, "progress"), out, files_per_batch=20)
+    total: dict[str, int] = {}
+    for counts in batches.values():  # one row of counts per micro-batch
+        for outcome, n in counts.items():
+            total[outcome] = total.get(outcome, 0) + n
+    assert total.pop("rows_read") == sum(total.values())
+    observed = spark.createDataFrame([(k, n) for k, n in total.items() if n], "outcome string, observed bigint")
+    written_ = spark.read.parquet(out).groupBy(F.coalesce("error_type", F.lit("VALID")).alias("outcome")).agg(F.count(F.lit(1)).alias("written"))
+    return observed.join(written_, "outcome", "full")
+
+
+@query("paged_delivery", _WRITES, O.over("clean", _ONCE.format("paged", 0)))
+def paged_delivery(spark, sf):
+    """A delivery that lands page by page, stopped inside a file and taken up again, then loaded."""
+    wh = new_warehouse(spark, "paged")
+    folder = csv_folder(spark, sf, "clean")
+    page = {"page_rows": 2000, "pages_per_save": 2}
+    first = PG.ingest_pages(spark, wh.root, folder, BATCH, most_saves=3, **page)
+    assert first["saves"] == 3
+    second = PG.ingest_pages(spark, wh.root, folder, BATCH, **page)
+    assert first["rows_landed"] + second["rows_landed"] == wh.staging.count()
+    assert PG.ingest_pages(spark, wh.root, folder, BATCH, **page) == {"rows_landed": 0, "saves": 0}
+    W.run_all(wh, BATCH)
+    return written(wh, "paged")
 
 
 # ---- reports over all years -------------------------------------------------------------------

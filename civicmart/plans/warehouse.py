@@ -144,17 +144,7 @@ def logged_step(wh: Warehouse, batch_id: int, name: str, fn: Callable[[int], Ste
     start = datetime.now(timezone.utc)
 
     def log(status: str, counts: StepCounts | None, error: str | None) -> None:
-        end = None if status == "STARTED" else datetime.now(timezone.utc)
-        got = counts or StepCounts()
-        row = (
-            log_id, batch_id, name, number, status,
-            *((got.read, got.inserted, got.rejected, got.skipped) if counts else (None,) * 4),
-            start, end, None, error, getpass.getuser(), platform.node(),
-        )
-        schema = T.StructType.fromDDL(SCHEMAS["etl_log"])
-        rows = wh.spark.createDataFrame([row], schema)
-        timed = rows.withColumn("duration_sec", duration_sec(F.col("start_time"), F.col("end_time")))
-        save_batch(timed.coalesce(1), wh.root, "etl_log", "log_id", log_id)
+        log_step(wh, log_id, batch_id, name, number, status, counts, start, error)
 
     log("STARTED", None, None)
     try:
@@ -166,6 +156,23 @@ def logged_step(wh: Warehouse, batch_id: int, name: str, fn: Callable[[int], Ste
     return counts
 
 
+def log_step(
+    wh: Warehouse, log_id: int, batch_id: int, name: str, number: int, status: str, counts: StepCounts | None,
+    start: datetime | None = None, error: str | None = None,
+) -> None:
+    """One row of the audit log; writing it again under its number replaces it."""
+    now = datetime.now(timezone.utc)
+    got = counts or StepCounts()
+    row = (
+        log_id, batch_id, name, number, status,
+        *((got.read, got.inserted, got.rejected, got.skipped) if counts else (None,) * 4),
+        start or now, None if status == "STARTED" else now, None, error, getpass.getuser(), platform.node(),
+    )
+    rows = wh.spark.createDataFrame([row], T.StructType.fromDDL(SCHEMAS["etl_log"]))
+    timed = rows.withColumn("duration_sec", duration_sec(F.col("start_time"), F.col("end_time")))
+    save_batch(timed.coalesce(1), wh.root, "etl_log", "log_id", log_id)
+
+
 @alone
 def load_dim_date(wh: Warehouse, log_id: int, batch_id: int) -> StepCounts:
     existing = wh.table("dim_date")
