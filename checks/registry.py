@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -1774,6 +1775,31 @@ def two_loads_at_once(spark, sf):
     return written(wh, "at once")
 
 
+@query(
+    "summaries_kept_up",
+    "agency_code:s agency_name:s sla_days:i year:i month:i month_name:s total_requests:i total_closed:i total_open:i"
+    " avg_resolution_days:f max_resolution_days:i sla_breaches:i sla_breach_pct:f n_refreshed:i",
+    O.over(
+        "clean",
+        "SELECT agency_code, agency_name, sla_days, year, month, month_name, count(*) AS total_requests,"
+        f" {O.CLOSED} AS total_closed, {O.OPEN} AS total_open, avg(resolution_days) AS avg_resolution_days,"
+        f" max(resolution_days) AS max_resolution_days, {_BREACHES} AS sla_breaches,"
+        f" {O.pct(_BREACHES, O.CLOSED)} AS sla_breach_pct, (SELECT count(DISTINCT (year, month)) FROM mart WHERE year >= 1998) AS n_refreshed"
+        " FROM mart GROUP BY 1, 2, 3, 4, 5, 6",
+    ),
+)
+def summaries_kept_up(spark, sf):
+    """The stored summary after two loads, each followed by a refresh of the months it touched."""
+    wh = new_warehouse(spark, "summaries")
+    rows = A.clean_requests(spark, sf)
+    for part in (rows.filter(c("created_date") < "1998"), rows.filter(c("created_date") >= "1998")):
+        T.load_staging(part, wh.root, BATCH)
+        W.run_all(wh, BATCH)
+        months = PM.refresh_summaries(wh)
+    assert PM.refresh_summaries(wh) == []
+    return PM.stored_summary(wh, "agency_summary").withColumn("n_refreshed", F.lit(len(months)))
+
+
 # ---- files that arrive over time --------------------------------------------------------------
 
 
@@ -1932,3 +1958,52 @@ QUERIES |= {f"{name}_all_years": _over_all_years(name) for name in _REPORTS}
 def running_totals_by_borough(spark, sf):
     wanted = {"_mtd": ["total_requests"], "_ytd": ["total_requests"]}
     return M.period_measures(mart(spark, sf), calendar(spark, sf), wanted, ["full_date"], ["borough"])
+
+
+@query(
+    "overview_page",
+    "visual:s label:s total_requests:i sla_breach_rate:f",
+    O.over(
+        "clean",
+        " UNION ALL ".join(
+            f"SELECT '{visual}' AS visual, {label} AS label, {count} AS total_requests, {rate} AS sla_breach_rate FROM mart {where} GROUP BY ALL"
+            for visual, label, count, rate, where in [
+                ("borough", "borough", "count(*)", "NULL::DOUBLE", "WHERE year = 1998"),
+                ("month", "month_short", "count(*)", "NULL::DOUBLE", "WHERE year = 1998"),
+                ("resolution_bucket", "resolution_bucket", "count(*)", "NULL::DOUBLE", "WHERE year = 1998"),
+                ("agency", "agency_code", "count(*)", O.MEASURES["sla_breach_rate"], "WHERE year = 1998"),
+                ("weekend", "CAST(is_weekend AS VARCHAR)", "count(*)", "NULL::DOUBLE", "WHERE year = 1998"),
+                ("category", "category", "count(*)", O.MEASURES["sla_breach_rate"], "WHERE year = 1998"),
+                ("category_month", "category || ' ' || month_short", "count(*)", "NULL::DOUBLE", "WHERE year = 1998"),
+                ("status", "status", "count(*)", "NULL::DOUBLE", "WHERE year = 1998"),
+                ("cards", "NULL::VARCHAR", "count(*)", O.MEASURES["sla_breach_rate"], "WHERE year = 1998"),
+            ]
+        ),
+    ),
+)
+def overview_page(spark, sf):
+    """Nine visuals of one year from one pass over the requests."""
+    pages = []
+    for visual, df in R.overview_page(mart(spark, sf), {"year": 1998}).items():
+        by = [n for n in R.OVERVIEW[visual][0] if n != "month"]
+        label = F.concat_ws(" ", *[c(n).cast("string") for n in by]) if by else F.lit(None).cast("string")
+        rate = c("sla_breach_rate") if "sla_breach_rate" in df.columns else F.lit(None).cast("double")
+        pages.append(df.select(F.lit(visual).alias("visual"), label.alias("label"), "total_requests", rate.cast("double").alias("sla_breach_rate")))
+    return functools.reduce(DataFrame.unionByName, pages)
+
+
+@query(
+    "requests_of_last_month",
+    "agency_code:s year:i month:i total_requests:i",
+    O.over(
+        "clean",
+        "SELECT agency_code, year, month, count(*) AS total_requests FROM mart WHERE (year, month) ="
+        " (SELECT (max(year), max(month)) FROM mart WHERE year = (SELECT max(year) FROM mart)) GROUP BY ALL",
+    ),
+)
+def requests_of_last_month(spark, sf):
+    """The last month that has a request; the plan reads the one year it lies in."""
+    wh = warehouse(spark, sf)
+    days = calendar(spark, sf)
+    last = wh.fact.agg(F.max("date_key")).first()[0]
+    return R.requests_of_days(wh, days.filter((c("date_key") >= last // 100 * 100) & (c("date_key") <= last)))

@@ -58,14 +58,15 @@ DIM_KEYS = {
 def star(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Inner join of the fact with the given dimensions.
 
-    The fact's own `year` (its partition column) stands for the calendar's, so that a filter
-    on year prunes files.
+    The fact's `year` is its partition column and meets the calendar's: a filter on year prunes files, and
+    any other filter on the calendar (a quarter, the last month) prunes the years it leaves out while the query runs.
     """
     out = fact
     for name, dim in dims.items():
-        if name == "dim_date":
-            dim = dim.drop("year") if "year" in fact.columns else dim
-        out = out.join(dim, DIM_KEYS[name], "inner")
+        keys = [DIM_KEYS[name]]
+        if name == "dim_date" and "year" in fact.columns and "year" in dim.columns:
+            keys.append("year")
+        out = out.join(dim, keys, "inner")
     return out
 
 

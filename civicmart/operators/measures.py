@@ -9,8 +9,8 @@ that small frame.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ from civicmart.functions.text import (
     fmt_thousands,
     safe_div,
 )
+from civicmart.session import cut
 
 # Report colours and the limits they stand for.
 SLATE, RED, AMBER, GREEN = "#64748b", "#ef4444", "#f59e0b", "#10b981"
@@ -150,10 +151,11 @@ def needed_parts(names: list[str]) -> list[str]:
 
 
 def reduce_rows(
-    rows: DataFrame, parts: list[str], by: list[str], where: dict[str, object], more: list[Column] | None = None
+    rows: DataFrame, parts: list[str], by: list[str], where: dict[str, object], more: list[Column] | None = None,
+    sets: list[list[str]] | None = None,
 ) -> DataFrame:
     """Parts per group, and `more` aggregates. Filters no part replaces are applied to the scan;
-    the others per part."""
+    the others per part. With `sets`, per group of each of these sets of the columns `by`."""
     replaced = set().union(*[PARTS[p].replaces for p in parts])
     for column, wanted in where.items():
         if column not in replaced:
@@ -167,6 +169,8 @@ def reduce_rows(
                 value = F.when(condition(column, wanted), value)
         aggregates.append(_again(p.kind, value).alias(f"_{name}"))
     aggregates += more or []
+    if sets is not None:
+        return rows.groupingSets([[F.col(c) for c in s] for s in sets], *by).agg(*aggregates)
     return rows.groupBy(*by).agg(*aggregates) if by else rows.agg(*aggregates)
 
 
@@ -204,6 +208,32 @@ def measures(
     return out.filter(F.coalesce(*[F.col(m).cast("double") for m in names]).isNotNull()) if by else out
 
 
+def set_number(by: list[str], columns: list[str]) -> int:
+    """What `grouping_id` gives for the groups of `by` among `columns`: a bit for each column left out."""
+    return sum(1 << i for i, c in enumerate(reversed(columns)) if c not in by)
+
+
+def measures_of_page(
+    rows: DataFrame, visuals: dict[str, tuple[list[str], list[str]]], where: dict[str, object] | None = None
+) -> dict[str, DataFrame]:
+    """The measures of several visuals (group columns and measure names each) from one pass over the rows.
+
+    All groupings are grouping sets of one aggregation, whose result (one row per group) is stored; each visual
+    reads its own set from it. Every visual equals `measures` over its columns.
+    """
+    columns = list(dict.fromkeys(c for by, _ in visuals.values() for c in by))
+    sets = [list(s) for s in dict.fromkeys(tuple(sorted(by, key=columns.index)) for by, _ in visuals.values())]
+    parts = needed_parts([m for _, names in visuals.values() for m in names])
+    held = cut(reduce_rows(rows, parts, columns, where or {}, [F.grouping_id().alias("_set")], sets), "page")
+    out = {}
+    for visual, (by, names) in visuals.items():
+        own = needed_parts(names)
+        groups = replace_grouping(held.filter(F.col("_set") == set_number(by, columns)), own, by)
+        shown = groups.select(*by, *formulas(names))
+        out[visual] = shown.filter(F.coalesce(*[F.col(m).cast("double") for m in names]).isNotNull()) if by else shown
+    return out
+
+
 # ---- periods -------------------------------------------------------------------------------
 # A context is a group of calendar columns (or everything); a period frame holds, per context,
 # the days a measure takes in. Contexts and days are bounded by the calendar.

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicmart.functions.rules import days_open, is_sla_breach, resolution_bucket
 from civicmart.operators.joins import star
-from civicmart.plans.warehouse import Warehouse
+from civicmart.plans.warehouse import Warehouse, exclusive
+from civicmart.session import cut
+from civicmart.sources.tables import save_batch
 
 
 def as_date(as_of: str | Column | None) -> Column:
@@ -44,9 +48,22 @@ def percent(part: str, whole: str, places: int = 1) -> Column:
     return exact.cast(f"decimal(7,{places})")
 
 
-def agency_summary(wh: Warehouse) -> DataFrame:
+Months = list[tuple[int, int]]
+
+
+def rows_of_months(wh: Warehouse, months: Months | None) -> DataFrame:
+    """The fact, or of its partitions those of the given months; within a year the scan is told the days."""
+    if months is None:
+        return wh.fact
+    days = F.lit(False)
+    for year, month in months:
+        days |= F.col("date_key").between(year * 10000 + month * 100, year * 10000 + month * 100 + 99)
+    return wh.fact.filter(F.col("year").isin(sorted({y for y, _ in months})) & days)
+
+
+def agency_summary(wh: Warehouse, months: Months | None = None) -> DataFrame:
     """Agency by month. Breaches count every request past its target, closed or not."""
-    rows = star(wh.fact, wh.dims("dim_agency", "dim_date"))
+    rows = star(rows_of_months(wh, months), wh.dims("dim_agency", "dim_date"))
     return (
         rows.groupBy("agency_code", "agency_name", "sla_days", "year", "month", "month_name")
         .agg(
@@ -61,9 +78,9 @@ def agency_summary(wh: Warehouse) -> DataFrame:
     )
 
 
-def borough_summary(wh: Warehouse) -> DataFrame:
+def borough_summary(wh: Warehouse, months: Months | None = None) -> DataFrame:
     """Borough by month and category."""
-    rows = star(wh.fact, wh.dims())
+    rows = star(rows_of_months(wh, months), wh.dims())
     return rows.groupBy("borough", "year", "month", "category").agg(
         F.count(F.lit(1)).alias("total_requests"),
         F.count_if(closed()).alias("total_closed"),
@@ -91,7 +108,54 @@ def report_model(wh: Warehouse, as_of: str | Column | None = None) -> dict[str,
     }
 
 
+SUMMARIES = {"agency_summary": agency_summary, "borough_summary": borough_summary}
+
+
 def write_summaries(wh: Warehouse) -> None:
-    """Store both summaries, so that reports read a few rows per group instead of the fact."""
-    agency_summary(wh).write.mode("overwrite").parquet(f"{wh.root}/agency_summary")
-    borough_summary(wh).write.mode("overwrite").parquet(f"{wh.root}/borough_summary")
+    """Store both summaries by year and month, so that reports read a few rows per group instead of the fact.
+
+    Everything is written anew, which a change of rules (targets, names) asks for; `refresh_summaries`
+    follows the loads.
+    """
+    with exclusive(wh) as own:
+        loads = _unsummed(own)
+        for name in SUMMARIES:
+            _write_months(own, name, None, "static")
+        _summed(own, loads)
+
+
+def refresh_summaries(wh: Warehouse) -> Months:
+    """Bring the stored summaries up to date and say which months that took.
+
+    Only the months that loads have added rows to since the last time are read and written; their partitions
+    are replaced, so doing it twice changes nothing. A run that dies is done again by the next one.
+    """
+    with exclusive(wh) as own:
+        loads = _unsummed(own)
+        touched = own.table("touched_months").join(loads, "log_id", "left_semi").select("year", "month").distinct()
+        months = sorted((r.year, r.month) for r in touched.collect())  # at most the months of the calendar
+        if months:
+            for name in SUMMARIES:
+                _write_months(own, name, months, "dynamic")
+            _summed(own, loads)
+        return months
+
+
+def stored_summary(wh: Warehouse, name: str) -> DataFrame:
+    return wh.spark.read.schema(SUMMARIES[name](wh).schema).parquet(f"{wh.root}/{name}")
+
+
+def _write_months(wh: Warehouse, name: str, months: Months | None, mode: str) -> None:
+    rows = SUMMARIES[name](wh, months).repartition("year", "month")
+    wh.lease.check()
+    rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("year", "month").parquet(f"{wh.root}/{name}")
+
+
+def _unsummed(wh: Warehouse) -> DataFrame:
+    """Loads of the fact whose months the summaries do not hold yet."""
+    done = wh.table("summary_loads").select("log_id")
+    return cut(wh.table("touched_months").select("log_id").distinct().join(done, "log_id", "left_anti"), "unsummed")
+
+
+def _summed(wh: Warehouse, loads: DataFrame) -> None:
+    save_batch(loads.withColumn("mark", F.lit(None).cast("string")).coalesce(1), wh.root, "summary_loads", "mark", uuid.uuid4().hex)

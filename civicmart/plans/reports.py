@@ -8,12 +8,38 @@ from pyspark.sql import functions as F
 from civicmart.functions.rules import aging_bucket, aging_sort, breach_label, resolution_bucket_sort
 from civicmart.functions.text import fmt_days, fmt_magnitude
 from civicmart.operators import measures as M
-from civicmart.operators.joins import keep_top
+from civicmart.operators.joins import keep_top, star
 from civicmart.operators.sets import share_of_total, top_n_with_ties
+from civicmart.plans.warehouse import Warehouse
 
 Where = dict[str, object] | None
 
 
+# The visuals of the overview page that group requests: columns and measures of each.
+OVERVIEW = {
+    "borough": (["borough"], ["total_requests", "closure_rate", "avg_resolution_days"]),
+    "month": (["month", "month_short"], ["total_requests"]),
+    "resolution_bucket": (["resolution_bucket"], ["total_requests"]),
+    "agency": (["agency_code"], ["sla_breach_rate", "sla_breaches", "total_closed", "total_requests"]),
+    "weekend": (["is_weekend"], ["total_requests"]),
+    "category": (["category"], ["total_requests", "sla_breach_rate"]),
+    "category_month": (["category", "month_short"], ["total_requests"]),
+    "status": (["status"], ["total_requests", "total_open"]),
+    "cards": ([], ["total_requests", "total_closed", "closure_rate", "avg_resolution_days", "sla_breach_rate"]),
+}
+
+
+def overview_page(mart: DataFrame, where: Where = None) -> dict[str, DataFrame]:
+    """Every visual of the page under its slicers, from one scan of the requests."""
+    return M.measures_of_page(mart, OVERVIEW, where)
+
+
+def requests_of_days(wh: Warehouse, days: DataFrame) -> DataFrame:
+    """Requests per agency created on the given calendar days. Only the years that hold such a day are read."""
+    rows = star(wh.fact, wh.dims("dim_agency") | {"dim_date": days})
+    return rows.groupBy("agency_code", "year", "month").agg(F.count(F.lit(1)).alias("total_requests"))
+
+
 def daily_in_month(mart: DataFrame, calendar: DataFrame, month_name: str, where_date: Where = None) -> DataFrame:
     """Requests by day of month in one named month."""
     out = M.period_measures(

@@ -15,7 +15,6 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from civicmart.functions.dates import duration_sec
 from civicmart.functions.rules import Settings
@@ -37,6 +36,7 @@ from civicmart.sources.tables import (
     read_table,
     rows_of_loads,
     save_batch,
+    save_row,
     save_table,
 )
 
@@ -162,15 +162,14 @@ def log_step(
 ) -> None:
     """One row of the audit log; writing it again under its number replaces it."""
     now = datetime.now(timezone.utc)
+    end = None if status == "STARTED" else now
     got = counts or StepCounts()
     row = (
         log_id, batch_id, name, number, status,
         *((got.read, got.inserted, got.rejected, got.skipped) if counts else (None,) * 4),
-        start or now, None if status == "STARTED" else now, None, error, getpass.getuser(), platform.node(),
+        start or now, end, None if end is None else duration_sec(F.lit(start or now), F.lit(end)), error, getpass.getuser(), platform.node(),
     )
-    rows = wh.spark.createDataFrame([row], T.StructType.fromDDL(SCHEMAS["etl_log"]))
-    timed = rows.withColumn("duration_sec", duration_sec(F.col("start_time"), F.col("end_time")))
-    save_batch(timed.coalesce(1), wh.root, "etl_log", "log_id", log_id)
+    save_row(wh.spark, wh.root, "etl_log", row, "log_id", log_id)
 
 
 @alone
@@ -281,6 +280,7 @@ def load_fact(wh: Warehouse, log_id: int, batch_id: int, strict: bool = True) ->
     if inserted:
         keys = accepted.select(norm_key(F.col("unique_key")).alias("dedup_key"), F.lit(log_id).alias("log_id"))
         _save_keys(wh, keys, log_id)
+        _touched(wh, accepted, log_id)
         wh.lease.check()
         save_table(FA.fact_rows(accepted, batch_id), wh.root, FACT)
         _mark(wh, log_id, "DONE")
@@ -292,10 +292,15 @@ def load_fact(wh: Warehouse, log_id: int, batch_id: int, strict: bool = True) ->
     return StepCounts(read, inserted, left_out, found.get("DUPLICATE_UNIQUE_KEY", 0))
 
 
+def _touched(wh: Warehouse, accepted: DataFrame, log_id: int) -> None:
+    """The months that a load adds rows to, noted before it does; stored summaries are brought up to date from it."""
+    months = accepted.select(F.year("created").alias("year"), F.month("created").alias("month"), F.lit(log_id).alias("log_id")).distinct()
+    save_batch(months.coalesce(1), wh.root, "touched_months", "log_id", log_id)
+
+
 def _mark(wh: Warehouse, log_id: int, state: str) -> None:
     """One more state of a load of the fact: KEYS written, rows DONE as well, or DROPPED."""
-    row = wh.spark.createDataFrame([(log_id, state, None)], SCHEMAS["fact_loads"])
-    save_batch(row.coalesce(1), wh.root, "fact_loads", "mark", f"{log_id}-{state}")
+    save_row(wh.spark, wh.root, "fact_loads", (log_id, state, None), "mark", f"{log_id}-{state}")
 
 
 def key_set(wh: Warehouse) -> tuple[int, int]:
@@ -327,8 +332,7 @@ def spread_keys(wh: Warehouse, always: bool = False) -> bool:
     wh.lease.check()
     fresh.hint("rebalance", "bucket").sortWithinPartitions("bucket", "dedup_key").write.mode("overwrite").partitionBy("bucket").parquet(f"{wh.root}/fact_keys/key_set={number + 1}")
     _mark(wh, 0, "DONE")
-    row = wh.spark.createDataFrame([(number + 1, wanted)], SCHEMAS["key_sets"])
-    save_batch(row.coalesce(1), wh.root, "key_sets", "key_set", number + 1)
+    save_row(wh.spark, wh.root, "key_sets", (number + 1, wanted), "key_set", number + 1)
     drop_path(wh.spark, f"{wh.root}/fact_keys/key_set={number}")
     return True
 

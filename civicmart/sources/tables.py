@@ -42,6 +42,8 @@ SCHEMAS = {
     " status string, resolution_days int, dw_created_date timestamp, dw_batch_id bigint, year int",
     "fact_keys": "dedup_key string, log_id bigint, key_set int, bucket int",
     "key_sets": "key_set int, depth int",
+    "touched_months": "year int, month int, log_id bigint",
+    "summary_loads": "log_id bigint, mark string",
     "fact_loads": "log_id bigint, state string, mark string",
     "legacy_location": "location_key int, borough string, community_board string, zip_code string, city string,"
     " latitude decimal(9,6), longitude decimal(9,6)",
@@ -59,7 +61,8 @@ STAGING = "raw_requests"
 #: Every writer of the small tables has a partition of its own.
 PARTITIONS = {
     FACT: ["year"], "fact_keys": ["key_set", "bucket"], STAGING: ["load_id"], "etl_log": ["log_id"], "etl_errors": ["log_id"], "staged_loads": ["load_id"],
-    "processed_loads": ["log_id"], "dim_loads": ["mark"], "fact_loads": ["mark"], "key_sets": ["key_set"],
+    "processed_loads": ["log_id"], "dim_loads": ["mark"], "fact_loads": ["mark"], "key_sets": ["key_set"], "touched_months": ["log_id"],
+    "summary_loads": ["mark"],
 }
 
 
@@ -107,6 +110,13 @@ def save_batch(df: DataFrame, root: str, name: str, by: str, value: int | str) -
     rows.write.mode("overwrite").parquet(f"{root}/{name}/{by}={value}")
 
 
+def save_row(spark: SparkSession, root: str, name: str, values: tuple, by: str, value: int | str) -> None:
+    """One row as a partition of its own."""
+    schema = T.StructType.fromDDL(SCHEMAS[name])
+    row = spark.range(1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, schema.fields, strict=True)])
+    save_batch(row, root, name, by, value)
+
+
 def load_staging(df: DataFrame, root: str, batch_id: int, refresh: bool = True, wait: float = WAIT) -> dict[str, int]:
     """Write request rows to staging under a load id of their own and reconcile: rows that landed against rows read.
 
@@ -145,8 +155,7 @@ def _staged(df: DataFrame, root: str, batch_id: int, refresh: bool) -> dict[str,
 
 def publish_load(spark: SparkSession, root: str, load_id: str, batch_id: int) -> None:
     """Lets loads see what has landed under a load id. Until then its rows are not pending, so no load takes a part."""
-    row = spark.createDataFrame([(load_id, batch_id)], SCHEMAS["staged_loads"])
-    save_batch(row.coalesce(1), root, "staged_loads", "load_id", load_id)
+    save_row(spark, root, "staged_loads", (load_id, batch_id), "load_id", load_id)
 
 
 def read_staging(spark: SparkSession, root: str) -> DataFrame:
@@ -175,7 +184,7 @@ def rows_of_loads(spark: SparkSession, root: str, loads: DataFrame) -> DataFrame
 def reset_warehouse(spark: SparkSession, root: str, reset_flag: bool = False, clear_log: bool = False, wait: float = WAIT) -> DataFrame:
     """Empty the fact, then the dimensions; on request also the flag and the audit tables. A load that runs is
     waited for, up to `wait` seconds."""
-    names = [FACT, "fact_keys", "key_sets", "fact_loads", "legacy_location", *DIMENSIONS, "dim_loads"]
+    names = [FACT, "fact_keys", "key_sets", "fact_loads", "legacy_location", *DIMENSIONS, "dim_loads", "touched_months", "summary_loads"]
     names += ["processed_loads"] if reset_flag else []
     names += ["etl_errors", "etl_log"] if clear_log else []
     lease = Lease(spark, root).take(wait)

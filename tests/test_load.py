@@ -344,3 +344,17 @@ def test_keys_are_consecutive_over_partitions(spark):
     rows = cut(spark.range(500).select(F.format_string("%05d", F.col("id") * 7919 % 500).alias("code")), "codes")
     many = D.assign_keys(rows, "k", ["code"], 10).orderBy("code")
     assert column(many, "k") == list(range(11, 511))
+
+
+def test_summaries_follow_the_loads(spark, requests_of, folder):
+    from civicmart.plans import mart as PM
+
+    wh, _ = loaded(spark, folder, requests_of({}, {"unique_key": "2", "created_date": "2024-04-01T00:00:00.000"}), batch=1)
+    assert PM.refresh_summaries(wh) == [(2024, 4), (2024, 5)]
+    T.load_staging(requests_of({"unique_key": "3", "status": "Open", "closed_date": None}), folder, 2)
+    W.run_all(wh, 2)
+    assert PM.refresh_summaries(wh) == [(2024, 5)] and PM.refresh_summaries(wh) == []
+    for name, build in PM.SUMMARIES.items():
+        stored, full = PM.stored_summary(wh, name), build(wh)
+        assert sorted(map(str, stored.select(full.columns).collect())) == sorted(map(str, full.collect()))
+        assert stored.filter("month = 5").agg(F.sum("total_requests")).first()[0] == 2

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from checks import registry
 from civicmart.operators import fact as FA
 from civicmart.operators import joins as J
+from civicmart.operators import measures as M
+from civicmart.plans import mart as PM
 from civicmart.plans import reports as R
 from civicmart.plans import verify as V
 from civicmart.session import work_dir
@@ -82,3 +84,30 @@ def test_fact_is_stored_by_year(spark, wh):
     years = [r[0] for r in wh.fact.select("year").distinct().collect()]
     files = wh.fact.select(F.input_file_name().alias("f")).distinct().count()
     assert len(years) == 7 and files <= 14
+
+
+def test_a_page_scans_the_fact_once_and_equals_its_visuals(spark, mart):
+    where = {"year": 1998, "status": "Closed"}
+    for visual, df in R.overview_page(mart, where).items():
+        by, names = R.OVERVIEW[visual]
+        own = M.measures(mart, names, by, where)
+        assert sorted(map(repr, df.collect())) == sorted(map(repr, own.collect())), visual
+        assert T.FACT not in plan(df)
+    columns = list(dict.fromkeys(c for by, _ in R.OVERVIEW.values() for c in by))
+    parts = M.needed_parts([m for _, names in R.OVERVIEW.values() for m in names])
+    sets = [by for by, _ in R.OVERVIEW.values()]
+    one = plan(M.reduce_rows(mart, parts, columns, where, [F.grouping_id().alias("_set")], sets))
+    assert sum(T.FACT in line for line in one.split("\n") if line.startswith("Location: ")) == 1
+
+
+def test_a_filter_on_the_calendar_prunes_years(wh):
+    days = wh.table("dim_date").filter("full_date >= '1998-12-01' AND full_date < '1999-01-01'")
+    rows = J.star(wh.fact, {"dim_date": days})
+    assert "dynamicpruning" in plan(rows)
+    assert rows.count() == wh.fact.filter("date_key BETWEEN 19981201 AND 19981231").count() > 0
+
+
+def test_refreshed_summaries_read_touched_months_only(spark, wh):
+    text = plan(PM.agency_summary(wh, [(1997, 3), (1998, 12)]))
+    assert "year#" in text.split("PartitionFilters: [")[1].split("]")[0] and "1997,1998" in text.replace(" ", "")
+    assert "GreaterThanOrEqual(date_key,19970300)" in text

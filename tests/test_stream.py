@@ -78,3 +78,83 @@ def test_other_header_stops_the_stream(spark, requests_of, folder):
     with pytest.raises(StreamingQueryException):
         I.ingest_stream(wh, inbox, progress).awaitTermination()
     assert wh.staging.count() == 0
+
+
+def test_first_ever_takes_late_and_undated_rows(spark, requests_of):
+    inbox, progress, out = (fresh_path(spark, n) for n in ("inbox", "progress", "out"))
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    I.state_on_disk(spark)
+
+    def run():
+        rows = I.first_ever(I.read_stream(spark, inbox, files_per_batch=1)).select("unique_key", "status")
+        rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress).trigger(
+            availableNow=True
+        ).start().awaitTermination()
+        return sorted(map(str, column(spark.read.schema("unique_key string, status string").parquet(out), "unique_key")))
+
+    try:
+        deliver(requests_of({"created_date": "2024-05-20T00:00:00.000"}, {"unique_key": "u", "created_date": None}, {"unique_key": None}), f"{inbox}/a")
+        assert run() == ["1", "None", "u"]
+        # Years late, undated again, without a key again, and one key many times.
+        deliver(
+            requests_of({"created_date": "2001-01-01T00:00:00.000"}, {"unique_key": " U", "created_date": "x"}, {"unique_key": " "}, *[{"unique_key": "new"}] * 30),
+            f"{inbox}/b",
+        )
+        assert run() == ["1", "None", "None", "new", "u"]
+        assert run() == ["1", "None", "None", "new", "u"]
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+
+
+def test_checks_of_a_stream_count_what_a_load_counts(spark, requests_of, folder):
+    inbox, progress, out = (fresh_path(spark, n) for n in ("inbox", "progress", "out"))
+    wh = W.create_warehouse(spark, folder)
+    T.load_staging(requests_of({}), folder, 1)
+    W.run_all(wh, 1)
+    deliver(requests_of({"unique_key": "2"}, {"unique_key": "3", "agency": "NONE"}, {"unique_key": None}), f"{inbox}/a")
+    first = I.check_stream(wh, inbox, progress, out)
+    assert [{k: n for k, n in c.items() if n} for c in first.values()] == [
+        {"rows_read": 3, "VALID": 1, "NO_DIM_AGENCY_MATCH": 1, "NULL_UNIQUE_KEY": 1}
+    ]
+    deliver(requests_of({"unique_key": "4", "status": "Bogus"}), f"{inbox}/b")
+    assert [c["INVALID_STATUS"] for c in I.check_stream(wh, inbox, progress, out).values()] == [1]
+    assert I.check_stream(wh, inbox, progress, out) == {}
+    log = wh.table("etl_log").filter("step_name = 'checked_stream'")
+    assert sorted(column(log, "batch_id", "rows_read", "rows_rejected", "status")) == [(0, 3, 2, "SUCCESS"), (1, 1, 1, "SUCCESS")]
+    assert sorted(map(str, column(spark.read.parquet(out), "unique_key"))) == ["2", "3", "4", "None"]
+
+
+def test_pages_go_on_where_a_run_stopped(spark, requests_of, folder):
+    from civicmart.sources import pages as P
+
+    inbox = fresh_path(spark, "inbox")
+    wh = W.create_warehouse(spark, folder)
+    for name, first in (("a", 0), ("b", 100)):
+        deliver(requests_of(*[{"unique_key": str(first + i)} for i in range(25)]), f"{inbox}/{name}")
+    page = {"page_rows": 4, "pages_per_save": 2}
+
+    def keys():
+        return sorted(map(int, column(wh.staging, "unique_key")))
+
+    assert P.ingest_pages(spark, folder, inbox, 1, most_saves=2, **page) == {"rows_landed": 16, "saves": 2}
+    assert keys() == list(range(16))
+    assert P.ingest_pages(spark, folder, inbox, 1, most_saves=3, **page) == {"rows_landed": 9 + 8, "saves": 3}
+    assert keys() == [*range(25), *range(100, 108)]
+    assert P.ingest_pages(spark, folder, inbox, 1, **page) == {"rows_landed": 17, "saves": 3}
+    assert P.ingest_pages(spark, folder, inbox, 1, **page) == {"rows_landed": 0, "saves": 0}
+    assert keys() == [*range(25), *range(100, 125)] and wh.pending.count() == 50
+
+
+def test_rows_are_numbered_in_the_order_of_the_file(spark, requests_of):
+    from civicmart.sources import pages as P
+
+    inbox = fresh_path(spark, "inbox")
+    deliver(requests_of(*[{"unique_key": str(i)} for i in range(300)]), inbox)
+    path = P.deliveries(spark, inbox)[0][0]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        rows = P.numbered_rows(spark, path)
+        assert sorted(column(rows, "row_number", "unique_key")) == [(i, str(i)) for i in range(300)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
