@@ -29,7 +29,8 @@ CONTEXT = 32
 MASK = "[SECRET]"
 
 NAMES = r"(?:password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth[_-]?key|credential)"
-KEY_BLOCK = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[\s\S]*?-----END [A-Z ]{0,20}PRIVATE KEY-----"
+#: A block ends at the next BEGIN or END, whatever it is of, so no two attempts read the same text.
+KEY_BLOCK = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z ]{0,20}PRIVATE KEY-----"
 #: An assignment to a telling name; the sign comes first, so that only signs look back.
 TELLING = rf"[:=](?<=(?i:{NAMES})[\"']?\x20?[:=])"
 ASSIGNED = rf"(?<=[:=\x20\"'])(?<=(?i:{NAMES})[\"']?\x20?[:=]\x20?[\"']?)[^\s\"'`,;<>]{{6,}}+"
@@ -40,8 +41,11 @@ FORMS = (
     r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}+|github_pat_[0-9A-Za-z_]{22,}+|glpat-[0-9A-Za-z_-]{20,}+|xox[abprs]-[0-9A-Za-z-]{10,}+"
     r"|sk_live_[0-9A-Za-z]{16,}+|AIza[0-9A-Za-z_-]{35}|eyJ[0-9A-Za-z_-]{10,}+"
 )
+#: How every form begins; only there the text is looked through for a digit, which stands within so many characters.
+PREFIXES = r"(?:A[KS]IA|gh[pousr]_|github_pat_|glpat-|xox[abprs]-|sk_live_|AIza|eyJ)"
+DIGIT_WITHIN = 255
 #: A provider's form that holds a digit, wherever it begins, and in a finding, where it may follow a sign (as in //ghp_...).
-PROVIDED = rf"(?<![A-Za-z0-9])(?=[A-Za-z_-]*+[0-9])(?:{FORMS})"
+PROVIDED = rf"(?<![A-Za-z0-9])(?={PREFIXES}[A-Za-z_-]{{0,{DIGIT_WITHIN}}}+[0-9])(?:{FORMS})"
 PROVIDERS = rf"{PROVIDED}|^-----BEGIN "
 WORDS = (
     "the and for with that this from have not are was has his her you your all can will one our out use new time name file path user test data "
@@ -65,10 +69,10 @@ def findings(rows: DataFrame, keep: list[str]) -> DataFrame:
         "telling_found": (telling & ~block, f"{ASSIGNED}|{RUN}|{PROVIDED}"),
         "block_found": (block, f"{KEY_BLOCK}|{ASSIGNED}|{RUN}|{PROVIDED}"),
     }
-    placed = S.with_matches(rows, patterns)
+    placed = S.with_matches(rows, patterns, (CONTEXT, 4))
     every = F.concat("plain", "telling_found", "block_found")
     return placed.select(*keep, "text", F.transform(every, lambda m: F.struct(
-        m["start"].alias("start"), m["end"].alias("end"), *_features(m["text"], S.before(text, m["start"], CONTEXT), S.after(text, m["end"], 4)),
+        m["start"].alias("start"), m["end"].alias("end"), *_features(m["text"], m["left"], m["right"]),
     )).alias("found"))
 
 

@@ -313,3 +313,49 @@ def test_empty_tables(spark, empty):
         pii.personal_data(empty), secret_scan.scan(empty), secret_scan.redact(empty),
     ]
     assert [r.count() for r in results] == [0] * len(results)
+
+
+def test_places_of_many_matches_and_what_stands_around_them(spark):
+    import re
+
+    from pyspark.sql import functions as F
+
+    from civicmart.llm import spans
+
+    rng = random.Random(5)
+    texts = ["", "none", *["".join(rng.choice(["é", " ", "Ab", "日"]) + "1" * rng.randint(0, 3) for _ in range(n)) for n in (1, 5, 127, 128, 129, 700)]]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    for row in spans.with_matches(frame, {"found": (F.lit(True), "1+b?")}, (6, 4)).collect():
+        want = [(m.start(), m.end(), m[0]) for m in re.finditer("1+b?", row.text)]
+        assert [(m.start, m.end, m.text) for m in row.found] == want
+        for (start, end, _), m in zip(want, row.found, strict=True):
+            left = row.text[:start].lower()
+            assert left.endswith(m.left) and (len(m.left) == 6 or len(m.left) >= min(2, len(left)))
+            assert row.text[end:].lower().startswith(m.right)
+
+
+LONG = {
+    "dashes": "-" * 1_000_000, "lines": "_" * 1_000_000, "begins": "-----BEGIN RSA PRIVATE KEY-----\n" * 30_000, "prefixes": "ghp_" * 200_000 + "eyJ-" * 100_000,
+    "findings": "a1b2c3d4e5f6g7h8 " * 5000,
+}
+
+
+def test_long_runs_of_signs_take_seconds(spark):
+    import time
+
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate([*LONG.values(), 'token = "ghp_' + "a1B2" * 10 + '"'])], "doc_id bigint, text string").repartition(6)
+    begin = time.monotonic()
+    found = {r.doc_id: (r.n_findings, r.spans) for r in secret_scan.scan(frame).collect()}
+    assert [found[i][0] for i in range(6)] == [0, 0, 0, 0, 5000, 1]
+    kept = {r.doc_id: r.text for r in secret_scan.redact(frame).collect()}
+    assert all(kept[i] == t for i, t in enumerate(list(LONG.values())[:4]))
+    assert time.monotonic() - begin < 240
+
+
+def test_key_blocks_end_at_their_own_end(spark):
+    block = "-----BEGIN RSA PRIVATE KEY-----\nAb1-/x--y\n-----END RSA PRIVATE KEY-----"
+    texts = [f"a {block} b", f"-----BEGIN PRIVATE KEY-----\nlost\n{block}", "-----BEGIN PRIVATE KEY-----\nopen", f"{block}{block}"]
+    rows = secret_scan.findings(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string"), ["doc_id"]).collect()
+    got = {r.doc_id: [(f.start, f.end) for f in r.found if f.provider] for r in rows}
+    n, before = len(block), len(texts[1]) - len(block)
+    assert got == {0: [(2, 2 + n)], 1: [(before, before + n)], 2: [], 3: [(0, n), (n, 2 * n)]}
