@@ -29,8 +29,10 @@ def with_matches(rows: DataFrame, patterns: dict[str, tuple[Column, str | Column
         F.when(cond, F.regexp_extract_all("text", F.lit(p), F.lit(0))).otherwise(F.array().cast("array<string>")).alias(f"{n}_found")
         for n, (cond, p) in patterns.items()
     ])
+    left, right = around or (0, 0)
+    ends = lambda g: [F.substring(g, 1, right).alias("head"), F.substring(g, -left, left).alias("tail")] if around else []
     between = found.select("*", *[
-        F.when(F.size(f"{n}_found") > 0, F.split("text", p, -1)).otherwise(F.array().cast("array<string>")).alias(f"{n}_between")
+        F.when(F.size(f"{n}_found") > 0, F.transform(F.split("text", p, -1), lambda g: F.struct(F.length(g).alias("n"), *ends(g)))).alias(f"{n}_between")
         for n, (_, p) in patterns.items()
     ])
     empty = F.from_json(F.lit("[]"), AROUND if around else SPAN)
@@ -38,7 +40,7 @@ def with_matches(rows: DataFrame, patterns: dict[str, tuple[Column, str | Column
     def places(n: str) -> Column:
         size = F.size(f"{n}_found")
         gaps = F.slice(f"{n}_between", 1, size)
-        pairs = F.zip_with(f"{n}_found", gaps, lambda m, gap: F.struct(m.alias("m"), F.length(gap).alias("gap")))
+        pairs = F.zip_with(f"{n}_found", gaps, lambda m, gap: F.struct(m.alias("m"), gap["n"].alias("gap")))
         if around:
             pairs = F.zip_with(pairs, _around(n, size, gaps, *around), lambda pair, sides: F.struct(pair["m"].alias("m"), pair["gap"].alias("gap"), sides.alias("sides")))
 
@@ -69,12 +71,12 @@ def with_matches(rows: DataFrame, patterns: dict[str, tuple[Column, str | Column
 
 def _around(n: str, size: Column, gaps: Column, left: int, right: int) -> Column:
     """The sides of every match, from its neighbours alone, so that no text is walked through for each match."""
-    blank = F.array(F.lit(""))
-    last = F.concat(blank, F.slice(f"{n}_found", 1, F.greatest(size - 1, F.lit(0))))
-    before_last = F.concat(blank, F.slice(gaps, 1, F.greatest(size - 1, F.lit(0))))
-    following = F.concat(F.slice(f"{n}_found", 2, F.greatest(size - 1, F.lit(0))), blank)
-    lefts = F.zip_with(F.zip_with(before_last, last, lambda a, b: F.concat(a, b)), gaps, lambda a, gap: F.lower(F.substring(F.concat(a, gap), -left, left)))
-    rights = F.zip_with(F.slice(f"{n}_between", 2, size), following, lambda gap, m: F.lower(F.substring(F.concat(gap, m), 1, right)))
+    blank, others = F.array(F.lit("")), F.greatest(size - 1, F.lit(0))
+    last = F.concat(blank, F.slice(f"{n}_found", 1, others))
+    before_last = F.concat(blank, F.transform(F.slice(gaps, 1, others), lambda g: g["tail"]))
+    following = F.concat(F.slice(f"{n}_found", 2, others), blank)
+    lefts = F.zip_with(F.zip_with(before_last, last, lambda a, b: F.concat(a, b)), gaps, lambda a, g: F.lower(F.substring(F.concat(a, g["tail"]), -left, left)))
+    rights = F.zip_with(F.slice(f"{n}_between", 2, size), following, lambda g, m: F.lower(F.substring(F.concat(g["head"], m), 1, right)))
     return F.zip_with(lefts, rights, lambda a, b: F.struct(a.alias("left"), b.alias("right")))
 
 
