@@ -219,10 +219,20 @@ def test_every_context_has_its_bigrams(docs, texts, monkeypatch):
         return math.log10(weights[0] * bigrams[a, b] / max(unigrams[a], 1) + weights[1] * unigrams[b] / total + weights[2] / (size + 1))
 
     want = {d: sum(score(a, b) for a, b in zip(w, w[1:], strict=False)) for d, w in words.items()}
-    for share in (1, 50, 50_000):
-        got = {r.doc_id: r.score for r in interpolation.scores(small, share=share, rounds=5).collect()}
+    for share, pair_share in ((1, 50_000), (50, 50), (50_000, 1), (50_000, 200), (50_000, 50_000)):
+        got = {r.doc_id: r.score for r in interpolation.scores(small, share=share, pair_share=pair_share, rounds=5).collect()}
         assert got.keys() == want.keys()
-        assert all(got[d] == pytest.approx(want[d]) for d in want), share
+        assert all(got[d] == pytest.approx(want[d]) for d in want), (share, pair_share)
+
+
+def test_packed_pairs_come_back():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    groups, columns = rng.integers(0, 5, 300), rng.integers(-(2**31), 2**31, (4, 300))
+    found, held = interpolation.packed(groups, columns)
+    for g, part in zip(found.tolist(), held, strict=True):
+        assert sorted(zip(*interpolation.unpacked(part, 4).tolist(), strict=True)) == sorted(zip(*columns[:, groups == g].tolist(), strict=True))
 
 
 def test_personal_data(docs, texts):
