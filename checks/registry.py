@@ -20,6 +20,7 @@ from civicmart.operators import joins as J
 from civicmart.operators import measures as M
 from civicmart.operators import sets as S
 from civicmart.plans import mart as PM
+from civicmart.plans import profiles as PP
 from civicmart.plans import reports as R
 from civicmart.plans import verify as V
 from civicmart.plans import warehouse as W
@@ -828,22 +829,34 @@ def borough_summary(spark, sf):
     return PM.borough_summary(warehouse(spark, sf))
 
 
-@query(
-    "staging_profile",
+_PROFILE = (
     "total_rows:i null_keys:i null_agency:i null_borough:i null_dates:i distinct_agencies:i distinct_boroughs:i"
-    " distinct_complaints:i",
-    O.over(
-        "untidy",
-        "SELECT count(*) AS total_rows, count(*) FILTER (unique_key IS NULL) AS null_keys,"
-        " count(*) FILTER (agency IS NULL) AS null_agency, count(*) FILTER (borough IS NULL) AS null_borough,"
-        " count(*) FILTER (created_date IS NULL) AS null_dates, count(DISTINCT agency) AS distinct_agencies,"
-        " count(DISTINCT borough) AS distinct_boroughs, count(DISTINCT complaint_type) AS distinct_complaints FROM raw",
-    ),
+    " distinct_complaints:i"
 )
+_PROFILED = (
+    "SELECT count(*) AS total_rows, count(*) FILTER (unique_key IS NULL) AS null_keys,"
+    " count(*) FILTER (agency IS NULL) AS null_agency, count(*) FILTER (borough IS NULL) AS null_borough,"
+    " count(*) FILTER (created_date IS NULL) AS null_dates, count(DISTINCT agency) AS distinct_agencies,"
+    " count(DISTINCT borough) AS distinct_boroughs, count(DISTINCT complaint_type) AS distinct_complaints FROM raw"
+)
+
+
+@query("staging_profile", _PROFILE, O.over("untidy", _PROFILED))
 def staging_profile(spark, sf):
     return V.staging_profile(untidy(spark, sf))
 
 
+@query("profile_of_stored_loads", _PROFILE, O.over("untidy", _PROFILED))
+def profile_of_stored_loads(spark, sf):
+    """Three loads, each profiled when it has landed; the whole is put together from what is stored of each."""
+    wh = new_warehouse(spark, "profiles")
+    rows = A.untidy_requests(spark, sf)
+    for n in range(3):
+        T.load_staging(rows.filter(F.pmod(F.hash("unique_key"), F.lit(3)) == n), wh.root, BATCH, refresh=False)
+        assert PP.refresh_profiles(wh) == 1
+    return PP.stored_profile(wh)
+
+
 @query(
     "row_counts",
     "table_name:s total_rows:i processed:i pending:i",
@@ -1746,6 +1759,18 @@ def by_agency(spark: SparkSession, sf: str) -> list[DataFrame]:
     return [rows.filter(F.crc32("agency") % 2 == n) for n in (0, 1)]
 
 
+@query("packed_between_loads", _WRITES, O.over("clean", _ONCE.format("packed", 0)))
+def packed_between_loads(spark, sf):
+    """Two loads with the small tables packed after each; what was loaded, logged and marked stays so."""
+    wh = new_warehouse(spark, "packed")
+    for part in halves(spark, sf):
+        T.load_staging(part, wh.root, BATCH, refresh=False)
+        W.run_all(wh, BATCH)
+        W.compact(wh, 0)
+    assert W.run_all(wh, BATCH)[T.FACT].read == 0 and wh.table("etl_log").count() == 3 * len(W.STEPS)
+    return written(wh, "packed")
+
+
 @query("landed_during_load", _WRITES, O.over("clean", _ONCE.format("landed", 0)))
 def landed_during_load(spark, sf):
     """Requests of agencies that no dimension knows land after the dimensions and before the fact."""

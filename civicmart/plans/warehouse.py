@@ -25,12 +25,14 @@ from civicmart.operators.joins import already_loaded
 from civicmart.operators.sets import split_by_tag
 from civicmart.session import cut, drop_path, scratch
 from civicmart.sources.lease import Lease
+from civicmart.sources.packs import CLOSED
 from civicmart.sources.tables import (
     DIMENSIONS,
     FACT,
     SCHEMAS,
     WAIT,
     create_tables,
+    pack_tables,
     pending_loads,
     read_staging,
     read_table,
@@ -337,6 +339,19 @@ def spread_keys(wh: Warehouse, always: bool = False) -> bool:
     return True
 
 
+def compact(wh: Warehouse, closed: float = CLOSED) -> dict[str, int]:
+    """Joins small files: partitions of the log, the marks and the rejected rows that were last written over
+    `closed` seconds ago, and the files of the key buckets. Says how many partitions of each table it packed.
+
+    Reports may read meanwhile; loads wait.
+    """
+    with exclusive(wh) as own:
+        found = pack_tables(own.spark, own.root, closed)
+        if own.table("fact_keys").limit(1).count():
+            spread_keys(own, always=True)
+        return found
+
+
 def settle_keys(wh: Warehouse, log_id: int) -> None:
     """After a load that died between its keys and its mark: its keys that the fact has are kept, the others go.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicmart.sources.lease import Lease
+from civicmart.sources.packs import CLOSED, drop_packs, pack, with_packs
 from civicmart.sources.raw import RAW_COLUMNS, select_known, with_audit
 
 #: Seconds that a writer waits for another one to end.
@@ -44,6 +45,9 @@ SCHEMAS = {
     "key_sets": "key_set int, depth int",
     "touched_months": "year int, month int, log_id bigint",
     "summary_loads": "log_id bigint, mark string",
+    "profile_values": "column_name string, value string, value_id int",
+    "load_bits": "load_id string, column_name string, page bigint, bits binary",
+    "load_profiles": "load_id string, total_rows bigint, null_keys bigint, null_agency bigint, null_borough bigint, null_dates bigint",
     "fact_loads": "log_id bigint, state string, mark string",
     "legacy_location": "location_key int, borough string, community_board string, zip_code string, city string,"
     " latitude decimal(9,6), longitude decimal(9,6)",
@@ -62,7 +66,14 @@ STAGING = "raw_requests"
 PARTITIONS = {
     FACT: ["year"], "fact_keys": ["key_set", "bucket"], STAGING: ["load_id"], "etl_log": ["log_id"], "etl_errors": ["log_id"], "staged_loads": ["load_id"],
     "processed_loads": ["log_id"], "dim_loads": ["mark"], "fact_loads": ["mark"], "key_sets": ["key_set"], "touched_months": ["log_id"],
-    "summary_loads": ["mark"],
+    "summary_loads": ["mark"], "load_bits": ["load_id"], "load_profiles": ["load_id"],
+}
+#: Tables whose partitions are joined into packs, by the partition's column.
+PACKED = {
+    name: PARTITIONS[name][0]
+    for name in (
+        "etl_log", "etl_errors", "staged_loads", "processed_loads", "dim_loads", "fact_loads", "touched_months", "summary_loads", "load_bits", "load_profiles",
+    )
 }
 
 
@@ -75,15 +86,31 @@ def create_tables(spark: SparkSession, root: str) -> None:
 def _write_empty(spark: SparkSession, root: str, name: str, mode: str) -> None:
     empty = spark.createDataFrame([], T.StructType.fromDDL(SCHEMAS[name])).coalesce(1)
     by = PARTITIONS.get(name, [])
+    if mode == "overwrite" and name in PACKED:
+        drop_packs(spark, root, name)
     writer = empty.write.mode(mode)
     (writer.partitionBy(*by) if by else writer).parquet(f"{root}/{name}")
 
 
+def _own_rows(spark: SparkSession, root: str, name: str) -> DataFrame:
+    schema = T.StructType.fromDDL(SCHEMAS[name])
+    return spark.read.schema(schema).parquet(f"{root}/{name}").select(*schema.fieldNames())
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table with its declared schema."""
+    """A table with its declared schema, its packs included."""
+    if name in PACKED:
+        return with_packs(_own_rows(spark, root, name), root, name, PACKED[name])
     return spark.read.schema(T.StructType.fromDDL(SCHEMAS[name])).parquet(f"{root}/{name}")
 
 
+def pack_tables(spark: SparkSession, root: str, closed: float = CLOSED) -> dict[str, int]:
+    """Joins the closed partitions of the small tables into packs: partitions packed per table."""
+    with ThreadPoolExecutor(len(PACKED)) as pool:
+        done = pool.map(lambda name: pack(spark, lambda: _own_rows(spark, root, name), root, name, PACKED[name], closed), PACKED)
+        return dict(zip(PACKED, done, strict=True))
+
+
 def save_table(df: DataFrame, root: str, name: str, mode: str = "append") -> None:
     """Write in the declared column order and types, partitioned where the table is.
 
