@@ -89,16 +89,16 @@ def op13_sharding(spark, sf_dir):
 
 ORACLE_SQL["op5_top_neighbours"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
 ),
 scored AS (
-  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.e, d.e) AS BIGINT) AS score
-  FROM v q JOIN v d ON d.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+  SELECT q.r AS q, q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.e, d.e) AS BIGINT) AS score
+  FROM v q JOIN v d ON d.r <> q.r WHERE q.vec_id % 100 = 0
 )
 SELECT query_id, rank, vec_id, score FROM (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+  SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
 ) WHERE rank <= 10"""
 _WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"

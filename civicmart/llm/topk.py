@@ -2,9 +2,10 @@
 
 Vectors of whole numbers are held in shards (rows of the shared folder), each a series of blocks with a
 forward index of its vectors and the least and greatest value of every component. The sum of what a
-block's extremes could give bounds every score in it. Per query, a shard's blocks are taken in order
-of that bound and scored until the bound falls below the k-th score known. That starts from the query's
-k-th score in one shard of bounded size, so most shards begin with a good threshold.
+block's extremes could give bounds every score in it. A query starts from its k-th score in one shard
+of bounded size. Then the extremes of whole shards, in pages, tell which shards can reach that score for
+which queries of a block, and only those meet. In a shard, blocks are taken in order of their bound and
+scored until the bound falls below the k-th score known.
 """
 
 from __future__ import annotations
@@ -20,16 +21,16 @@ from civicmart.session import cut
 SCALE = 1024
 EVERY = 100
 TOP = 10
-#: Vectors per shard and per block, and queries that meet a shard together.
-SHARD, BLOCK, QUERIES = 8192, 128, 256
+#: Vectors per shard and per block, queries that meet a shard together, and shards whose extremes lie in a page.
+SHARD, BLOCK, QUERIES, PAGE = 8192, 128, 256, 512
 EXACT = 1 << 53
 
 
 def whole_numbers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """`vec_id` and `v`, floor(scale * component); vectors that are null, empty, without id, or hold a null or
+    """`vec_id` and `v`, floor(scale * component); vectors that are null, without id, or hold a null or
     non-finite component are left out. Components beyond 64 bits become the greatest that fit."""
     sound = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    kept = vectors.select("vec_id", "embedding").filter(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & sound)
+    kept = vectors.select("vec_id", "embedding").filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & sound)
     return kept.select("vec_id", F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x.cast("double"))).alias("v"))
 
 
@@ -56,63 +57,73 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(wide, -(2**63), 2**63 - 1).astype(np.int64) if wide.size else np.zeros((len(a), len(b)), np.int64)
 
 
-def gathered(rows: DataFrame, size: int, ordered: bool) -> DataFrame:
-    """Rows as shards of up to `size` vectors: ids and vectors as bytes, number of components.
+def matrix(vectors: bytes, rows: int) -> np.ndarray:
+    """Vectors as they are kept in a row; of empty ones only their number is known."""
+    return np.frombuffer(vectors, np.int64).reshape(rows, -1) if vectors else np.zeros((rows, 0), np.int64)
+
+
+def gathered(rows: DataFrame, size: int, ordered: bool, more: tuple[str, ...] = ()) -> DataFrame:
+    """Rows in groups of up to `size` vectors: ids, vectors and further whole numbers as bytes.
 
     With `ordered`, vectors with the same largest component lie side by side, which tightens blocks.
     """
+    names = ("vec_id", *more)
 
     def run(batches):
-        ids, parts, held = [], [], 0
+        held, parts = [[] for _ in names], []
 
-        def shard():
+        def group():
             width = max(p.shape[1] for p in parts)
             v = np.concatenate([np.pad(p, ((0, 0), (0, width - p.shape[1]))) for p in parts])
-            i = np.concatenate(ids)
-            if ordered:
+            columns = [np.concatenate(h) for h in held]
+            if ordered and width:
                 most = np.argmax(np.abs(v.astype(float)), axis=1)
-                order = np.lexsort((i, v[np.arange(len(v)), most] < 0, most))
-                v, i = v[order], i[order]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([i.tobytes()], pa.binary()), pa.array([v.tobytes()], pa.binary()), pa.array([width], pa.int32())], names=["ids", "vectors", "width"]
-            )
+                order = np.lexsort((columns[0], v[np.arange(len(v)), most] < 0, most))
+                v, columns = v[order], [c[order] for c in columns]
+            return pa.RecordBatch.from_arrays([*[pa.array([c.tobytes()], pa.binary()) for c in columns], pa.array([v.tobytes()], pa.binary())], names=["ids", *more, "vectors"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, size):
-                some = batch.slice(at, size)
-                ids.append(some.column("vec_id").to_numpy().astype(np.int64))
+            at = 0
+            while at < batch.num_rows:
+                some = batch.slice(at, size - sum(len(p) for p in parts))
+                at += some.num_rows
+                for h, name in zip(held, names, strict=True):
+                    h.append(some.column(name).to_numpy().astype(np.int64))
                 parts.append(dense(some.column("v")))
-                held += some.num_rows
-                if held >= size:
-                    yield shard()
-                    ids, parts, held = [], [], 0
-        if held:
-            yield shard()
+                if sum(len(p) for p in parts) == size:
+                    yield group()
+                    held, parts = [[] for _ in names], []
+        if parts:
+            yield group()
+
+    return rows.mapInArrow(run, ", ".join(f"{name} binary" for name in ("ids", *more, "vectors")))
 
-    return rows.mapInArrow(run, "ids binary, vectors binary, width int")
+
+def most(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Per query and pair of extremes: no score with vectors in between is greater."""
+    n = min(q.shape[1], low.shape[1])
+    q = q[:, :n].astype(float)
+    bound = np.maximum(q, 0) @ high[:, :n].astype(float).T + np.minimum(q, 0) @ low[:, :n].astype(float).T
+    return bound + np.abs(bound) * 1e-9 + 1  # floats may round down
 
 
 class Blocks:
     """One shard's blocks with the extremes of their components."""
 
-    def __init__(self, ids: bytes, vectors: bytes, width: int, block: int = BLOCK):
+    def __init__(self, ids: bytes, vectors: bytes, block: int = BLOCK):
         self.ids = np.frombuffer(ids, np.int64)
-        self.v = np.frombuffer(vectors, np.int64).reshape(-1, width)
+        self.v = matrix(vectors, len(self.ids))
         self.first = np.arange(0, len(self.ids), block)
         self.low = np.minimum.reduceat(self.v, self.first)
         self.high = np.maximum.reduceat(self.v, self.first)
         self.last = np.append(self.first[1:], len(self.ids))
 
-    def bounds(self, q: np.ndarray) -> np.ndarray:
-        """Per query and block, no score is greater."""
-        n = min(q.shape[1], self.v.shape[1])
-        q = q[:, :n].astype(float)
-        most = np.maximum(q, 0) @ self.high[:, :n].astype(float).T + np.minimum(q, 0) @ self.low[:, :n].astype(float).T
-        return most + np.abs(most) * 1e-9 + 1  # floats may round down
+    def top(self, q: np.ndarray, own: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query number, vector id and score of each query's best k in this shard that reach its floor.
 
-    def top(self, query_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Query number, vector id and score of each query's best k in this shard that reach its floor."""
-        bounds = self.bounds(q)
+        `own` is the place of the query's own row in this shard, or -1.
+        """
+        bounds = most(q, self.low, self.high)
         order = np.argsort(-bounds, axis=1)
         scores = [np.empty(0, np.int64) for _ in q]
         ids = [np.empty(0, np.int64) for _ in q]
@@ -127,7 +138,9 @@ class Blocks:
                 part = slice(self.first[b], self.last[b])
                 found = products(q[mine], self.v[part])
                 for r, row in zip(mine.tolist(), found, strict=True):
-                    fits = (row >= floor[r]) & (self.ids[part] != query_ids[r])
+                    fits = row >= floor[r]
+                    if self.first[b] <= own[r] < self.last[b]:
+                        fits[own[r] - self.first[b]] = False
                     if not fits.any():
                         continue
                     s, i = np.append(scores[r], row[fits]), np.append(ids[r], self.ids[part][fits])
@@ -139,57 +152,126 @@ class Blocks:
         return np.repeat(np.arange(len(q)), sizes), np.concatenate(ids), np.concatenate(scores)
 
 
+#: A block of queries: ids, own rows (shard and place there), vectors, and the score each has to reach.
+_QUERIES = "ids binary, shard binary, place binary, vectors binary, floor binary"
+_FIELDS = ("ids", "shard", "place", "floor")
+
+
+def _queries(row: dict) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    held = {name: np.frombuffer(row[name], np.int64) for name in _FIELDS if name in row}
+    return held, matrix(row["vectors"], len(held["ids"]))
+
+
+def _batch(rows: list[dict], fields: str) -> pa.RecordBatch:
+    kinds = {"binary": pa.binary(), "bigint": pa.int64()}
+    return pa.RecordBatch.from_pylist(rows, schema=pa.schema([(n, kinds[k]) for n, k in (f.split() for f in fields.split(", "))]))
+
+
+def _own_places(held: dict[str, np.ndarray], shard: int) -> np.ndarray:
+    return np.where(held["shard"] == shard, held["place"], -1)
+
+
+def _rows_of(shards: DataFrame, every: int) -> DataFrame:
+    """Rows whose id is divisible by `every`, each with its place."""
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids = np.frombuffer(row["ids"], np.int64)
+                v = matrix(row["vectors"], len(ids))
+                place = np.flatnonzero(ids % every == 0)
+                if len(place):
+                    lists = pa.ListArray.from_arrays(np.arange(len(place) + 1, dtype=np.int32) * v.shape[1], pa.array(v[place].ravel()))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[place]), pa.array(np.full(len(place), row["shard"])), pa.array(place), lists], names=["vec_id", "shard", "place", "v"]
+                    )
+
+    return shards.select("shard", "ids", "vectors").mapInArrow(run, "vec_id bigint, shard bigint, place bigint, v array<bigint>")
+
+
+def _extremes(shards: DataFrame) -> DataFrame:
+    """Pages with the extremes of whole shards, at most `PAGE` of one width to a page."""
+
+    def run(batches):
+        open_: dict[int, list] = {}
+
+        def page(rows):
+            return _batch([{"shards": np.array([r[0] for r in rows]).tobytes(), "low": np.stack([r[1] for r in rows]).tobytes(), "high": np.stack([r[2] for r in rows]).tobytes()}], "shards binary, low binary, high binary")
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                v = matrix(row["vectors"], len(row["ids"]) // 8)
+                same = open_.setdefault(v.shape[1], [])
+                same.append((row["shard"], v.min(axis=0), v.max(axis=0)))
+                if len(same) == PAGE:
+                    yield page(open_.pop(v.shape[1]))
+        for same in open_.values():
+            yield page(same)
+
+    return shards.select("shard", "ids", "vectors").mapInArrow(run, "shards binary, low binary, high binary")
+
+
 def neighbours(vectors: DataFrame, every: int = EVERY, top: int = TOP) -> DataFrame:
     """query_id, rank, vec_id and score of each query's best; ties go to the smaller id.
 
-    Queries are the rows whose id is divisible by `every`; an id that repeats there is one query, by
-    its least vector. Candidates are all rows with another id; repeated rows are candidates each.
-    Vectors of different length are multiplied over the components both have. An empty table
-    gives an empty one.
+    Each row whose id is divisible by `every` is a query of its own, also where ids repeat: every query has its
+    ranks from 1. Candidates are all rows but the query's own, so other rows with its id are among them.
+    Vectors of different length are multiplied over the components both have; an empty one scores 0 with all.
+    Rows without id take no part. An empty table gives an empty one.
     """
     spark = vectors.sparkSession
-    whole = whole_numbers(vectors)
-    shards = cut(gathered(whole, SHARD, True), "topk-shards")
-    own = whole.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
-    queries = cut(gathered(own, QUERIES, False), "topk-queries")
+    shards = cut(gathered(whole_numbers(vectors), SHARD, True).select(F.monotonically_increasing_id().alias("shard"), "*"), "topk-shards")
+    queries = gathered(_rows_of(shards, every), QUERIES, False, ("shard", "place"))
 
-    first = shards.orderBy(F.xxhash64("ids")).limit(1).collect()  # one shard, of bounded size
+    first = shards.orderBy(F.xxhash64("ids"), "shard").limit(1).collect()  # one shard, of bounded size
     seed = send(spark, tuple(first[0]) if first else None)
     lowest = -(2**63)
 
     def start(batches):
-        held = seed()
-        blocks = Blocks(*held) if held else None
+        held_seed = seed()
+        if held_seed is None:  # no rows, and so no queries
+            return
+        shard, ids, vectors = held_seed
+        blocks = Blocks(ids, vectors)
         for batch in batches:
             for row in batch.to_pylist():
-                ids = np.frombuffer(row["ids"], np.int64)
-                q = np.frombuffer(row["vectors"], np.int64).reshape(-1, row["width"])
-                floor = np.full(len(ids), lowest, np.int64)
-                if blocks:
-                    number, _, score = blocks.top(ids, q, floor.astype(float), top)
-                    many = np.bincount(number, minlength=len(ids)) == top
-                    least = np.full(len(ids), 2**63 - 1, np.int64)
-                    np.minimum.at(least, number, score)
-                    floor = np.where(many, least, lowest)
-                yield pa.RecordBatch.from_pylist([row | {"floor": floor.tobytes()}], schema=pa.schema([*[pa.field(f.name, f.type) for f in batch.schema], pa.field("floor", pa.binary())]))
-
-    started = cut(queries.mapInArrow(start, "ids binary, vectors binary, width int, floor binary"), "topk-floors")
-    groups = max(1, shards.count())  # every block of queries meets every shard once
-    at = F.pmod(F.xxhash64("ids"), F.lit(groups)).alias("at")
-    met = started.select(F.struct("*").alias("q"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))).alias("at")).join(
-        shards.select(at, F.struct("*").alias("s")), "at"
-    )
+                held, q = _queries(row)
+                floor = np.full(len(q), lowest, np.int64)
+                number, _, score = blocks.top(q, _own_places(held, shard), floor, top)
+                least = np.full(len(q), 2**63 - 1, np.int64)
+                np.minimum.at(least, number, score)
+                floor = np.where(np.bincount(number, minlength=len(q)) == top, least, lowest)
+                yield _batch([row | {"floor": floor.tobytes()}], _QUERIES)
+
+    started = cut(queries.mapInArrow(start, _QUERIES), "topk-floors")
+    pages = cut(_extremes(shards), "topk-extremes")
+    count = F.lit(max(pages.count(), 1)).cast("bigint")  # one per PAGE shards, and per task and width
+    dealt = pages.select(F.pmod(F.xxhash64("shards"), count).alias("page"), "*")  # a block meets every number, and so every page, once
+    asked = started.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)).alias("page")).join(dealt, "page").drop("page")
+
+    def reach(batches):
+        """The queries of a block that a shard can give anything, for each shard of a page."""
+        for batch in batches:
+            for row in batch.to_pylist():
+                held, q = _queries(row)
+                shards = np.frombuffer(row["shards"], np.int64)
+                bounds = most(q, matrix(row["low"], len(shards)), matrix(row["high"], len(shards)))
+                for at, fits in zip(shards.tolist(), (bounds >= held["floor"].astype(float)[:, None]).T, strict=True):
+                    if fits.any():
+                        part = {name: held[name][fits].tobytes() for name in _FIELDS}
+                        yield _batch([part | {"vectors": q[fits].tobytes(), "at": at}], _QUERIES + ", at bigint")
+
+    met = asked.mapInArrow(reach, _QUERIES + ", at bigint").join(shards.select(F.col("shard").alias("at"), F.col("ids").alias("all_ids"), F.col("vectors").alias("all_vectors")), "at")
 
     def score(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                q, s = batch.column("q")[i].as_py(), batch.column("s")[i].as_py()
-                ids = np.frombuffer(q["ids"], np.int64)
-                number, found, best = Blocks(s["ids"], s["vectors"], s["width"]).top(
-                    ids, np.frombuffer(q["vectors"], np.int64).reshape(-1, q["width"]), np.frombuffer(q["floor"], np.int64), top
-                )
-                yield pa.RecordBatch.from_arrays([pa.array(ids[number]), pa.array(found), pa.array(best)], names=["query_id", "vec_id", "score"])
-
-    found = met.select("q", "s").mapInArrow(score, "query_id bigint, vec_id bigint, score bigint")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", place).filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
+                row = batch.slice(i, 1).to_pylist()[0]
+                held, q = _queries(row)
+                number, found, best = Blocks(row["all_ids"], row["all_vectors"]).top(q, _own_places(held, row["at"]), held["floor"], top)
+                columns = [held["ids"][number], held["shard"][number], held["place"][number], found, best]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "shard", "place", "vec_id", "score"])
+
+    found = met.mapInArrow(score, "query_id bigint, shard bigint, place bigint, vec_id bigint, score bigint")
+    rank = F.row_number().over(Window.partitionBy("shard", "place").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")

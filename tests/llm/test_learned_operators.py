@@ -51,23 +51,47 @@ def test_toxic_documents_go_and_columns_stay(spark):
 def neighbours_of(rows, every=100, top=10):
     import math
 
-    whole = [(i, [math.floor(1024 * float(x)) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    whole = [(i, [math.floor(1024 * float(x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, v in {i: v for i, v in sorted(whole, key=lambda r: r[1], reverse=True) if i % every == 0}.items():
-        scored = sorted((-sum(a * b for a, b in zip(v, w, strict=False)), i) for i, w in whole if i != q)
-        out += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored[:top])]
+    for n, (q, v) in enumerate(whole):
+        if q % every == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, w, strict=False)), i) for m, (i, w) in enumerate(whole) if m != n)
+            out += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored[:top])]
     return sorted(out)
 
 
-def test_neighbours(spark, monkeypatch):
-    monkeypatch.setattr(topk, "SHARD", 100)
-    monkeypatch.setattr(topk, "QUERIES", 2)
+def found_by(vectors):
+    return sorted(map(tuple, topk.neighbours(vectors).collect()))
+
+
+@pytest.mark.parametrize(("shard", "queries", "page"), [(100, 2, 3), (7, 5, 512), (8192, 256, 512)])
+def test_neighbours(spark, monkeypatch, shard, queries, page):
+    for name, value in (("SHARD", shard), ("QUERIES", queries), ("PAGE", page)):
+        monkeypatch.setattr(topk, name, value)
     rows = [(r.vec_id, r.embedding) for r in read(spark, SMALL, "embeddings").collect()]
     rows += [(i, rows[3][1]) for i in range(10_000, 10_200)] + [(10_000, rows[4][1]), (600, None), (700, [None] * 64), (800, [float("nan")] * 64), (None, rows[0][1])]
-    rows += [(20_001, [1e6] * 64), (20_100, [3e5, -2e5]), (20_101, []), (20_102, [float("inf")] * 64)]
+    rows += [(20_001, [1e6] * 64), (20_100, [3e5, -2e5]), (20_101, []), (20_102, [float("inf")] * 64), (-100, rows[5][1])]
+    rows += [(30_000, [])] * 2 + [(30_100, rows[6][1])] * 15  # queries that repeat, and empty ones
     vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
-    assert sorted(map(tuple, topk.neighbours(vectors.selectExpr("*", "1 AS score", "2 AS at")).collect())) == neighbours_of(rows)
-    assert topk.neighbours(vectors.limit(0)).count() == 0
+    assert found_by(vectors.selectExpr("*", "1 AS score", "2 AS at", "3 AS shard", "4 AS place")) == neighbours_of(rows)
+
+
+def test_neighbours_of_few_and_odd_rows(spark):
+    kind = "vec_id bigint, embedding array<double>"
+    for rows in ([], [(100, [1.0, 2.0])], [(100, []), (200, [])], [(100, [1.0, 2.0]), (100, [3.0, 1.0])], [(7, [1.0])], [(None, [1.0]), (100, None)]):
+        assert found_by(spark.createDataFrame(rows, kind)) == neighbours_of(rows)
+
+
+def test_shards_out_of_reach_are_not_met(spark, monkeypatch):
+    import numpy as np
+
+    ends = [np.array([[0, 0], [5, 5]]), np.array([[-9, -9], [-1, -1]])]
+    low, high = np.stack([e[0] for e in ends]), np.stack([e[1] for e in ends])
+    bounds = topk.most(np.array([[2, 3], [-1, -1]]), low, high)
+    assert (bounds[0] >= 25).tolist() == [True, False] and (bounds[1] >= 18).tolist() == [False, True]
+    monkeypatch.setattr(topk, "SHARD", 10)
+    rows = [(i, [float(s * (i + 1)), float(s * i)]) for s in (1, -1) for i in range(200)]
+    assert found_by(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")) == neighbours_of(rows)
 
 
 def test_forest_learns_given_labels(spark):
