@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import warnings
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
@@ -17,6 +18,10 @@ RAW_COLUMNS = [
     "latitude", "longitude", "status", "resolution_description", "community_board",
 ]
 FIRST_YEAR = 2010
+#: The year in the name of a request file, or of the folder that its part files are in.
+FILE_YEAR = r"_(\d{4})\.csv(/[^/]*)?$"
+#: Files whose first line is read at the same time.
+OPENED = 32
 
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])
 
@@ -46,7 +51,7 @@ def pick_years(
 def files_of_years(spark: SparkSession, folder: str) -> dict[int, list[str]]:
     """Files per year of every `…_YYYY.csv`, a file or a folder of part files. Only names are read."""
     files = spark.read.format("binaryFile").load(f"{folder}/*_[0-9][0-9][0-9][0-9].csv")
-    year = F.regexp_extract("path", r"_(\d{4})\.csv(/[^/]*)?$", 1).cast("int")
+    year = F.regexp_extract("path", FILE_YEAR, 1).cast("int")
     found: dict[int, list[str]] = {}
     for y, path in files.select(year, "path").collect():  # one row per file
         found.setdefault(y, []).append(path)
@@ -73,8 +78,8 @@ def read_raw(
 
     `years` is one year, a (first, last) range, a list or everything; a wanted year without a file
     adds nothing and is warned of. Every file goes by its own header: files with the same header are
-    read together, others may order their columns differently or lack some. Other years' files are
-    never opened. With `multiline` a quoted value may hold line breaks, and a file is read by one
+    read together, by one scan whatever their years, others may order their columns differently or lack some.
+    Other years' files are never opened. With `multiline` a quoted value may hold line breaks, and a file is read by one
     task; without it files split.
     """
     found = files_of_years(spark, folder)
@@ -84,20 +89,19 @@ def read_raw(
         raise FileNotFoundError(f"no request file in {folder} for years {years or 'of any kind'}")
     if absent:
         warnings.warn(f"no request file for years {absent}", stacklevel=2)
-    groups: dict[tuple[int, str], list[str]] = {}
-    for year in wanted:
-        for path in found.get(year, []):
-            groups.setdefault((year, header_of(spark, path)), []).append(path)
+    paths = [path for year in wanted for path in found.get(year, [])]
+    groups: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(OPENED) as pool:
+        for path, header in zip(paths, pool.map(lambda path: header_of(spark, path), paths), strict=True):
+            groups.setdefault(header, []).append(path)
     reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"').option("enforceSchema", False)
 
-    def one(year: int, header: str, paths: list[str]) -> DataFrame | None:
-        if not header:
-            return None
-        known = select_known(reader.csv(paths))
-        text = [F.nullif(F.col(c), F.lit("")).alias(c) for c in RAW_COLUMNS]
-        return known.select(*text, F.lit(year).alias("source_year"))
+    def one(same: list[str]) -> DataFrame:
+        year = F.regexp_extract(F.col("_metadata.file_path"), FILE_YEAR, 1).cast("int")
+        known = select_known(reader.csv(same).withColumn("source_year", year))
+        return known.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in RAW_COLUMNS], "source_year")
 
-    parts = [p for p in (one(year, header, paths) for (year, header), paths in groups.items()) if p is not None]
+    parts = [one(same) for header, same in groups.items() if header]
     if not parts:
         return spark.createDataFrame([], RAW_SCHEMA).withColumn("source_year", F.lit(None).cast("int"))
     return reduce(DataFrame.unionByName, parts)

@@ -124,3 +124,13 @@ def test_row_ids_differ_and_stay(spark, requests_of, folder):
     first = sorted(column(wh.staging, "stg_row_id"))
     assert len(set(first)) == 3
     assert sorted(column(wh.staging, "stg_row_id")) == first
+
+
+def test_files_with_one_header_are_one_scan(spark, folder):
+    for year in (2021, 2022, 2023):
+        rows = spark.range(40).selectExpr("CAST(id AS string) AS unique_key", "'x' AS agency", f"'{year - 1000}' AS source_year")
+        rows.repartition(4).write.option("header", True).csv(f"{folder}/requests_{year}.csv")
+    with pytest.warns(UserWarning, match="missing"):
+        got = R.read_raw(spark, folder, (2021, 2022))
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    assert sorted(column(got.groupBy("source_year").count(), "source_year", "count")) == [(2021, 40), (2022, 40)]
