@@ -8,7 +8,8 @@ that the automaton sent to the tasks never outgrows them; one block is the usual
 
 from __future__ import annotations
 
-import hashlib
+import math
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -137,6 +138,15 @@ class Automaton:
         made.lengths = [len(w) for _, w in items]
         return made
 
+    def kept(self) -> bytes:
+        return pickle.dumps(vars(self))
+
+    @classmethod
+    def again(cls, held: bytes) -> Automaton:
+        made = cls.__new__(cls)
+        vars(made).update(pickle.loads(held))
+        return made
+
 
 def item_words(text: str | None) -> list[bytes]:
     data, offsets = flat(pa.array([text], pa.string()))
@@ -145,20 +155,42 @@ def item_words(text: str | None) -> list[bytes]:
     return [held[a:b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
 
 
-def blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The items with words, in blocks of about `limit` words; one partition at a time comes to the driver."""
-    block: list[tuple[str, list[bytes]]] = []
-    held = 0
-    for item_id, text in benchmark.select(F.col("item_id").cast("string"), "text").toLocalIterator():
-        found = item_words(text)
-        if found:
-            block.append(("" if item_id is None else item_id, found))
-            held += len(found)
-        if held >= limit:
-            yield block
-            block, held = [], 0
-    if block:
-        yield block
+def item_parts(benchmark: DataFrame, window: int, limit: int) -> DataFrame:
+    """The words of the items that have any (`item_id`, `n`, `words`), in parts of at most `limit` words, or of a window."""
+    size = max(limit, window)
+
+    def run(batches):
+        for batch in batches:
+            ids, texts = batch.column("item_id").to_pylist(), batch.column("text")
+            for i, item_id in enumerate(ids):
+                found = item_words(texts[i].as_py())
+                for begin in range(0, max(len(found) - window + 1, min(len(found), 1)), size - window + 1):
+                    part = found[begin : begin + size]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(["" if item_id is None else item_id]), pa.array([len(part)]), pa.array([b"\n".join(part)], pa.binary())], names=["item_id", "n", "words"]
+                    )
+
+    return benchmark.select(F.col("item_id").cast("string"), "text").mapInArrow(run, "item_id string, n bigint, words binary")
+
+
+def automata(benchmark: DataFrame, window: int, limit: int) -> DataFrame:
+    """One row per block of about `limit` words, at most twice as many, with its automaton (`held`)."""
+    parts = cut(item_parts(benchmark, window, limit), "item-parts")
+    total = parts.agg(F.sum("n")).first()[0] or 0
+
+    def build(batches):
+        block, held = [], 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                block.append((row["item_id"], row["words"].split(b"\n")))
+                held += row["n"]
+                if held >= limit:
+                    yield pa.RecordBatch.from_arrays([pa.array([Automaton.of(block, window).kept()], pa.binary())], names=["held"])
+                    block, held = [], 0
+        if block:
+            yield pa.RecordBatch.from_arrays([pa.array([Automaton.of(block, window).kept()], pa.binary())], names=["held"])
+
+    return cut(parts.repartition(max(1, math.ceil(total / limit))).mapInArrow(build, "held binary"), "automata")
 
 
 def _merge(a: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -187,13 +219,12 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block
         F.lit([]).cast("array<string>").alias("_items"),
     )
     made = None
-    for block in blocks(benchmark, block_words):
+    for row in automata(benchmark, window, block_words).toLocalIterator():  # an automaton of bounded size at a time
         if made is not None:  # more blocks than one: each pass holds one automaton only
             marked = cut(made, "hits")
-        held = send(docs.sparkSession, Automaton.of(block, window))
-        made = _pass(marked, held, docs.schema, extra)
+        made = _pass(marked, send(docs.sparkSession, row.held), docs.schema, extra)
     if made is None:
-        made = _pass(marked, send(docs.sparkSession, Automaton.of([], window)), docs.schema, extra)
+        made = _pass(marked, send(docs.sparkSession, Automaton.of([], window).kept()), docs.schema, extra)
     return made
 
 
@@ -205,7 +236,7 @@ def _pass(marked: DataFrame, held, schema, extra: str) -> DataFrame:
     pair = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
-        automaton = held()
+        automaton = Automaton.again(held())
         for batch in batches:
             for part in slices(batch):
                 data, offsets = flat(part.column("text"))

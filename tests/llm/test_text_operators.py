@@ -113,6 +113,21 @@ def test_contamination(spark, docs, texts, block_words):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
 
+def test_items_longer_than_a_block(spark):
+    long = [f"w{i % 37}x{i % 11}" for i in range(150)]
+    other = [f"v{i % 5}" for i in range(90)]
+    items = [(1, " ".join(long)), (2, " ".join(other)), (3, "no id"), (4, " ".join(long[40:80]))]
+    texts = [(n, " ".join([*other[n : n + 3], *long[n : n + 5 + n % 30], "z"] * 3)) for n in range(0, 120)] + [(200, " ".join(long)), (201, "z no id z")]
+    bench, docs = spark.createDataFrame(items, "item_id bigint, text string"), spark.createDataFrame(texts, "doc_id bigint, text string")
+    parts = decontamination.item_parts(bench, 13, 60).collect()
+    assert max(r.n for r in parts) <= 60 and sum(r.item_id == "1" for r in parts) == 3
+    windows = {tuple(long[i : i + 13]) for i in range(138)}
+    held = [r.words.decode().split("\n") for r in parts if r.item_id == "1"]
+    assert {tuple(w[i : i + 13]) for w in held for i in range(len(w) - 12)} == windows
+    got = decontamination.contamination(docs, bench, block_words=60).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute.contamination(texts, items)))
+
+
 def test_decontaminate_cuts_spans_and_keeps_the_rest(spark):
     passage = " ".join(f"w{i}é" for i in range(20))
     rest = " ".join(f"v{i}" for i in range(700))
