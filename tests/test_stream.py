@@ -145,6 +145,32 @@ def test_pages_go_on_where_a_run_stopped(spark, requests_of, folder):
     assert keys() == [*range(25), *range(100, 125)] and wh.pending.count() == 50
 
 
+@pytest.mark.parametrize("most", [None, 7])
+def test_pages_and_files_land_together(spark, requests_of, folder, monkeypatch, most):
+    from civicmart.sources import pages as P
+
+    inbox = fresh_path(spark, "inbox")
+    wh = W.create_warehouse(spark, folder)
+    for name in range(3):
+        rows = requests_of(*[{"unique_key": f"{name}-{i}", "city": str(i)} for i in range(25)])
+        deliver(rows.select(*rows.columns[::-1]) if name == 1 else rows, f"{inbox}/{name}")
+    if most:
+        monkeypatch.setattr(P, "SAVES_AT_ONCE", most)
+    group = f"pages-{most}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        assert P.ingest_pages(spark, folder, inbox, 1, page_rows=2, pages_per_save=1) == {"rows_landed": 75, "saves": 39}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    if not most:
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) < 39
+    landed = column(wh.staging, "load_id", "unique_key", "city")
+    assert sorted(k for _, k, _ in landed) == sorted(f"{n}-{i}" for n in range(3) for i in range(25))
+    assert all(k.split("-")[1] == c and int(load[-9:]) == int(c) // 2 for load, k, c in landed)
+    assert len({(load[:24], k.split("-")[0]) for load, k, _ in landed}) == 3 and wh.pending.count() == 75
+    assert P.ingest_pages(spark, folder, inbox, 1, page_rows=2, pages_per_save=1) == {"rows_landed": 0, "saves": 0}
+
+
 def test_rows_are_numbered_in_the_order_of_the_file(spark, requests_of):
     from civicmart.sources import pages as P
 
