@@ -358,3 +358,35 @@ def test_summaries_follow_the_loads(spark, requests_of, folder):
         stored, full = PM.stored_summary(wh, name), build(wh)
         assert sorted(map(str, stored.select(full.columns).collect())) == sorted(map(str, full.collect()))
         assert stored.filter("month = 5").agg(F.sum("total_requests")).first()[0] == 2
+
+
+def test_a_first_load_writes_its_keys_once(spark, requests_of, folder, monkeypatch):
+    monkeypatch.setattr(FA, "KEYS_PER_BUCKET", 4)
+    wrote = []
+    save = W.save_table
+    monkeypatch.setattr(W, "save_table", lambda df, root, name, *rest, **more: (wrote.append(name), save(df, root, name, *rest, **more)))
+    wh = W.create_warehouse(spark, folder)
+    for first in (0, 20):
+        T.load_staging(requests_of(*[{"unique_key": str(first + i)} for i in range(20)]), wh.root, 1)
+        W.run_all(wh, 1)
+        depth = wh.fact_keys.depth
+        assert depth == FA.key_depth(first + 20)
+        own = wh.table("fact_keys").filter(f"key_set = {W.key_set(wh)[0]} AND log_id > 0")
+        assert own.count() == 20 and own.select("bucket").distinct().count() > 4  # this load's keys lie where they were first written
+    assert wrote.count("fact_keys") == 2 and wh.fact.count() == 40
+
+
+def test_many_rejected_repeats_meet_the_rows_once(spark, requests_of, folder, monkeypatch):
+    cuts = []
+    cut = FA.cut
+    monkeypatch.setattr(FA, "cut", lambda df, name: (cuts.append(name), cut(df, name))[1])
+    wh = W.create_warehouse(spark, folder)
+    rows = requests_of(*[{"unique_key": str(i // 2), "status": "Open" if i % 2 else "Closed"} for i in range(40)])
+    for most, stored in ((1000, False), (5, True)):
+        monkeypatch.setattr(FA, "MARKS_MET", most)
+        cuts.clear()
+        T.load_staging(rows, wh.root, 1)
+        found = W.run_all(wh, 1)[T.FACT]
+        assert ("judged" in cuts) == stored
+        assert (found.read, found.inserted, found.rejected) == (40, 0 if stored else 20, 40 if stored else 20)
+    assert wh.fact.count() == 20
