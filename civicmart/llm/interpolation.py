@@ -3,15 +3,17 @@
 The probability of a word after its context mixes the maximum-likelihood bigram, the
 maximum-likelihood unigram and the uniform share of the vocabulary and one unknown word. The weights
 depend on how often the context was seen (a bucket per power of two), and are learned by
-expectation-maximisation on counts of held-out documents, after those documents are deleted from
-the corpus counts.
+expectation-maximisation on all training documents: either half of them is held out in turn, and its
+tokens are estimated by the corpus counts from which it is deleted, which are those of the other half.
+The tokens are added up by bucket and rounded estimates, with the sums of the estimates themselves, so
+that the rounds of expectation-maximisation need only this bounded table.
 
 Counts cover all training tokens, and every word (or the text's begin) is a context with bigrams of
 its own. Words that hold at least one in `WORD_SHARE` training tokens are at most that many, and are
 sent to every task with their counts; so are pairs that hold at least one in `PAIR_SHARE`. All else is
 counted and scored where rows meet. Pairs of two frequent words, nearly all rows, travel packed: a
 slice sends each group of pairs one row with the places of their words in the frequent table, their
-texts and counts. The others go with one row per document, context and word, by their context if it
+texts and counts. The others travel likewise, a row per group and many slices, by their context if it
 is rare, else by their word. A rare word's count is that of the rows it is the context of, as some
 word or the end follows every token. Only pairs of two rare words lack their word's count where they
 meet; the distinct ones of a slice are joined to the word counts beforehand, and the answers meet
@@ -22,23 +24,24 @@ crowded it is.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from civicmart.llm.columns import BLANK, distinct, flat, fold, sample, send, slices, words
-from civicmart.session import cut
+from civicmart.llm.columns import BLANK, distinct, flat, fold, send, slices, words
+from civicmart.session import cut, drop_path, fresh_path
 
 FOLDS, HELD_FOLD = 5, 1
 #: Words are sent to every task if at least one token in so many is theirs (at most so many, 16 bytes each), pairs likewise.
 WORD_SHARE, PAIR_SHARE = 2_000_000, 50_000
-#: Training documents whose counts are held out for the mixture weights (at most a tenth of all).
-HELD_OUT_DOCS = 2000
 ROUNDS = 60
+#: Steps per power of two to which estimates are rounded where tokens are added up for the weights, whose sums stay exact.
+STEPS = 4
 #: Training tokens whose rows meet in one task, on average.
 TOKENS_PER_TASK = 2_000_000
 #: Groups of pairs that a task has on average; a slice packs a row for each group.
@@ -90,38 +93,59 @@ class Tokens:
         self.before = np.concatenate([[len(found)], self.codes[:-1]])
 
 
-def _combined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, where = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(where, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
+def halved(at: np.ndarray, second: np.ndarray, size: int) -> np.ndarray:
+    """How often each place occurs in the first and in the second half."""
+    return np.bincount(at * 2 + second, minlength=2 * size).reshape(-1, 2).T
 
 
-def _count(docs: DataFrame, keys_of) -> DataFrame:
-    """`key` and `n` over all texts of `docs`, of the keys that `keys_of(tokens)` gives with their counts."""
+def added(row: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows, and their sums of each line of values."""
+    rows, at = np.unique(row, return_inverse=True)
+    return rows, np.stack([np.bincount(at, v, len(rows)) for v in values]).astype(float, copy=False)
 
-    def run(batches):
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in batches:
-            for part in slices(batch, limit=SLICE_BYTES):
-                parts.append(keys_of(Tokens(part.column("text"))))
-                if sum(len(k) for k, _ in parts) > GATHERED:
-                    parts = [_combined(parts)]
-                    if len(parts[0][0]) > GATHERED // 2:
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts.pop()], names=["key", "n"])
-        if parts:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _combined(parts)], names=["key", "n"])
 
-    return docs.select("text").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+class Added:
+    """Sums by row, of a bounded number of rows."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def take(self, row: np.ndarray, values: np.ndarray, last: bool = False):
+        """Takes in more, and gives sums away when there are too many, or at the end."""
+        self.parts.append((row, values))
+        if last or sum(len(r) for r, _ in self.parts) > GATHERED:
+            self.parts = [added(np.concatenate([r for r, _ in self.parts]), np.concatenate([v for _, v in self.parts], axis=1))]
+            if last or len(self.parts[0][0]) > GATHERED // 2:
+                yield self.parts.pop()
+
+
+def halves(docs: DataFrame) -> DataFrame:
+    """Each text, and whether it belongs to the second half of the documents. Repeated rows stay together."""
+    return docs.select("text", (F.xxhash64("doc_id", "text") % 2 != 0).alias("second"))
+
+
+def half_of(part: pa.RecordBatch, t: Tokens) -> np.ndarray:
+    """The half of each token."""
+    return part.column("second").to_numpy(zero_copy_only=False).astype(np.int64)[t.text]
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    return _count(docs, lambda t: (t.hashes, np.bincount(t.codes, minlength=len(t.hashes))))
+    """`key` of every word, and its counts in the first and the second half of the documents."""
 
+    def run(batches):
+        sums = Added()
 
-def _sorted(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    table = df.toArrow()
-    keys, n = (table.column(c).to_numpy().astype(np.int64) for c in ("key", "n"))
-    order = np.argsort(keys)
-    return keys[order], n[order]
+        def told(found):
+            return pa.RecordBatch.from_arrays([pa.array(found[0]), *(pa.array(n.astype(np.int64)) for n in found[1])], names=["key", "first", "second"])
+
+        for batch in batches:
+            for part in slices(batch, limit=SLICE_BYTES):
+                t = Tokens(part.column("text"))
+                yield from map(told, sums.take(t.hashes, halved(t.codes, half_of(part, t), len(t.hashes))))
+        yield from map(told, sums.take(np.empty(0, np.int64), np.empty((2, 0)), last=True))
+
+    rows = halves(docs).mapInArrow(run, "key bigint, first bigint, second bigint")
+    return rows.groupBy("key").agg(F.sum("first").alias("first"), F.sum("second").alias("second"))
 
 
 class Model:
@@ -177,73 +201,229 @@ class Model:
         return w
 
 
-def held_out_rows(docs: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Context hash, word hash and count over `limit` training documents."""
-    ids = sample(docs.select("doc_id").distinct(), limit, "doc_id")
-    drawn = docs.join(F.broadcast(ids), "doc_id", "left_semi")
+def tasks_for(spark: SparkSession, total: int) -> int:
+    """The number of tasks in which the rows of so many training tokens meet."""
+    return max(1, math.ceil(total / TOKENS_PER_TASK), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def rare_pairs(texts: DataFrame, counts: DataFrame, words_sent: Callable[[], np.ndarray]) -> DataFrame:
+    """The pairs of two rare words that `texts` hold, with the counts of the second word in either half."""
 
     def run(batches):
+        frequent = words_sent()
         for batch in batches:
             for part in slices(batch, limit=SLICE_BYTES):
                 t = Tokens(part.column("text"))
-                u, where = np.unique(t.before * len(t.hashes) + t.codes, return_inverse=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(t.hashes[u // len(t.hashes)]), pa.array(t.hashes[u % len(t.hashes)]), pa.array(np.bincount(where, minlength=len(u)))],
-                    names=["context", "word", "n"],
-                )
+                known = place(frequent, t.hashes) >= 0
+                both = ~known[t.before] & ~known[t.codes]
+                u = np.unique(t.before[both] * len(t.hashes) + t.codes[both])
+                yield pa.RecordBatch.from_arrays([pa.array(t.hashes[u // len(t.hashes)]), pa.array(t.hashes[u % len(t.hashes)])], names=["context", "word"])
+
+    pairs = texts.select("text").mapInArrow(run, "context bigint, word bigint")
+    return pairs.join(counts, F.col("word") == F.col("key")).select("context", "word", "first", "second")
+
 
-    rows = drawn.select("text").mapInArrow(run, "context bigint, word bigint, n bigint")
-    table = rows.groupBy("context", "word").agg(F.sum("n").alias("n")).toArrow()
-    return tuple(table.column(c).to_numpy().astype(np.int64) for c in ("context", "word", "n"))
+def events(total: np.ndarray, c_context: np.ndarray, c_word: np.ndarray, c_pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the weights are learned from: for the tokens of either half, the estimates by the counts of the other half.
+
+    All counts come in two lines, one per half. Gives a number for bucket and rounded estimates, and for each row the
+    tokens and their sums of both estimates.
+    """
+    bins, values = [], []
+    for own, other in ((0, 1), (1, 0)):
+        at = np.flatnonzero(c_pair[own] > 0)
+        n, context = c_pair[own][at].astype(float), c_context[other][at]
+        estimates = np.stack([c_pair[other][at] / np.maximum(context, 1), c_word[other][at] / max(total[other], 1)])
+        steps = np.where(estimates > 0, 1 + np.floor(-STEPS * np.log2(np.where(estimates > 0, estimates, 1))), 0).astype(np.int64)
+        bins.append((Model.bucket(context) << 20 | steps[0]) << 20 | steps[1])
+        values.append(np.stack([n, *(n * estimates)]))
+    return np.concatenate(bins), np.concatenate(values, axis=1)
+
+
+def met_pairs(by_half: np.ndarray, code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of frequent words, and by half the counts of their contexts, words and themselves."""
+    code, c_pair = added(code, n)
+    return code, by_half[:, code >> 32], by_half[:, code & 0xFFFFFFFF], c_pair
+
+
+def met_rare(by_half: np.ndarray, key: np.ndarray, other: np.ndarray, n: np.ndarray, asks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By half the counts of contexts, words and pairs, of the distinct pairs in all rows of some keys; see `settled`."""
+    order = np.lexsort((other, key))
+    key, other, n, asks = key[order], other[order], n[:, order], asks[order]
+    new_key = np.append(True, key[1:] != key[:-1])[: len(key)]
+    new_pair = new_key | np.append(True, other[1:] != other[:-1])[: len(key)]
+    first = np.flatnonzero(new_pair)
+    frequent = by_half.shape[1] - 1
+    by_word = (other >= 0) & (other < frequent)
+    seen = np.where(asks, n, 0)
+    c_key = np.add.reduceat(np.where(by_word, 0, seen), np.flatnonzero(new_key), axis=1)[:, (np.cumsum(new_key) - 1)[first]]
+    c_pair = np.add.reduceat(seen, first, axis=1)
+    answer = np.maximum.reduceat(np.where(asks, 0, n), first, axis=1)
+    by_word, other = by_word[first], other[first]
+    after = (other < 0) & (other >= -frequent)
+    c_context = np.where(by_word, by_half[:, np.where(by_word, other, frequent)], c_key)
+    c_word = np.where(by_word, c_key, np.where(after, by_half[:, np.where(after, -1 - other, frequent)], answer))
+    return c_context, c_word, c_pair
+
+
+def squeezed(held: list[bytes]) -> list[bytes]:
+    """Packed columns, each in fewer bytes, with its size before."""
+    return [len(x).to_bytes(4, "little") + pa.compress(x, codec="zstd", asbytes=True) for x in held]
+
+
+def restored(held: bytes) -> bytes:
+    return pa.decompress(held[4:], decompressed_size=int.from_bytes(held[:4], "little"), codec="zstd", asbytes=True)
+
+
+def packed_keys(groups: int, key: np.ndarray, other: np.ndarray, *rest: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Columns packed by group of their keys, which hold only what the group leaves open of them."""
+    found, held = packed(key % groups, np.stack([*split(key // groups), *split(other), *rest]))
+    return found, squeezed(held)
+
+
+def unpacked_keys(groups: int, group: int, held: bytes, columns: int) -> list[np.ndarray]:
+    high, low, other_high, other_low, *rest = unpacked(restored(held), columns + 2)
+    return [joined(high, low) * groups + group, joined(other_high, other_low), *rest]
+
+
+def split(values: np.ndarray) -> list[np.ndarray]:
+    """64-bit numbers as two columns of 32 bits."""
+    return [values >> 32, values & 0xFFFFFFFF]
+
+
+def joined(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    return high << 32 | low & 0xFFFFFFFF
 
 
 def train(
-    docs: DataFrame, share: int = WORD_SHARE, pair_share: int = PAIR_SHARE, held_out_docs: int = HELD_OUT_DOCS, rounds: int = ROUNDS
+    docs: DataFrame, share: int = WORD_SHARE, pair_share: int = PAIR_SHARE, held_out_docs: int | None = None, rounds: int = ROUNDS,
+    texts: DataFrame | None = None,
 ) -> tuple[Model, DataFrame]:
-    """The model of all texts of `docs` (doc_id, text), and `key` and `n` of all their words. Only bounded tables
-    come to the driver: at most `share` words, `pair_share` pairs, and the rows of `held_out_docs` documents."""
+    """The model of all texts of `docs` (doc_id, text), and the pairs of rare words that `texts` (else `docs`) hold,
+    with the counts of their second words. Only bounded tables come to the driver: at most `share` words, `pair_share`
+    pairs, and the tokens by rounded estimates.
+
+    Every document is held out once, with its half of them. `held_out_docs` is taken from older calls and bounds nothing.
+    """
     spark = docs.sparkSession
-    counts = cut(count_words(docs), "lm-words")
-    size, total = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    model = Model(total, size, _sorted(counts.filter(F.col("n") * share >= total)))
+    path = fresh_path(spark, "lm-words")
+    rows = count_words(docs)
+    rows.write.parquet(path)
+    counts = spark.read.schema(rows.schema).parquet(path)
+    n = F.col("first") + F.col("second")
+    size, *in_half = counts.agg(F.count(F.lit(1)), *(F.coalesce(F.sum(c), F.lit(0)) for c in ("first", "second"))).first()
+    total = sum(in_half)
+    table = counts.filter(n * share >= total).toArrow()
+    keys, *both = (table.column(c).to_numpy().astype(np.int64) for c in ("key", "first", "second"))
+    order = np.argsort(keys)
+    by_half = np.append(np.stack(both)[:, order], [[0], [0]], axis=1)
+    model = Model(total, size, (keys[order], by_half[:, :-1].sum(0)))
+    frequent = send(spark, (model.words, by_half))
+    answers = cut(rare_pairs(docs if texts is None else texts, counts, lambda: frequent()[0]), "lm-rare-pairs")
+    drop_path(spark, path)
     if not total:
         model.learn(np.empty(0, np.int64), np.empty((0, 3)), np.empty(0))
-        return model, counts
-
-    # small tables: a tenth of the documents at most, or too little is left to interpolate with
-    number = int(counts.filter(F.col("key") == int(hashed([END])[0])).agg(F.sum("n")).first()[0])
-    context, word, n = held_out_rows(docs, max(1, min(held_out_docs, number // 10)))
-    keys = pair(context, word)
-    held = spark.sparkContext.broadcast((model.words[model.counts * pair_share >= total], np.unique(keys)))  # no other pair can be frequent
-
-    def keys_of(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
-        frequent, asked = held.value
-        known = place(frequent, t.hashes) >= 0
-        u, where = np.unique(t.before * len(t.hashes) + t.codes, return_inverse=True)
-        first, second = u // len(t.hashes), u % len(t.hashes)
-        keys = pair(t.hashes[first], t.hashes[second])
-        kept = (known[first] & known[second]) | (place(asked, keys) >= 0)
-        return keys[kept], np.bincount(where, minlength=len(u))[kept]
-
-    pairs = cut(_count(docs, keys_of), "lm-pairs")
-    model.pairs, model.pair_counts = _sorted(pairs.filter(F.col("n") * pair_share >= total))
-
-    # counts of the held-out rows, without the held-out documents themselves
-    def among(table: DataFrame, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        asked = spark.createDataFrame(pa.table({"key": np.unique(keys)}))
-        return _sorted(table.join(F.broadcast(asked), "key"))
-
-    def less(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
-        u, where = np.unique(keys, return_inverse=True)
-        mine = np.bincount(where, n).astype(np.int64)[where]
-        at = place(table[0], keys)
-        return np.where(at >= 0, table[1][at], 0) - mine
-
-    known = among(counts, np.concatenate([context, word]))
-    left = Model(max(int(total - n.sum()), 1), size, (model.words, model.counts))
-    c_context = less(known, context)
-    model.learn(model.bucket(c_context), left.parts(c_context, less(known, word), less(among(pairs, keys), keys)), n.astype(float), rounds)
-    return model, counts
+        return model, answers
+
+    tasks = tasks_for(spark, total)
+    groups = tasks * GROUPS_PER_TASK
+    names = ["part", "key", "other", "first", "second", "pairs", "rare"]
+
+    def spread(batches):
+        known_words, _ = frequent()
+        codes, rare = [], []
+
+        def sent():
+            code, n = added(*(np.concatenate(x, axis=-1) for x in zip(*codes, strict=True)))
+            n = n.astype(np.int64)
+            first, at = split(code)
+            columns = np.stack([first, at, *n])
+            meet, held = packed((pair(first, at).view(np.uint64) % np.uint64(groups)).astype(np.int64), columns)
+            yield "pairs", (meet, squeezed(held))
+            key, other, n = (np.concatenate(x, axis=-1) for x in zip(*rare, strict=True))
+            yield "rare", packed_keys(groups, key, other, *n)
+            codes.clear()
+            rare.clear()
+
+        def told(name, found):
+            k = len(found[0])
+            columns = {"part": pa.array(found[0]), name: pa.array(found[1], pa.binary())}
+            kinds = dict.fromkeys(names, pa.int64()) | {"pairs": pa.binary(), "rare": pa.binary()}
+            return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(k, kinds[c]) for c in names], names=names)
+
+        for batch in batches:
+            for part in slices(batch, limit=SLICE_BYTES):
+                t = Tokens(part.column("text"))
+                u, where = np.unique(t.before * len(t.hashes) + t.codes, return_inverse=True)
+                n = halved(where, half_of(part, t), len(u))
+                known = place(known_words, t.hashes)
+                before, word = u // len(t.hashes), u % len(t.hashes)
+                first, at = known[before], known[word]
+                has = (first >= 0) & (at >= 0)
+                codes.append((first[has] << 32 | at[has], n[:, has]))
+                context, word, first, at = t.hashes[before[~has]], t.hashes[word[~has]], first[~has], at[~has]
+                rare.append((np.where(first >= 0, word, context), np.where(first >= 0, first, np.where(at >= 0, -1 - at, word)), n[:, ~has]))
+                if sum(len(c) for c, _ in codes) + sum(len(k) for k, *_ in rare) > GATHERED:
+                    yield from (told(*x) for x in sent())
+        if codes:
+            yield from (told(*x) for x in sent())
+
+    def gather(batches):
+        known_words, by_half = frequent()
+        half_totals = np.array(in_half)
+        pairs: dict[int, list[bytes]] = {}
+        rare: list[tuple[int, bytes]] = []
+        asked: list[list[np.ndarray]] = []
+        sums = Added()
+
+        def learned(found):
+            k = len(found[0])
+            return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.nulls(k, pa.int64()), *map(pa.array, found[1])], names=["bin", "key", "n", "bigram", "unigram"])
+
+        for batch in batches:
+            some = batch.filter(batch.column("pairs").is_valid())
+            for group, rest in zip(some.column("part").to_pylist(), some.column("pairs").to_pylist(), strict=True):
+                pairs.setdefault(group, []).append(rest)
+            some = batch.filter(batch.column("rare").is_valid())
+            rare += zip(some.column("part").to_pylist(), some.column("rare").to_pylist(), strict=True)
+            some = batch.filter(batch.column("key").is_valid())
+            asked.append([some.column(c).to_numpy() for c in ("key", "other", "first", "second")])
+        while pairs:  # one group at a time
+            _, group = pairs.popitem()
+            first, at, *n = np.concatenate([unpacked(restored(rest), 4) for rest in group], axis=1)
+            code, c_context, c_word, c_pair = met_pairs(by_half, first << 32 | at, np.stack(n))
+            yield from map(learned, sums.take(*events(half_totals, c_context, c_word, c_pair)))
+            often = np.flatnonzero(c_pair.sum(0) * pair_share >= total)
+            none = pa.nulls(len(often), pa.float64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(often), pa.int64()), pa.array(pair(known_words[code[often] >> 32], known_words[code[often] & 0xFFFFFFFF])), pa.array(c_pair.sum(0)[often]), none, none],
+                names=["bin", "key", "n", "bigram", "unigram"],
+            )
+        columns = np.concatenate([np.empty((4, 0), np.int64), *(np.stack(unpacked_keys(groups, group, rest, 4)) for group, rest in rare)], axis=1)
+        rare.clear()
+        answered = np.concatenate([np.empty((4, 0), np.int64), *asked], axis=1).astype(np.int64)
+        asks = np.arange(columns.shape[1] + answered.shape[1]) < columns.shape[1]
+        if len(asks):
+            key, other, *n = np.append(columns, answered, axis=1)
+            found = met_rare(by_half, key, other, np.stack(n), asks)
+            yield from map(learned, sums.take(*events(half_totals, *found)))
+        yield from map(learned, sums.take(np.empty(0, np.int64), np.empty((3, 0)), last=True))
+
+    kinds = StructType.fromDDL("part bigint, key bigint, other bigint, first bigint, second bigint, pairs binary, rare binary")
+    rows = halves(docs).mapInArrow(spread, kinds).union(answers.select(
+        F.pmod("context", F.lit(groups)).cast("bigint").alias("part"), F.col("context").alias("key"), F.col("word").alias("other"), "first", "second",
+        F.lit(None).cast("binary").alias("pairs"), F.lit(None).cast("binary").alias("rare"),
+    )).repartition(tasks, "part")
+    found = rows.mapInArrow(gather, "bin bigint, key bigint, n double, bigram double, unigram double")
+    table = found.groupBy("bin", "key").agg(*(F.sum(c).alias(c) for c in ("n", "bigram", "unigram"))).toArrow()
+    often = table.filter(table.column("key").is_valid())
+    keys, n = (often.column(c).to_numpy().astype(np.int64) for c in ("key", "n"))
+    order = np.argsort(keys)
+    model.pairs, model.pair_counts = keys[order], n[order]
+    table = table.filter(table.column("bin").is_valid()).sort_by("bin")
+    bins, n, bigram, unigram = (table.column(c).to_numpy() for c in ("bin", "n", "bigram", "unigram"))
+    model.learn(bins >> 40, np.stack([bigram / n, unigram / n, np.full(len(n), 1 / (size + 1))], axis=1), n, rounds)
+    return model, answers
 
 
 def packed(groups: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
@@ -261,27 +441,6 @@ def unpacked(held: bytes, columns: int) -> np.ndarray:
     return np.ascontiguousarray(planes).view("<i4")[:, :, 0].astype(np.int64)
 
 
-def added(row: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct rows, and their sums of each line of values."""
-    rows, at = np.unique(row, return_inverse=True)
-    return rows, np.stack([np.bincount(at, v, len(rows)) for v in values])
-
-
-class Added:
-    """Sums by row, of a bounded number of rows."""
-
-    def __init__(self):
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def take(self, row: np.ndarray, values: np.ndarray, last: bool = False):
-        """Takes in more, and gives sums away when there are too many, or at the end."""
-        self.parts.append((row, values))
-        if last or sum(len(r) for r, _ in self.parts) > GATHERED:
-            self.parts = [added(np.concatenate([r for r, _ in self.parts]), np.concatenate([v for _, v in self.parts], axis=1))]
-            if last or len(self.parts[0][0]) > GATHERED // 2:
-                yield self.parts.pop()
-
-
 def settled_pairs(m: Model, context: np.ndarray, word: np.ndarray, row: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row, and known words, base score and score, added up by row, from all rows of some pairs of frequent words."""
     code = context << 32 | word
@@ -322,18 +481,33 @@ def scores(docs: DataFrame, parts: int = FOLDS, held_fold: int = HELD_FOLD, **se
     """
     held_out = (fold("doc_id", parts) == held_fold).alias("held_out")
     rows = docs.select("doc_id", "text", held_out)
-    model, counts = train(rows.filter(~F.col("held_out")).select("doc_id", "text"), **settings)
+    model, answers = train(rows.filter(~F.col("held_out")).select("doc_id", "text"), texts=rows.select("text"), **settings)
     spark = docs.sparkSession
     sent = send(spark, model)
     doc_type = docs.schema["doc_id"].dataType
     doc = pa.struct([("held_out", pa.bool_()), ("tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
 
-    names = ["part", "key", "other", "row", "n", "packed", "doc_id", "doc"]
-    tasks = max(1, math.ceil(model.total / TOKENS_PER_TASK), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    names = ["part", "key", "other", "row", "n", "packed", "rare", "doc_id", "doc"]
+    tasks = tasks_for(spark, model.total)
     groups = tasks * GROUPS_PER_TASK
 
+    def rows_of(name, row, meet, held_bytes, doc_kind):
+        k = len(meet)
+        blobs = {"packed": pa.nulls(k, pa.binary()), "rare": pa.nulls(k, pa.binary())} | {name: pa.array(held_bytes, pa.binary())}
+        return pa.RecordBatch.from_arrays(
+            [pa.array(meet), *[pa.nulls(k, pa.int64())] * 2, pa.array(np.full(k, row)), pa.nulls(k, pa.int64()), *blobs.values(), pa.nulls(k, doc_kind), pa.nulls(k, doc)],
+            names=names,
+        )
+
     def spread(batches):
         m = sent()
+        rare: list[tuple[np.ndarray, ...]] = []
+
+        def rare_rows(doc_kind):
+            key, other, row, n = (np.concatenate(x) for x in zip(*rare, strict=True))
+            rare.clear()
+            return rows_of("rare", row[0], *packed_keys(groups, key, other, row - row[0], n), doc_kind)
+
         for batch in batches:
             for part in slices(batch, limit=SLICE_BYTES):
                 t = Tokens(part.column("text"))
@@ -361,51 +535,35 @@ def scores(docs: DataFrame, parts: int = FOLDS, held_fold: int = HELD_FOLD, **se
                 )
                 doc_kind = part.schema.field("doc_id").type
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row % groups), *[pa.nulls(texts, pa.int64())] * 2, pa.array(row), pa.nulls(texts, pa.int64()), pa.nulls(texts, pa.binary()), part.column("doc_id"), facts],
+                    [pa.array(row % groups), *[pa.nulls(texts, pa.int64())] * 2, pa.array(row), pa.nulls(texts, pa.int64()), *[pa.nulls(texts, pa.binary())] * 2, part.column("doc_id"), facts],
                     names=names,
                 )
                 signed = np.where(held[text], -n, n)
                 out = np.flatnonzero(has & ~here)
                 if len(out):
                     meet = (pair(first[out], at[out]).view(np.uint64) % np.uint64(groups)).astype(np.int64)
-                    meet, held_bytes = packed(meet, np.stack([first[out], at[out], text[out], signed[out]]))
-                    k = len(meet)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(meet), *[pa.nulls(k, pa.int64())] * 2, pa.array(np.full(k, row[0])), pa.nulls(k, pa.int64()), pa.array(held_bytes, pa.binary()), pa.nulls(k, doc_kind), pa.nulls(k, doc)],
-                        names=names,
-                    )
+                    yield rows_of("packed", row[0], *packed(meet, np.stack([first[out], at[out], text[out], signed[out]])), doc_kind)
                 # `other` of a frequent context is its place, of a frequent word after a rare context -1 less its place
                 out = np.flatnonzero(~has)
-                first, at, word, context = first[out], at[out], word[out], t.hashes[before[out]]
-                key = np.where(first >= 0, word, context)
-                other = np.where(first >= 0, first, np.where(at >= 0, -1 - at, word))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(key % groups), pa.array(key), pa.array(other), pa.array(row[text[out]]), pa.array(signed[out]),
-                        pa.nulls(len(out), pa.binary()), pa.nulls(len(out), doc_kind), pa.nulls(len(out), doc),
-                    ],
-                    names=names,
-                )
+                if len(out):
+                    first, at, word, context = first[out], at[out], word[out], t.hashes[before[out]]
+                    key = np.where(first >= 0, word, context)
+                    other = np.where(first >= 0, first, np.where(at >= 0, -1 - at, word))
+                    rare.append((key, other, row[text[out]], signed[out]))
+                    if sum(len(k) for k, *_ in rare) > GATHERED // 2:
+                        yield rare_rows(doc_kind)
+        if rare:
+            yield rare_rows(doc_kind)
 
     facts_ddl = "struct<held_out: boolean, tokens: bigint, known: bigint, base: double, score: double>"
     kind = doc_type.simpleString()
-    sent_schema = StructType.fromDDL(f"part bigint, key bigint, other bigint, row bigint, n bigint, packed binary, doc_id {kind}, doc {facts_ddl}")
+    sent_schema = StructType.fromDDL(f"part bigint, key bigint, other bigint, row bigint, n bigint, packed binary, rare binary, doc_id {kind}, doc {facts_ddl}")
     numbered = rows.withColumn("row", F.monotonically_increasing_id())  # the rows of a slice have successive numbers
 
-    def rare(batches):
-        m = sent()
-        for batch in batches:
-            for part in slices(batch, limit=SLICE_BYTES):
-                t = Tokens(part.column("text"))
-                known = place(m.words, t.hashes) >= 0
-                both = ~known[t.before] & ~known[t.codes]
-                u = np.unique(t.before[both] * len(t.hashes) + t.codes[both])
-                yield pa.RecordBatch.from_arrays([pa.array(t.hashes[u // len(t.hashes)]), pa.array(t.hashes[u % len(t.hashes)])], names=["context", "word"])
-
     # the count of the word of each pair of rare words: a row of no text
-    answers = rows.select("text").mapInArrow(rare, "context bigint, word bigint").join(counts, F.col("word") == F.col("key")).select(
+    answers = answers.withColumn("n", F.col("first") + F.col("second")).select(
         F.pmod("context", F.lit(groups)).cast("bigint").alias("part"), F.col("context").alias("key"), F.col("word").alias("other"),
-        *[F.lit(None).cast(sent_schema[c].dataType).alias(c) if c != "n" else F.col("n") for c in ("row", "n", "packed", "doc_id", "doc")],
+        *[F.lit(None).cast(sent_schema[c].dataType).alias(c) if c != "n" else F.col("n") for c in ("row", "n", "packed", "rare", "doc_id", "doc")],
     )
     met = numbered.mapInArrow(spread, sent_schema).union(answers).repartition(tasks, "part")
 
@@ -428,9 +586,14 @@ def scores(docs: DataFrame, parts: int = FOLDS, held_fold: int = HELD_FOLD, **se
             some = batch.filter(batch.column("packed").is_valid())
             for group, row, rest in zip(*(some.column(c).to_pylist() for c in ("part", "row", "packed")), strict=True):
                 pairs.setdefault(group, []).append((row, rest))
-            own = batch.select(["key", "other", "row", "n"]).filter(batch.column("key").is_valid())
-            asks = own.column("row").is_valid().to_numpy(zero_copy_only=False)
-            held.append([*(own.column(c).to_numpy() for c in ("key", "other")), own.column("row").fill_null(0).to_numpy(), own.column("n").to_numpy(), asks])
+            some = batch.filter(batch.column("rare").is_valid())
+            for group, row, rest in zip(*(some.column(c).to_pylist() for c in ("part", "row", "rare")), strict=True):
+                key, other, text, n = unpacked_keys(groups, group, rest, 4)
+                held.append([key, other, row + text, n, np.ones(len(n), bool)])
+            answer = batch.filter(batch.column("key").is_valid())
+            if answer.num_rows:
+                key, other, n = (answer.column(c).to_numpy() for c in ("key", "other", "n"))
+                held.append([key, other, np.zeros(len(n), np.int64), n, np.zeros(len(n), bool)])
 
         def summed(row, values):
             blocks, first = np.unique(row >> BLOCK_BITS, return_index=True)
@@ -447,9 +610,10 @@ def scores(docs: DataFrame, parts: int = FOLDS, held_fold: int = HELD_FOLD, **se
                 c[2] += row
             for found in sums.take(*settled_pairs(m, *np.concatenate(columns, axis=1))):
                 yield summed(*found)
-        if not held:
+        if doc_kind is None:
             return
-        columns = [np.concatenate([x[i] for x in held]) for i in range(5)]
+        none = np.empty(0, np.int64)
+        columns = [np.concatenate([*(x[i] for x in held), none if i < 4 else none.astype(bool)]) for i in range(5)]
         held.clear()
         order = np.lexsort((columns[1], columns[0]))
         for i in range(5):

@@ -384,3 +384,36 @@ def test_key_blocks_end_at_their_own_end(spark):
     got = {r.doc_id: [(f.start, f.end) for f in r.found if f.provider] for r in rows}
     n, before = len(block), len(texts[1]) - len(block)
     assert got == {0: [(2, 2 + n)], 1: [(before, before + n)], 2: [], 3: [(0, n), (n, 2 * n)]}
+
+
+def test_weights_come_from_all_documents(spark, monkeypatch):
+    """Weights are those of plain expectation-maximisation over both halves, whatever number of held-out documents is named."""
+    from collections import Counter
+
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.4, 30) % 300)) for i in range(300)] + [(None, None), (7, ""), (7, "w1 w2 w1 w2")] * 2
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    monkeypatch.setattr(interpolation, "STEPS", 1000)  # estimates hardly rounded
+    halves = [[], []]
+    for r in docs.select("text", (F.xxhash64("doc_id", "text") % 2 != 0).cast("int").alias("half")).collect():
+        halves[r.half].append(["\n", *(r.text or "").split(), "\n"])
+    uni = [Counter(x for w in half for x in w[1:]) for half in halves]
+    bi = [Counter(p for w in half for p in zip(w, w[1:], strict=False)) for half in halves]
+    size = len(uni[0] | uni[1])
+    buckets, parts, n = [], [], []
+    for own, other in ((0, 1), (1, 0)):
+        for (a, b), count in bi[own].items():
+            buckets.append(uni[other][a].bit_length())
+            parts.append((bi[other][a, b] / max(uni[other][a], 1), uni[other][b] / uni[other].total(), 1 / (size + 1)))
+            n.append(count)
+    assert sum(n) == uni[0].total() + uni[1].total()  # every training token
+    plain = interpolation.Model(1, size, (np.empty(0, np.int64), np.empty(0, np.int64)))
+    plain.learn(np.array(buckets), np.array(parts), np.array(n, float), 15)
+    for settings in ({}, {"held_out_docs": 5}, {"share": 1}, {"share": 60, "pair_share": 30}):
+        learned = interpolation.train(docs, rounds=15, **settings)[0]
+        assert learned.weights == pytest.approx(plain.weights, rel=1e-4, abs=1e-5), settings
+    monkeypatch.setattr(interpolation, "GATHERED", 100)  # sums are given away before the end
+    assert interpolation.train(docs, rounds=15)[0].weights == pytest.approx(plain.weights, rel=1e-4, abs=1e-5)
