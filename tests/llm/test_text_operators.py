@@ -417,3 +417,14 @@ def test_weights_come_from_all_documents(spark, monkeypatch):
         assert learned.weights == pytest.approx(plain.weights, rel=1e-4, abs=1e-5), settings
     monkeypatch.setattr(interpolation, "GATHERED", 100)  # sums are given away before the end
     assert interpolation.train(docs, rounds=15)[0].weights == pytest.approx(plain.weights, rel=1e-4, abs=1e-5)
+
+
+def test_words_are_numbered_like_distinct():
+    import pyarrow as pa
+
+    from civicmart.llm.columns import BLANK, distinct, flat, words
+
+    for texts in ([], [None, "", "  "], ["a"], ["One two  two", None, "zwölf \x00 one", "x" * 5000 + " a"]):
+        out, starts, _, _ = words(*flat(pa.array(texts, pa.string())), BLANK)
+        for got, want in zip(interpolation.numbered(out, starts), distinct(out, starts), strict=True):
+            assert list(got) == list(want)
