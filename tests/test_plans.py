@@ -12,6 +12,7 @@ from civicmart.plans import mart as PM
 from civicmart.plans import reports as R
 from civicmart.plans import verify as V
 from civicmart.session import work_dir
+from civicmart.sources import adapter as A
 from civicmart.sources import tables as T
 
 
@@ -111,3 +112,12 @@ def test_refreshed_summaries_read_touched_months_only(spark, wh):
     text = plan(PM.agency_summary(wh, [(1997, 3), (1998, 12)]))
     assert "year#" in text.split("PartitionFilters: [")[1].split("]")[0] and "1997,1998" in text.replace(" ", "")
     assert "GreaterThanOrEqual(date_key,19970300)" in text
+
+
+def test_orders_meet_customers_before_their_lines(spark):
+    """Wide lines are not shuffled for the customer: no order line lies below that join."""
+    tree = A.untidy_requests(spark, DATA)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in tree]
+    [at] = [i for i, line in enumerate(tree) if "Join Inner" in line and "o_custkey" in line]
+    below = next((i for i in range(at + 1, len(tree)) if depth[i] <= depth[at]), len(tree))
+    assert "c_custkey" in "".join(tree[at:below]) and not any("l_orderkey" in line for line in tree[at:below])
