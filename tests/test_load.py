@@ -390,3 +390,16 @@ def test_many_rejected_repeats_meet_the_rows_once(spark, requests_of, folder, mo
         assert ("judged" in cuts) == stored
         assert (found.read, found.inserted, found.rejected) == (40, 0 if stored else 20, 40 if stored else 20)
     assert wh.fact.count() == 20
+
+
+def test_places_that_share_a_position_meet_a_row_once(spark, requests_of, folder):
+    """The older load joins a row with one place, the one it keeps, and not with all that share its position."""
+    wh = W.create_warehouse(spark, folder)
+    T.load_staging(requests_of(*[{"unique_key": str(i), "community_board": f"{i:02d} B", "city": f"C{i}"} for i in range(8)]), wh.root, 1)
+    for number, name in enumerate(W.STEPS[:-1]):
+        W.LOADERS[name](wh, number, 1)
+    places = FA.new_legacy_locations(wh.pending, wh.table("legacy_location"))
+    numbered = D.assign_keys(places, "location_key", FA.LEGACY_PLACE, 0)
+    assert numbered.count() == 8 and column(FA.least_of_position(numbered), "location_key") == [1]
+    assert W.load_fact(wh, 5, 1, strict=False) == W.StepCounts(8, 8, 0, 0)
+    assert column(wh.fact.select("location_key").distinct(), "location_key") == [1]
