@@ -96,8 +96,7 @@ def unloaded(spark: SparkSession, sf: str, form: str) -> W.Warehouse:
     if key not in _LOADED:
         wh = W.create_warehouse(spark, fresh_path(spark, f"unloaded-{form}"), A.order_settings())
         T.load_staging(FORMS[form](spark, sf), wh.root, BATCH)
-        for number, name in enumerate(W.STEPS[:-1]):
-            W.LOADERS[name](wh, number, BATCH)
+        W.run_all(wh, BATCH, fact=False)
         _LOADED[key] = wh
     return _LOADED[key]
 
@@ -710,7 +709,7 @@ def loose_load(spark, sf):
     ),
 )
 def dimension_matches(spark, sf):
-    wh = warehouse(spark, sf, "untidy")
+    wh = unloaded(spark, sf, "untidy")  # the matches need the dimensions, not the fact
     matched = J.attach_dims(wh.staging, wh.dims(*T.DIMENSIONS[1:]))
     return matched.groupBy(
         c("agency_key").isNull().cast("int").alias("no_agency"),

@@ -381,8 +381,8 @@ LOADERS = {
 }
 
 
-def run_all(wh: Warehouse, batch_id: int | None = None, wait: float = WAIT) -> dict[str, StepCounts]:
-    """All five steps, on the loads that are pending when it begins.
+def run_all(wh: Warehouse, batch_id: int | None = None, wait: float = WAIT, fact: bool = True) -> dict[str, StepCounts]:
+    """All five steps, on the loads that are pending when it begins; without `fact` the dimensions only.
 
     The dimensions do not depend on each other and load side by side; the fact follows when all of them are done.
     A failed step is logged and stops the run. One run at a time: another one waits, up to `wait` seconds.
@@ -397,7 +397,7 @@ def run_all(wh: Warehouse, batch_id: int | None = None, wait: float = WAIT) -> d
         # Each thread gets the context, and with it the scratch folder, of this run.
         started = {name: pool.submit(copy_context().run, run, name) for name in STEPS[:-1]}
         counts = {name: done.result() for name, done in started.items()}
-        return counts | {STEPS[-1]: run(STEPS[-1])}
+        return counts | ({STEPS[-1]: run(STEPS[-1])} if fact else {})
 
 
 def run_summary(log: DataFrame, batch_id: int | None = None) -> DataFrame:
