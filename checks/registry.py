@@ -24,7 +24,7 @@ from civicmart.plans import profiles as PP
 from civicmart.plans import reports as R
 from civicmart.plans import verify as V
 from civicmart.plans import warehouse as W
-from civicmart.session import fresh_path
+from civicmart.session import fresh_path, open_files
 from civicmart.sources import adapter as A
 from civicmart.sources import pages as PG
 from civicmart.sources import raw as RW
@@ -120,26 +120,29 @@ def untidy(spark: SparkSession, sf: str) -> DataFrame:
     return warehouse(spark, sf, "untidy").staging
 
 
-def _write_files(rows: DataFrame, path: str, *by: str) -> None:
-    """CSV as it is, with the blanks around values kept; in folders by the values of `by`."""
-    writer = rows.write.option("header", True).option("escape", '"')
-    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).partitionBy(*by).csv(path)
+def _write_files(rows: DataFrame, path: str, *by: str, packed: bool = False) -> None:
+    """CSV as it is, with the blanks around values kept; in folders by the values of `by`, which are few."""
+    writer = rows.write.option("header", True).option("escape", '"').option("compression", "gzip" if packed else "none")
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    with open_files(rows.sparkSession, len(YEARS) + 1):
+        writer.partitionBy(*by).csv(path)
 
 
-def csv_folder(spark: SparkSession, sf: str, form: str) -> str:
+def csv_folder(spark: SparkSession, sf: str, form: str, packed: bool = False, staged: DataFrame | None = None) -> str:
     """Request files, one folder of part files per creation year, as a source system leaves them.
 
-    Requests without a readable creation date lie in a file of their own, under `UNDATED`.
+    Requests without a readable creation date lie in a file of their own, under `UNDATED`. `packed` files are
+    gzipped, as streams read them too. `staged` holds the requests where they are stored already, as they came.
     """
-    key = (spark.sparkContext.applicationId, sf, form, "csv")
+    key = (spark.sparkContext.applicationId, sf, form, "csv", packed)
     if key not in _LOADED:
-        rows = FORMS[form](spark, sf)
+        rows = FORMS[form](spark, sf) if staged is None else staged.select(*RW.RAW_COLUMNS)
         root = fresh_path(spark, f"files-{form}")
         year = F.year(FD.parse_ts(c("created_date")))
         file = F.format_string("requests_%d.csv", F.when(year.isin(YEARS), year).otherwise(UNDATED))
-        _write_files(rows.withColumn("file", file), root, "file")  # all files in one pass
+        _write_files(rows.withColumn("file", file), root, "file", packed=packed)  # all files in one pass
         for absent in {*YEARS, UNDATED} - set(RW.files_of_years(spark, root)):
-            _write_files(rows.limit(0), f"{root}/requests_{absent}.csv")
+            _write_files(rows.limit(0), f"{root}/requests_{absent}.csv", packed=packed)
         _LOADED[key] = root
     return _LOADED[key]
 
@@ -1828,18 +1831,21 @@ def summaries_kept_up(spark, sf):
 
 
 def _streamed(spark: SparkSession, sf: str) -> W.Warehouse:
-    """The clean requests as two deliveries of files; the second repeats all keys of 1997."""
+    """The clean requests as two deliveries of files; the second repeats all keys of 1997.
+
+    The source system writes both in one pass over the requests, and hands over a folder at a time.
+    """
     key = (spark.sparkContext.applicationId, sf, "streamed")
     if key not in _LOADED:
         rows = A.clean_requests(spark, sf)
-        inbox = fresh_path(spark, "inbox")
+        outbox, inbox = fresh_path(spark, "outbox"), fresh_path(spark, "inbox")
         wh = W.create_warehouse(spark, fresh_path(spark, "warehouse-streamed"), A.order_settings())
         progress = fresh_path(spark, "progress")
-        for name, part in {
-            "first": rows.filter(c("created_date") < "1998"),
-            "second": rows.filter(c("created_date") >= "1997"),
-        }.items():
-            _write_files(part, f"{inbox}/{name}")
+        first, second = F.when(c("created_date") < "1998", "first"), F.when(c("created_date") >= "1997", "second")
+        _write_files(rows.withColumn("part", F.explode(F.array_compact(F.array(first, second)))), outbox, "part", packed=True)
+        for name in ("first", "second"):
+            if not RW.hand_over(spark, f"{outbox}/part={name}", f"{inbox}/{name}"):
+                _write_files(rows.limit(0), f"{inbox}/{name}")
             I.load_stream(wh, inbox, progress).awaitTermination()
         _LOADED[key] = wh
     return _LOADED[key]
@@ -1892,7 +1898,7 @@ def streamed_first_of_key(spark, sf):
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     I.state_on_disk(spark)
     try:
-        first = I.first_ever(I.read_stream(spark, csv_folder(spark, sf, "untidy"), files_per_batch=20)).select("dedup_key", "created_date")
+        first = I.first_ever(I.read_stream(spark, csv_folder(spark, sf, "untidy", packed=True), files_per_batch=20)).select("dedup_key", "created_date")
         (
             first.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
             .trigger(availableNow=True).start().awaitTermination()
@@ -1913,9 +1919,9 @@ def streamed_first_of_key(spark, sf):
 )
 def streamed_checks(spark, sf):
     """All checks on a stream of files: what its micro-batches observed, and what they wrote."""
-    wh = warehouse(spark, sf, "untidy")
+    wh = unloaded(spark, sf, "untidy")  # the checks need the dimensions, not the fact
     out = fresh_path(spark, "judged")
-    batches = I.check_stream(wh, csv_folder(spark, sf, "untidy"), fresh_path(spark, "progress"), out, files_per_batch=20)
+    batches = I.check_stream(wh, csv_folder(spark, sf, "untidy", packed=True, staged=wh.staging), fresh_path(spark, "progress"), out, files_per_batch=20)
     total: dict[str, int] = {}
     for counts in batches.values():  # one row of counts per micro-batch
         for outcome, n in counts.items():

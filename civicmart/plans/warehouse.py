@@ -23,7 +23,7 @@ from civicmart.operators import dims as D
 from civicmart.operators import fact as FA
 from civicmart.operators.joins import already_loaded
 from civicmart.operators.sets import split_by_tag
-from civicmart.session import cut, drop_path, scratch
+from civicmart.session import PACKING, cut, drop_path, scratch
 from civicmart.sources.lease import Lease
 from civicmart.sources.packs import CLOSED
 from civicmart.sources.tables import (
@@ -332,7 +332,7 @@ def spread_keys(wh: Warehouse, always: bool = False, coming: int = 0) -> bool:
         return False
     fresh = held.select("dedup_key", F.lit(0).cast("bigint").alias("log_id"), FA.key_bucket(F.col("dedup_key"), wanted).alias("bucket"))
     wh.lease.check()
-    fresh.hint("rebalance", "bucket").sortWithinPartitions("bucket", "dedup_key").write.mode("overwrite").partitionBy("bucket").parquet(f"{wh.root}/fact_keys/key_set={number + 1}")
+    fresh.hint("rebalance", "bucket").sortWithinPartitions("bucket", "dedup_key").write.mode("overwrite").partitionBy("bucket").parquet(f"{wh.root}/fact_keys/key_set={number + 1}", compression=PACKING)
     _mark(wh, 0, "DONE")
     save_row(wh.spark, wh.root, "key_sets", (number + 1, wanted), "key_set", number + 1)
     drop_path(wh.spark, f"{wh.root}/fact_keys/key_set={number}")

@@ -70,6 +70,18 @@ def header_of(spark: SparkSession, path: str) -> str:
         reader.close()
 
 
+def hand_over(spark: SparkSession, source: str, target: str) -> bool:
+    """Moves a finished folder to where it is awaited, so that no reader meets half of it; False where there is none."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path(source)):
+        return False
+    fs.mkdirs(path(target).getParent())
+    if not fs.rename(path(source), path(target)):
+        raise RuntimeError(f"{source} was not moved to {target}")
+    return True
+
+
 def read_raw(
     spark: SparkSession, folder: str, years: int | tuple[int, int] | list[int] | None = None, multiline: bool = False,
     first_year: int = FIRST_YEAR,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civicmart.session import PACKING, drop_path, open_files
 from civicmart.sources.lease import Lease
 from civicmart.sources.packs import CLOSED, drop_packs, pack, with_packs
 from civicmart.sources.raw import RAW_COLUMNS, select_known, with_audit
@@ -64,6 +65,8 @@ FACT = "fact_service_requests"
 STAGING = "raw_requests"
 #: Rows of the fact from which on a write is not rebalanced.
 UNMOVED = 2_000_000
+#: Years of the fact, or buckets of keys, that a task writes side by side.
+OPEN = 16
 #: Every writer of the small tables has a partition of its own.
 PARTITIONS = {
     FACT: ["year"], "fact_keys": ["key_set", "bucket"], STAGING: ["load_id"], "etl_log": ["log_id"], "etl_errors": ["log_id"], "staged_loads": ["load_id"],
@@ -125,8 +128,12 @@ def save_table(df: DataFrame, root: str, name: str, mode: str = "append", rows:
     by = PARTITIONS.get(name, [])
     if name == "fact_keys" or name == FACT and rows < UNMOVED:
         shaped = shaped.hint("rebalance", *by)
-    writer = shaped.write.mode(mode)
-    (writer.partitionBy(*by) if by else writer).parquet(f"{root}/{name}")
+    writer = shaped.write.mode(mode).option("compression", PACKING)
+    if not by:
+        writer.parquet(f"{root}/{name}")
+        return
+    with open_files(df.sparkSession, OPEN):
+        writer.partitionBy(*by).parquet(f"{root}/{name}")
 
 
 def save_batch(df: DataFrame, root: str, name: str, by: str, value: int | str) -> None:
@@ -137,7 +144,7 @@ def save_batch(df: DataFrame, root: str, name: str, by: str, value: int | str) -
     """
     schema = T.StructType.fromDDL(SCHEMAS[name])
     rows = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name != by])
-    rows.write.mode("overwrite").parquet(f"{root}/{name}/{by}={value}")
+    rows.write.mode("overwrite").parquet(f"{root}/{name}/{by}={value}", compression=PACKING)
 
 
 def save_batches(df: DataFrame, root: str, name: str, by: str) -> None:
@@ -178,7 +185,9 @@ def _staged(df: DataFrame, root: str, batch_id: int, refresh: bool) -> dict[str,
         known = known.withColumn("source_year", F.lit(None).cast("int"))
     counted = Observation()
     staged = with_audit(known, batch_id, load_id).observe(counted, F.count(F.lit(1)).alias("n"))
-    save_table(staged, root, STAGING, "overwrite" if refresh else "append")
+    if refresh:
+        drop_partitions(spark, root, STAGING)
+    save_batch(staged, root, STAGING, "load_id", load_id)  # one folder, so nothing is sorted by it
     landed = read_table(spark, root, STAGING).filter(F.col("load_id") == load_id).count()
     # A source without rows is optimised away with its counter, and is cheap to count.
     read = counted.get["n"] if landed else known.count()
@@ -190,6 +199,13 @@ def _staged(df: DataFrame, root: str, batch_id: int, refresh: bool) -> dict[str,
     return {"rows_read": read, "rows_landed": landed}
 
 
+def drop_partitions(spark: SparkSession, root: str, name: str) -> None:
+    """Deletes all rows of a partitioned table."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/{PARTITIONS[name][0]}=*")
+    for found in where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where) or []:
+        drop_path(spark, found.getPath().toString())
+
+
 def publish_load(spark: SparkSession, root: str, load_id: str, batch_id: int) -> None:
     """Lets loads see what has landed under a load id. Until then its rows are not pending, so no load takes a part."""
     save_row(spark, root, "staged_loads", (load_id, batch_id), "load_id", load_id)

@@ -29,8 +29,30 @@ def test_dimensions_alone(spark, requests_of, folder):
     assert W.run_all(wh, 1)[T.FACT].inserted == 1
 
 
-@pytest.mark.parametrize("name", ["dimension_matches"])
+@pytest.mark.parametrize("name", ["dimension_matches", "streamed_checks"])
 def test_dimensions_are_enough(spark, monkeypatch, name):
     monkeypatch.setattr(R, "load", lambda *_: pytest.fail("the fact is not asked for"))
     monkeypatch.setattr(R, "_LOADED", {})
     assert R.QUERIES[name].run(spark, DATA).count() > 0
+
+
+def test_one_delivery_is_staged_without_a_sort_and_a_refresh_replaces_it(spark, requests_of, folder):
+    W.create_warehouse(spark, folder)
+    for key, refresh in (("1", True), ("2", False), ("3", True)):
+        T.load_staging(requests_of({"unique_key": key}), folder, 1, refresh)
+    assert column(T.read_staging(spark, folder), "unique_key") == ["3"]
+    assert column(T.pending_loads(spark, folder), "stg_batch_id") == [1]
+
+
+def test_files_by_value_are_written_without_a_sort(spark, folder):
+    from civicmart.session import open_files
+
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    rows = spark.range(100).select(F.col("id").cast("string").alias("v"), (F.col("id") % 3).alias("k"))
+    with open_files(spark, 8):
+        with open_files(spark, 8):
+            rows.write.partitionBy("k").csv(folder)
+        assert spark.conf.get(name) == "8"
+    assert spark.conf.get(name) == before
+    assert spark.read.csv(folder).count() == 100
