@@ -591,7 +591,7 @@ def load_errors(spark, sf):
 )
 def stage_row_counts(spark, sf):
     wh = unloaded(spark, sf, "untidy")
-    return FA.stage_counts(FA.resolve(wh.staging, wh.dims(*T.DIMENSIONS[1:]), wh.fact_keys, wh.settings))
+    return FA.stage_counts(FA.resolve(wh.staging, wh.dims(*T.DIMENSIONS[1:]), wh.fact_keys, wh.settings, whole=False))
 
 
 @query(
@@ -605,7 +605,7 @@ def stage_row_counts(spark, sf):
 )
 def reload_rejects_loaded_keys(spark, sf):
     wh = warehouse(spark, sf, "untidy")
-    return FA.stage_counts(FA.resolve(wh.staging, wh.dims(*T.DIMENSIONS[1:]), wh.fact_keys, wh.settings))
+    return FA.stage_counts(FA.resolve(wh.staging, wh.dims(*T.DIMENSIONS[1:]), wh.fact_keys, wh.settings, whole=False))
 
 
 @query(

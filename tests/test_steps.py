@@ -56,3 +56,28 @@ def test_files_by_value_are_written_without_a_sort(spark, folder):
         assert spark.conf.get(name) == "8"
     assert spark.conf.get(name) == before
     assert spark.read.csv(folder).count() == 100
+
+
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_verdicts_alone_are_those_of_whole_rows(spark, requests_of, folder, monkeypatch, most):
+    from civicmart.operators import fact as FA
+
+    wh = W.create_warehouse(spark, folder)
+    T.load_staging(requests_of({"unique_key": "old"}), folder, 1)
+    W.run_all(wh, 1)
+    T.load_staging(
+        requests_of({"unique_key": " OLD"}, {"unique_key": "2"}, {"unique_key": "2"}, {"unique_key": "3"}, {"unique_key": None}, {"unique_key": "2", "status": "Bogus"}, {"agency": "NONE"}),
+        folder, 2,
+    )
+    monkeypatch.setattr(FA, "MARKS_MET", most)
+
+    def rows(**how):
+        return FA.resolve(wh.staging, wh.dims(*T.DIMENSIONS[1:]), wh.fact_keys, wh.settings, **how)
+
+    narrow = rows(whole=False)
+    assert not {"error_message", "raw_created"} <= {n for n in narrow.columns if narrow.filter(F.col(n).isNotNull() & (F.col("error_type") == "NULL_UNIQUE_KEY")).count()}
+    counts = dict(column(FA.stage_counts(narrow), "outcome", "row_count"))
+    assert counts == dict(column(FA.stage_counts(rows()), "outcome", "row_count"))
+    assert counts == {
+        "LOADED": 2, "DUPLICATE_IN_BATCH": 1, "DUPLICATE_UNIQUE_KEY": 1, "NULL_UNIQUE_KEY": 1, "INVALID_STATUS": 1, "NO_DIM_AGENCY_MATCH": 1,
+    }
