@@ -129,7 +129,9 @@ class Added:
         if last or sum(len(r) for r, _ in self.parts) > GATHERED:
             self.parts = [added(np.concatenate([r for r, _ in self.parts]), np.concatenate([v for _, v in self.parts], axis=1))]
             if last or len(self.parts[0][0]) > GATHERED // 2:
-                yield self.parts.pop()
+                found = self.parts.pop()
+                if len(found[0]):  # at the end all may have been given away before
+                    yield found
 
 
 def halves(docs: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators on texts against the libraries or plain versions, on the small table and on odd texts."""
 
 import hashlib
+import math
 import os
 import random
 import sys
@@ -419,6 +420,18 @@ def test_weights_come_from_all_documents(spark, monkeypatch):
     assert interpolation.train(docs, rounds=15)[0].weights == pytest.approx(plain.weights, rel=1e-4, abs=1e-5)
 
 
+def test_tasks_without_sums_at_their_end(spark, monkeypatch):
+    rows = [(i, "a b") for i in range(50)]  # every pair is frequent, so no rows meet
+    got = interpolation.scores(spark.createDataFrame(rows, "doc_id long, text string"), rounds=5).collect()
+    n = sum(not r.held_out for r in got)
+    assert sorted(r.doc_id for r in got) == list(range(50)) and {(r.n_tokens, r.n_known, r.train_tokens) for r in got} == {(3, 3, 3 * n)}
+    assert [r.base_score for r in got] == pytest.approx([3 * math.log10((n + 0.5) / (3 * n + 2))] * 50)
+    monkeypatch.setattr(interpolation, "GATHERED", 100)
+    sums, none = interpolation.Added(), (np.empty(0, np.int64), np.empty((3, 0)))
+    given = [*sums.take(np.arange(200), np.ones((3, 200))), *sums.take(*none, last=True)]
+    assert [len(rows) for rows, _ in given] == [200]  # all were given away before the end
+
+
 def test_words_are_numbered_like_distinct():
     import pyarrow as pa
 
