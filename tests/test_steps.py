@@ -81,3 +81,33 @@ def test_verdicts_alone_are_those_of_whole_rows(spark, requests_of, folder, monk
     assert counts == {
         "LOADED": 2, "DUPLICATE_IN_BATCH": 1, "DUPLICATE_UNIQUE_KEY": 1, "NULL_UNIQUE_KEY": 1, "INVALID_STATUS": 1, "NO_DIM_AGENCY_MATCH": 1,
     }
+
+
+def test_many_repeats_shuffle_no_full_row(spark, requests_of, folder, monkeypatch):
+    """Copies that are alike, that differ, and that the fact has; the rows meet the decisions as bits, whole or by page."""
+    from civicmart.operators import fact as FA
+
+    frames = {}
+    cut = FA.cut
+    monkeypatch.setattr(FA, "cut", lambda df, name: (frames.update({name: df}), cut(df, name))[1])
+    monkeypatch.setattr(FA, "MARKS_MET", 3)
+    wh = W.create_warehouse(spark, folder)
+    same = [{"unique_key": f"s{i}"} for i in range(30)]
+    other = [{"unique_key": f"d{i}", "closed_date": None, "resolution_description": str(i)} for i in range(5)]
+    later = [{**row, "created_date": "2024-05-21T00:00:00.000"} for row in other]
+    T.load_staging(requests_of(*same, *other, *same, *later, {"unique_key": " S1 "}).repartition(4), folder, 1)
+    for name in W.STEPS[1:-1]:
+        W.LOADERS[name](wh, 50 + W.STEPS.index(name), 1)
+    for sent in (FA.PAGES_SENT, 0):
+        monkeypatch.setattr(FA, "PAGES_SENT", sent)
+        resolved = FA.resolve(wh.pending, wh.dims(*T.DIMENSIONS[1:]), wh.fact_keys, wh.settings)
+        rows = column(resolved, "unique_key", "created", "error_type")
+        kept = [(key.strip().upper(), day.day) for key, day, error in rows if error is None]
+        assert len(rows) == 71 and len(kept) == 35 and {e for *_, e in rows} == {None, "DUPLICATE_IN_BATCH"}
+        assert sorted(kept) == sorted([(f"S{i}", 20) for i in range(30)] + [(f"D{i}", 21) for i in range(5)])
+        plan = frames["judged"]._jdf.queryExecution().optimizedPlan().toString()
+        assert ("broadcast" in plan) == (sent > 0) and "dedup_key" not in plan.split("Join")[0].split("Project")[1]
+    W.run_all(wh, 1)
+    T.load_staging(requests_of(*same, {"unique_key": "new"}), folder, 2)
+    found = W.run_all(wh, 2)["fact_service_requests"]
+    assert (found.read, found.inserted, found.skipped) == (31, 1, 30)
