@@ -1736,9 +1736,9 @@ def ingested_then_loaded(spark, sf):
     """Files landed in several micro-batches, the second repeating a year, then one load."""
     wh = new_warehouse(spark, "ingested")
     inbox, progress = fresh_path(spark, "inbox"), fresh_path(spark, "progress")
-    rows = A.clean_requests(spark, sf)
+    rows = cut(A.clean_requests(spark, sf), "requests")  # joined once
     for name, part in {"a": rows.filter(c("created_date") < "1998"), "b": rows.filter(c("created_date") >= "1997")}.items():
-        _write_files(part, f"{inbox}/{name}")
+        _write_files(part, f"{inbox}/{name}", packed=True)
         I.ingest_stream(wh, inbox, progress).awaitTermination()
     W.run_all(wh, BATCH)
     return written(wh, "ingested")
