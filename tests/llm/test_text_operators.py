@@ -421,6 +421,8 @@ def test_weights_come_from_all_documents(spark, monkeypatch):
 
 
 def test_tasks_without_sums_at_their_end(spark, monkeypatch):
+    import numpy as np
+
     rows = [(i, "a b") for i in range(50)]  # every pair is frequent, so no rows meet
     got = interpolation.scores(spark.createDataFrame(rows, "doc_id long, text string"), rounds=5).collect()
     n = sum(not r.held_out for r in got)
